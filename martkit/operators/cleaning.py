@@ -114,9 +114,9 @@ def clean_payments(payments: DataFrame) -> DataFrame:
 def latest_review(reviews: DataFrame) -> DataFrame:
     """The customer's final opinion per order.  A missing time counts as the latest."""
     created, answered = F.col("review_creation_date"), F.col("review_answer_timestamp")
-    recency = F.struct(created.isNull(), created, answered.isNull(), answered, F.col("review_id"),
-                       F.col("review_score"))
     commented = F.col("review_comment_message").isNotNull() | F.col("review_comment_title").isNotNull()
+    recency = F.struct(created.isNull(), created, answered.isNull(), answered, F.col("review_id"),
+                       F.col("review_score"), commented)
     hours = elapsed_seconds(created, answered).cast("double") / F.lit(3600.0)
     latest = reviews.groupBy("order_id").agg(F.max_by(F.struct(
         "review_score", commented.alias("has_comment"), "review_creation_date", "review_answer_timestamp",

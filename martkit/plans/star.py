@@ -156,6 +156,15 @@ class Star:
                                      F.when(~cleaning.deadline_off(gap), F.col("shipping_limit_date")))
         return items.select(*columns)
 
+    def single_seller_orders(self, *context: str) -> DataFrame:
+        """Sale orders with items of exactly one seller: ``seller_id`` and order columns, one row per order.
+
+        The seller of such an order is its smallest (and largest) seller id, so nothing has to be made distinct.
+        """
+        orders = self.fact_orders("order_id", "only_seller", "is_sale", "is_multi_seller", *context)
+        return orders.where(F.col("is_sale") & ~F.col("is_multi_seller") & F.col("only_seller").isNotNull()) \
+            .select(F.col("only_seller").alias("seller_id"), "order_id", *context)
+
     # ------------------------------------------------------------ dimensions
     def _coordinates(self):
         return cleaning.clean_geolocation(self.raw["geolocation"])
@@ -213,10 +222,12 @@ class StoredStar:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def table(self, name: str, *columns: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.folder}/{name}")
-        if "only_seller" in columns:
-            raise ValueError("only_seller is not stored; use fact_order_items")
-        return df.select(*(columns or STAR_COLUMNS[name]))
+        return self.spark.read.parquet(f"{self.folder}/{name}").select(*(columns or STAR_COLUMNS[name]))
+
+    def single_seller_orders(self, *context: str) -> DataFrame:
+        items = self.table("fact_order_items", "order_id", "seller_id", "is_sale", "is_multi_seller", *context)
+        return items.where(F.col("is_sale") & ~F.col("is_multi_seller")).groupBy("order_id").agg(
+            F.min("seller_id").alias("seller_id"), *[F.max(c).alias(c) for c in context])
 
     def __getattr__(self, name: str):
         if name not in STAR_COLUMNS:
