@@ -5,6 +5,7 @@ Each treatment is a lazy transform; ``cleaning_log`` counts what they touch.
 """
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -15,7 +16,7 @@ from ..functions import (elapsed_days, elapsed_seconds, fold_city, money_sum, ro
 from .keys import comparable, row_copies
 from .quantiles import exact_median, linear_cell
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 # About eleven metres: a zip or a city spans many such cells, so a crowded one is split over them.
 _COORDINATE_CELL = linear_cell(1e-4)
@@ -127,7 +128,7 @@ def latest_review(reviews: DataFrame) -> DataFrame:
 def review_counts(reviews: DataFrame) -> DataFrame:
     """Distinct reviews per order; comment texts are compared by digest."""
     columns = comparable(reviews, specs.SPECS["order_reviews"].long_text)
-    return reviews.select(*columns).distinct().groupBy("order_id").agg(F.count(F.lit(1)).alias("review_count"))
+    return reviews.select(*columns).distinct().groupBy("order_id").agg(F.count("*").alias("review_count"))
 
 
 def clean_reviews(reviews: DataFrame, count: bool = True) -> DataFrame:
@@ -211,7 +212,7 @@ def clean_sellers(sellers: DataFrame, zips: DataFrame, cities: DataFrame) -> Dat
     return attach_coordinates(named, "seller_zip_code_prefix", "seller_city", "seller_state", zips, cities)
 
 
-def clean(raw: Tables) -> Tables:
+def clean(raw: Tables) -> dict[str, DataFrame]:
     """Every cleaned table, lazily."""
     zips, cities = clean_geolocation(raw["geolocation"])
     return {
@@ -267,12 +268,11 @@ def _steps(df: DataFrame, counts: dict[int, Column]) -> DataFrame:
 def cleaning_log(raw: Tables) -> DataFrame:
     """step, table, action, rows_affected, rationale: one aggregate per table, not one pass per step."""
     cleaned = clean(raw)
-    one = F.lit(1)
     inside = _inside_box()
 
     copies = row_copies(raw["geolocation"]).withColumn("_in", inside)
     per_zip = copies.groupBy("geolocation_zip_code_prefix").agg(
-        F.sum("copies").alias("rows"), F.count(one).alias("distinct_rows"), F.count_if("_in").alias("kept"))
+        F.sum("copies").alias("rows"), F.count("*").alias("distinct_rows"), F.count_if("_in").alias("kept"))
     zip_kept = F.col("kept") > 0
     geo = _steps(per_zip, {
         0: F.sum(F.col("rows") - F.col("distinct_rows")),
@@ -290,7 +290,7 @@ def cleaning_log(raw: Tables) -> DataFrame:
                                              "order_id", "left"),
         {6: F.count_if(deadline_off(gap)), 7: F.count_if("freight_gt_price")})
     pay = raw["order_payments"].groupBy("order_id").agg(
-        F.count(one).alias("n"), F.count_if(F.col("payment_installments") == 0).alias("zero"),
+        F.count("*").alias("n"), F.count_if(F.col("payment_installments") == 0).alias("zero"),
         F.count_if(F.col("payment_type") == "not_defined").alias("undefined"))
     payments = _steps(pay, {8: F.sum("zero"), 9: F.sum("undefined"), 10: F.sum(F.col("n") - 1)})
     reviews = _steps(review_counts(raw["order_reviews"]), {11: F.sum(F.col("review_count") - 1)})
@@ -301,7 +301,7 @@ def cleaning_log(raw: Tables) -> DataFrame:
         14: F.count_if(F.col("product_weight_g") == 0),
     })
     people = raw["customers"].join(raw["orders"].select("customer_id", "order_id"), "customer_id", "left") \
-        .groupBy("customer_unique_id").agg(F.count(one).alias("n"))
+        .groupBy("customer_unique_id").agg(F.count("*").alias("n"))
     collapse = _steps(people, {15: F.sum(F.col("n") - 1)})
 
     def sources(df: DataFrame, first: int) -> DataFrame:

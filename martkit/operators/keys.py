@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], name: str = "rows_per_key") -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    return df.groupBy(*keys).agg(F.count("*").alias(name))
 
 
 def orphan_counts(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
@@ -41,4 +41,4 @@ def comparable(df: DataFrame, long_text: Sequence[str] = ()) -> list[Column]:
 def row_copies(df: DataFrame, long_text: Sequence[str] = ()) -> DataFrame:
     """Distinct rows with the number of copies of each."""
     columns = comparable(df, long_text)
-    return df.select(*columns).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
+    return df.select(*columns).groupBy(*df.columns).agg(F.count("*").alias("copies"))

@@ -36,7 +36,7 @@ def sequence_per_key(df: DataFrame, key: str, ts: str, tie: str, name: str) -> D
 
     Cells are the calendar days of a key, so a key with very many rows is spread over its days.
     """
-    linked = _with_day_cells(df, key, ts, F.count(F.lit(1)), lambda days: _before("_of_day", days))
+    linked = _with_day_cells(df, key, ts, F.count("*"), lambda days: _before("_of_day", days))
     number = F.row_number().over(_in_day(key, ts, tie)).cast("long")
     return linked.withColumn(name, number + F.col("_link")).drop("_day", "_link")
 
@@ -69,7 +69,7 @@ def rank_all(
     marked = df.select("*", *[c.alias(n) for n, c in cell.items()])
     line = Window.orderBy(*cell_order)
     whole = Window.partitionBy()
-    sums = [F.count(F.lit(1)).alias("_c")] + [F.sum(c).alias(f"_s_{n}") for n, c in running.items()]
+    sums = [F.count("*").alias("_c")] + [F.sum(c).alias(f"_s_{n}") for n, c in running.items()]
     ahead = [_before("_c", line).alias("_ahead")]
     ahead += [_before(f"_s_{n}", line).alias(f"_a_{n}") for n in running]
     if totals:

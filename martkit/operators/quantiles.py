@@ -45,7 +45,7 @@ def exact_quantiles(
     value = F.col(value) if isinstance(value, str) else value
     counted = (
         df.select(*by, value.alias("_v")).where(F.col("_v").isNotNull())
-        .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy(*by, "_v").agg(F.count("*").alias("_n"))
         .withColumn("_cell", cell(F.col("_v")))
     )
     per_key = Window.partitionBy(*by)

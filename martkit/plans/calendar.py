@@ -17,7 +17,7 @@ def monthly_orders(orders: DataFrame, threshold: float = specs.INCOMPLETE_MONTH_
     Orders are counted per month first, so the windows and the median see one row per month.
     """
     ts = F.col("order_purchase_timestamp")
-    counted = orders.where(ts.isNotNull()).groupBy(month_of(ts).alias("month")).agg(F.count(F.lit(1)).alias("n"))
+    counted = orders.where(ts.isNotNull()).groupBy(month_of(ts).alias("month")).agg(F.count("*").alias("n"))
     span = counted.agg(F.min("month").alias("lo"), F.max("month").alias("hi"))
     spine = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("month"))
     filled = spine.join(counted, "month", "left").select("month", F.coalesce("n", F.lit(0)).alias("orders"))

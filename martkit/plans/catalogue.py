@@ -18,8 +18,6 @@ DELAY_LABELS = ["1. 10+ days early", "2. 1-9 days early", "3. On the promised da
 INSTALLMENT_LABELS = ["01 installment", "02-03 installments", "04-06 installments", "07+ installments"]
 NO_CARD = "n/a (not credit card)"
 
-_ONE = F.lit(1)
-
 
 def _double(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
@@ -31,14 +29,14 @@ def _share(part: Column, whole: Column) -> Column:
 
 def _rate(hit: Column) -> Column:
     """Share of rows where ``hit`` holds, from two counts."""
-    return F.try_divide(_double(F.count_if(hit)), _double(F.count(_ONE)))
+    return F.try_divide(_double(F.count_if(hit)), _double(F.count("*")))
 
 
 def monthly_trend(star) -> DataFrame:
     """q01: revenue and orders per complete month, change, running total and three-row mean."""
     orders = star.fact_orders("purchase_date", "is_sale", "items_price", "has_items")
     monthly = orders.where("is_sale AND has_items").groupBy(F.trunc("purchase_date", "month").alias("month_start")) \
-        .agg(F.count(_ONE).alias("orders"), F.sum("items_price").alias("revenue"))
+        .agg(F.count("*").alias("orders"), F.sum("items_price").alias("revenue"))
     complete = star.dim_date("month_start", "is_complete_month").where("is_complete_month") \
         .select("month_start").distinct()
     monthly = monthly.join(complete, "month_start")
@@ -46,7 +44,7 @@ def monthly_trend(star) -> DataFrame:
     line = Window.orderBy("month_start")
     running = F.sum("revenue").over(line.rowsBetween(Window.unboundedPreceding, 0))
     recent = line.rowsBetween(-2, 0)
-    mean3 = _double(F.sum("revenue").over(recent)) / F.count(_ONE).over(recent)
+    mean3 = _double(F.sum("revenue").over(recent)) / F.count("*").over(recent)
     growth = (F.try_divide(_double("revenue"), _double(F.lag("revenue").over(line))) - 1.0) * 100.0
     return monthly.select(
         F.date_format("month_start", "yyyy-MM").alias("year_month"),
@@ -68,7 +66,7 @@ def top_categories(star, k: int = 15) -> DataFrame:
     per_order = joined.groupBy("category", "order_id").agg(
         F.sum("price").alias("revenue"), F.sum(share).alias("share_sum"), F.count("freight_share").alias("share_n"))
     cat = per_order.groupBy("category").agg(
-        F.sum("revenue").alias("revenue"), F.count(_ONE).alias("orders"),
+        F.sum("revenue").alias("revenue"), F.count("*").alias("orders"),
         (F.sum("share_sum").cast("double") / (F.sum("share_n") * 10_000.0)).alias("avg_share"))
     # From here on there is one row per category.
     line = Window.orderBy(F.desc("revenue"), "category")
@@ -93,10 +91,10 @@ def revenue_by_state(star) -> DataFrame:
     """
     sales = star.fact_orders("customer_unique_id", "items_price", "freight_total", "is_sale", "has_items")
     buyers = sales.where("is_sale AND has_items").groupBy("customer_unique_id").agg(
-        F.count(_ONE).alias("orders"), F.sum("items_price").alias("revenue"), F.sum("freight_total").alias("freight"))
+        F.count("*").alias("orders"), F.sum("items_price").alias("revenue"), F.sum("freight_total").alias("freight"))
     states = buyers.join(star.dim_customer("customer_unique_id", "state", "region"), "customer_unique_id") \
         .groupBy("state", "region").agg(
-            F.sum("orders").alias("orders"), F.count(_ONE).alias("customers"),
+            F.sum("orders").alias("orders"), F.count("*").alias("customers"),
             F.sum("revenue").alias("revenue"), F.sum("freight").alias("freight"))
     total = F.sum("revenue").over(Window.partitionBy())
     return states.select(
@@ -118,12 +116,12 @@ def repeat_customers(star) -> DataFrame:
                              "is_sale", "has_items").where("is_sale AND has_items")
     first, day = F.col("customer_order_seq") == 1, F.to_date("order_purchase_timestamp")
     people = sales.groupBy("customer_unique_id").agg(
-        F.count(_ONE).alias("orders"), F.sum("items_price").alias("revenue"),
+        F.count("*").alias("orders"), F.sum("items_price").alias("revenue"),
         F.min(F.when(first, day)).alias("first_day"), F.min(F.when(~first, day)).alias("second_day"),
     ).withColumn("gap", F.datediff("second_day", "first_day"))
     # Everything that remains depends on orders, revenue and gap; the gap has few distinct values.
     by_gap = people.groupBy("gap").agg(
-        F.count(_ONE).alias("n"), F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue"),
+        F.count("*").alias("n"), F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue"),
         F.count_if(F.col("orders") >= 2).alias("again"),
         F.sum(F.when(F.col("orders") >= 2, F.col("revenue"))).alias("again_revenue"),
         F.count_if(F.col("orders") == 1).alias("once"),
@@ -153,7 +151,7 @@ def delivery_by_state(star, min_orders: int = 100) -> DataFrame:
         return F.sum(F.rint(F.col(c) * 100).cast("long")).alias(c)
 
     people = orders.where("is_delivered").groupBy("customer_unique_id").agg(
-        F.count(_ONE).alias("n"), scaled("delivery_days"), F.count("delivery_days").alias("n_delivery"),
+        F.count("*").alias("n"), scaled("delivery_days"), F.count("delivery_days").alias("n_delivery"),
         scaled("promised_days"), F.count("promised_days").alias("n_promised"), F.count_if("is_late").alias("late"),
         F.sum("review_score").alias("score"), F.count("review_score").alias("n_score"))
     sums = ["n", "delivery_days", "n_delivery", "promised_days", "n_promised", "late", "score", "n_score"]
@@ -178,7 +176,7 @@ def delay_vs_review(star) -> DataFrame:
     band = F.element_at(labels, F.coalesce("delivery_bucket_order", F.lit(len(DELAY_LABELS))))
     score = F.col("review_score")
     return orders.where("is_delivered AND has_review").groupBy(band.alias("delivery_bucket")).agg(
-        F.count(_ONE).alias("orders"),
+        F.count("*").alias("orders"),
         sql_round(exact_avg(score), 2).alias("avg_review"),
         sql_round(_rate(score <= 2) * 100.0, 1).alias("negative_review_pct"),
         sql_round(_rate(score == 5) * 100.0, 1).alias("five_star_pct"),
@@ -195,7 +193,7 @@ def payments(star) -> DataFrame:
     paid = orders.where("is_sale AND has_items AND main_payment_type IS NOT NULL") \
         .select("main_payment_type", band.alias("installment_bucket"), "items_price")
     # One count per distinct ticket carries both the mean and the median.
-    groups = paid.groupBy(*keys).agg(F.count(_ONE).alias("orders"), money_avg(F.col("items_price")).alias("mean"))
+    groups = paid.groupBy(*keys).agg(F.count("*").alias("orders"), money_avg(F.col("items_price")).alias("mean"))
     medians = exact_median(paid, "items_price", "median", keys, log_cell)
     total = F.sum("orders").over(Window.partitionBy())
     return groups.join(medians, keys).select(
@@ -211,7 +209,7 @@ def seller_risk(star, min_orders: int = 50, gap: float = 0.3) -> DataFrame:
     orders = star.single_seller_orders("review_score", "is_late", "is_delivered")
     score = F.col("review_score")
     stats = orders.groupBy("seller_id").agg(
-        F.count(_ONE).alias("orders"), F.sum(score).alias("score"), F.count(score).alias("reviews"),
+        F.count("*").alias("orders"), F.sum(score).alias("score"), F.count(score).alias("reviews"),
         F.count_if(score <= 2).alias("negative"), F.count_if("is_delivered").alias("delivered"),
         F.count_if(F.col("is_delivered") & F.col("is_late")).alias("late"))
     platform = stats.agg(F.try_divide(_double(F.sum("score")), _double(F.sum("reviews"))).alias("platform"))
@@ -250,7 +248,7 @@ def seller_concentration(star) -> DataFrame:
     """
     sellers = star.fact_order_items("seller_id", "price", "is_sale").where("is_sale") \
         .groupBy("seller_id").agg(F.sum("price").cast("decimal(28,4)").alias("revenue"))
-    levels = sellers.groupBy("revenue").agg(F.count(_ONE).alias("n")) \
+    levels = sellers.groupBy("revenue").agg(F.count("*").alias("n")) \
         .withColumn("amount", (F.col("revenue") * F.col("n")).cast("decimal(38,4)"))
     ranked = rank_all(levels, [F.desc("revenue")], {"_cell": log_cell(F.col("revenue"))}, [F.desc("_cell")],
                       running={"sellers_upto": "n", "revenue_upto": "amount"})

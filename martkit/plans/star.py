@@ -6,7 +6,7 @@ prunes columns, but it cannot drop a left join whose key it does not know to be
 """
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -82,7 +82,7 @@ def items_per_order(items: DataFrame) -> DataFrame:
 
 
 class Star:
-    def __init__(self, raw: dict[str, DataFrame]):
+    def __init__(self, raw: Mapping[str, DataFrame]):
         self.raw = raw
 
     # ------------------------------------------------------------ facts
@@ -184,7 +184,7 @@ class Star:
             stats = sales.groupBy("customer_unique_id").agg(
                 F.min("purchase_date").alias("first_purchase_date"),
                 F.max("purchase_date").alias("last_purchase_date"),
-                F.count(F.lit(1)).alias("_orders"),
+                F.count("*").alias("_orders"),
                 F.sum("items_price").cast(specs.MONEY).alias("_revenue"))
             people = people.join(stats, "customer_unique_id", "left").withColumns({
                 "lifetime_orders": F.coalesce("_orders", F.lit(0)),
@@ -235,7 +235,7 @@ class StoredStar:
         return lambda *columns: self.table(name, *columns)
 
 
-def build_star(raw: dict[str, DataFrame]) -> Star:
+def build_star(raw: Mapping[str, DataFrame]) -> Star:
     return Star(raw)
 
 

@@ -16,6 +16,8 @@ def local_session(app: str = "martkit", cores: str | int = "*", partitions: int
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("MARTKIT_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        # Recording the call site of every Column costs more than building it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

@@ -6,9 +6,11 @@ lazy projection, and Catalyst reads only the columns a query needs.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Mapping
 
-from ..specs import MONEY, STATES
+from pyspark.sql import DataFrame, SparkSession
+
+from ..specs import STATES
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
                  "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -18,191 +20,166 @@ def driver_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _later(ts: Column, seconds: Column) -> Column:
-    return F.timestamp_add("SECOND", seconds, ts)
-
-
-def _state(nation_key: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(s) for s in STATES]), nation_key + 1)
+def _state(nation_key: str) -> str:
+    return f"element_at(array({', '.join(repr(s) for s in STATES)}), {nation_key} + 1)"
 
 
-def _cents() -> Column:
-    return (F.col("o_totalprice").cast("decimal(18,2)") * 100).cast("long")
+_CENTS = "CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT)"
+_PRICE = "CAST(l_extendedprice AS DECIMAL(12,2))"
+_RATE = "CAST(CAST(l_tax AS DECIMAL(4,2)) + CASE WHEN l_quantity <= 1 THEN 1 ELSE 0 END AS DECIMAL(4,2))"
+_MONEY = "DECIMAL(18,4)"
+_CATEGORY = """CASE WHEN p_name = 'red gear' THEN 'pc_gamer'
+                    ELSE concat_ws('_', lower(p_type), element_at(split(p_name, ' '), -1)) END"""
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
-    o = driver_table(spark, folder, "orders")
-    kind, priority, cents = F.col("o_orderstatus"), F.col("o_orderpriority"), _cents()
-    status = (
-        F.when((kind == "P") & (priority == "1-URGENT"), "canceled")
-        .when((kind == "P") & (priority == "2-HIGH"), "unavailable")
-        .when(kind == "P", "processing")
-        .when((kind == "O") & (priority == "5-LOW"), "shipped")
-        .when((kind == "O") & (priority == "4-NOT SPECIFIED"), "in_transit")
-        .otherwise("delivered")
+    return driver_table(spark, folder, "orders").selectExpr(
+        "*", f"{_CENTS} AS cents", f"timestampadd(SECOND, {_CENTS} % 86400, o_orderdate) AS bought",
+    ).selectExpr(
+        "o_orderkey AS order_id",
+        "o_orderkey AS customer_id",
+        """CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN 'canceled'
+                WHEN o_orderstatus = 'P' AND o_orderpriority = '2-HIGH' THEN 'unavailable'
+                WHEN o_orderstatus = 'P' THEN 'processing'
+                WHEN o_orderstatus = 'O' AND o_orderpriority = '5-LOW' THEN 'shipped'
+                WHEN o_orderstatus = 'O' AND o_orderpriority = '4-NOT SPECIFIED' THEN 'in_transit'
+                ELSE 'delivered' END AS order_status""",
+        "bought AS order_purchase_timestamp",
+        """CASE WHEN o_orderstatus <> 'P' OR o_orderpriority <> '5-LOW'
+                THEN timestampadd(SECOND, cents % 7200 - 60, bought) END AS order_approved_at""",
+        """CASE WHEN o_orderstatus <> 'P' THEN timestampadd(SECOND, (cents % 500) * 1000 - 10000, bought) END
+               AS order_delivered_carrier_date""",
+        """CASE WHEN o_totalprice < 20000 THEN NULL
+                WHEN o_totalprice > 495000 THEN timestampadd(DAY, -1, bought)
+                WHEN o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW'
+                THEN timestampadd(SECOND, cents % 91 * 86400 + cents % 5000, bought) END
+               AS order_delivered_customer_date""",
+        "timestampadd(DAY, 60, o_orderdate) AS order_estimated_delivery_date",
     )
-    bought = _later(F.col("o_orderdate"), cents % 86_400)
-    handed = _later(bought, (cents % 500) * 1_000 - 10_000)
-    return o.select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_orderkey").alias("customer_id"),
-        status.alias("order_status"),
-        bought.alias("order_purchase_timestamp"),
-        F.when((kind != "P") | (priority != "5-LOW"), _later(bought, cents % 7_200 - 60)).alias("order_approved_at"),
-        F.when(kind != "P", handed).alias("order_delivered_carrier_date"),
-        F.when(F.col("o_totalprice") < 20_000, None)
-        .when(F.col("o_totalprice") > 495_000, _later(bought, F.lit(-86_400)))
-        .when((kind != "P") & (priority != "5-LOW"), _later(bought, cents % 91 * 86_400 + cents % 5_000))
-        .alias("order_delivered_customer_date"),
-        F.timestamp_add("DAY", F.lit(60), F.col("o_orderdate")).alias("order_estimated_delivery_date"),
-    )
-
-
-def _line_money() -> tuple[Column, Column]:
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    rate = F.col("l_tax").cast("decimal(4,2)") + F.when(F.col("l_quantity") <= 1, F.lit(1)).otherwise(F.lit(0))
-    return price.cast(MONEY), (price * rate.cast("decimal(4,2)")).cast(MONEY)
 
 
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
-    price, freight = _line_money()
-    return driver_table(spark, folder, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("seller_id"),
-        F.col("l_shipdate").alias("shipping_limit_date"),
-        price.alias("price"),
-        freight.alias("freight_value"),
+    return driver_table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey AS order_id", "l_linenumber AS order_item_id", "l_partkey AS product_id",
+        "l_suppkey AS seller_id", "l_shipdate AS shipping_limit_date",
+        f"CAST({_PRICE} AS {_MONEY}) AS price", f"CAST({_PRICE} * {_RATE} AS {_MONEY}) AS freight_value",
     )
 
 
 def order_payments(spark: SparkSession, folder: str) -> DataFrame:
-    price, freight = _line_money()
-    flag, line = F.col("l_returnflag"), F.col("l_linestatus")
-    interest = (F.col("l_discount").cast("decimal(4,2)") - F.lit(0.05).cast("decimal(4,2)")) * 10
-    return driver_table(spark, folder, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("payment_sequential"),
-        F.when(flag == "A", "credit_card")
-        .when((flag == "N") & (line == "F"), "boleto").when(flag == "N", "voucher")
-        .when(line == "F", "debit_card")
-        .when(F.col("l_tax") > 0, "credit_card").otherwise("not_defined").alias("payment_type"),
-        (F.col("l_quantity").cast("int") % 26).alias("payment_installments"),
-        (price + freight + interest).cast(MONEY).alias("payment_value"),
+    return driver_table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey AS order_id", "l_linenumber AS payment_sequential",
+        """CASE WHEN l_returnflag = 'A' THEN 'credit_card'
+                WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN 'boleto'
+                WHEN l_returnflag = 'N' THEN 'voucher'
+                WHEN l_linestatus = 'F' THEN 'debit_card'
+                WHEN l_tax > 0 THEN 'credit_card' ELSE 'not_defined' END AS payment_type""",
+        "CAST(l_quantity AS INT) % 26 AS payment_installments",
+        f"""CAST({_PRICE} + {_PRICE} * {_RATE}
+                 + (CAST(l_discount AS DECIMAL(4,2)) - CAST(0.05 AS DECIMAL(4,2))) * 10 AS {_MONEY})
+               AS payment_value""",
     )
 
 
 def order_reviews(spark: SparkSession, folder: str) -> DataFrame:
     """One review for most orders, and a later one for large returned lines (their ids repeat across orders)."""
-    o = driver_table(spark, folder, "orders").where(
-        (F.col("o_orderstatus") != "O") | (F.col("o_orderpriority") != "4-NOT SPECIFIED"))
-    cents = _cents()
-    first = o.select(
-        F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("review_id"),
-        F.col("o_orderkey").alias("order_id"),
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("review_score"),
-        F.lit(None).cast("string").alias("review_comment_title"),
-        F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")).alias("review_comment_message"),
-        F.timestamp_add("DAY", F.lit(30), F.col("o_orderdate")).alias("review_creation_date"),
-        _later(F.col("o_orderdate"), 30 * 86_400 + cents % 400_000).alias("review_answer_timestamp"),
-    )
-    returned = driver_table(spark, folder, "lineitem").where(
-        (F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 40))
-    second = returned.select(
-        F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("review_id"),
-        F.col("l_orderkey").alias("order_id"),
-        (1 + F.col("l_linenumber") % 5).cast("int").alias("review_score"),
-        F.when(F.col("l_linestatus") == "F", "returned").alias("review_comment_title"),
-        F.lit(None).cast("string").alias("review_comment_message"),
-        F.col("l_shipdate").alias("review_creation_date"),
-        _later(F.col("l_shipdate"), F.col("l_quantity").cast("int") * 3_600).alias("review_answer_timestamp"),
-    )
+    first = driver_table(spark, folder, "orders") \
+        .where("o_orderstatus <> 'O' OR o_orderpriority <> '4-NOT SPECIFIED'").selectExpr(
+            "concat('o', o_orderkey) AS review_id", "o_orderkey AS order_id",
+            "CAST(substring(o_orderpriority, 1, 1) AS INT) AS review_score",
+            "CAST(NULL AS STRING) AS review_comment_title",
+            "CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS review_comment_message",
+            "timestampadd(DAY, 30, o_orderdate) AS review_creation_date",
+            f"timestampadd(SECOND, 30 * 86400 + {_CENTS} % 400000, o_orderdate) AS review_answer_timestamp")
+    second = driver_table(spark, folder, "lineitem").where("l_returnflag = 'R' AND l_quantity >= 40").selectExpr(
+        "concat('p', l_partkey) AS review_id", "l_orderkey AS order_id",
+        "1 + l_linenumber % 5 AS review_score",
+        "CASE WHEN l_linestatus = 'F' THEN 'returned' END AS review_comment_title",
+        "CAST(NULL AS STRING) AS review_comment_message",
+        "l_shipdate AS review_creation_date",
+        "timestampadd(HOUR, CAST(l_quantity AS INT), l_shipdate) AS review_answer_timestamp")
     return first.unionByName(second)
 
 
-def _zip(nation_key: Column, area: Column) -> Column:
-    return (nation_key * 1_000 + area).cast("string")
-
-
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order; areas 10 and 11 have no coordinates, and machinery customers live in an unmapped city."""
     o = driver_table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = driver_table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    nation = F.col("c_nationkey")
-    return o.join(c, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.col("o_orderkey").alias("customer_id"),
-        F.col("o_custkey").alias("customer_unique_id"),
-        F.lpad(_zip(nation, F.dayofmonth("o_orderdate") % 12), 5, "0").alias("customer_zip_code_prefix"),
-        F.concat(F.lit("São  "), F.col("c_mktsegment"), F.lit(" "), nation.cast("string")).alias("customer_city"),
-        _state(nation).alias("customer_state"),
+    return o.join(c, o.o_custkey == c.c_custkey).selectExpr(
+        "o_orderkey AS customer_id", "o_custkey AS customer_unique_id",
+        "lpad(CAST(c_nationkey * 1000 + day(o_orderdate) % 12 AS STRING), 5, '0') AS customer_zip_code_prefix",
+        "concat('São  ', c_mktsegment, ' ', c_nationkey) AS customer_city",
+        f"{_state('c_nationkey')} AS customer_state",
     )
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
-    size = F.col("p_size")
-    side = F.when(size != 3, size)
-    return driver_table(spark, folder, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.when(size != 1, _category()).alias("product_category_name"),
-        F.when(size != 1, F.length("p_name")).alias("product_name_lenght"),
-        F.when(size != 1, size * 20).alias("product_description_lenght"),
-        F.when(size != 1, size % 7).alias("product_photos_qty"),
-        F.when(size == 2, 0).when(size != 3, size * 100).alias("product_weight_g"),
-        (side + 10).alias("product_length_cm"),
-        (side + 5).alias("product_height_cm"),
-        (side * 2).alias("product_width_cm"),
+    return driver_table(spark, folder, "part").selectExpr(
+        "p_partkey AS product_id",
+        f"CASE WHEN p_size <> 1 THEN {_CATEGORY} END AS product_category_name",
+        "CASE WHEN p_size <> 1 THEN length(p_name) END AS product_name_lenght",
+        "CASE WHEN p_size <> 1 THEN p_size * 20 END AS product_description_lenght",
+        "CASE WHEN p_size <> 1 THEN p_size % 7 END AS product_photos_qty",
+        "CASE WHEN p_size = 2 THEN 0 WHEN p_size <> 3 THEN p_size * 100 END AS product_weight_g",
+        "CASE WHEN p_size <> 3 THEN p_size + 10 END AS product_length_cm",
+        "CASE WHEN p_size <> 3 THEN p_size + 5 END AS product_height_cm",
+        "CASE WHEN p_size <> 3 THEN p_size * 2 END AS product_width_cm",
     )
 
 
-def _category() -> Column:
-    return F.when(F.col("p_name") == "red gear", "pc_gamer") \
-        .otherwise(F.concat_ws("_", F.lower("p_type"), F.element_at(F.split("p_name", " "), -1)))
-
-
 def category_translation(spark: SparkSession, folder: str) -> DataFrame:
     """Promotional categories were never translated."""
-    named = driver_table(spark, folder, "part").where((F.col("p_type") != "PROMO") & (F.col("p_name") != "red gear"))
-    name = _category()
-    return named.select(name.alias("product_category_name"),
-                        F.concat(F.lit("all_"), name).alias("product_category_name_english")).distinct()
+    return driver_table(spark, folder, "part").where("p_type <> 'PROMO' AND p_name <> 'red gear'").selectExpr(
+        f"{_CATEGORY} AS product_category_name",
+        f"concat('all_', {_CATEGORY}) AS product_category_name_english").distinct()
 
 
 def sellers(spark: SparkSession, folder: str) -> DataFrame:
-    nation = F.col("s_nationkey")
-    return driver_table(spark, folder, "supplier").select(
-        F.col("s_suppkey").alias("seller_id"),
-        F.lpad(_zip(nation, (F.col("s_suppkey") % 12).cast("int")), 5, "0").alias("seller_zip_code_prefix"),
-        F.concat(F.lit("  São Building "), nation.cast("string"), F.lit(" ")).alias("seller_city"),
-        _state(nation).alias("seller_state"),
+    return driver_table(spark, folder, "supplier").selectExpr(
+        "s_suppkey AS seller_id",
+        "lpad(CAST(s_nationkey * 1000 + s_suppkey % 12 AS STRING), 5, '0') AS seller_zip_code_prefix",
+        "concat('  São Building ', s_nationkey, ' ') AS seller_city",
+        f"{_state('s_nationkey')} AS seller_state",
     )
 
 
 def geolocation(spark: SparkSession, folder: str) -> DataFrame:
     """One point per customer on a coarse grid, so points repeat; the ends of the grid lie outside the box."""
-    nation = F.col("c_nationkey")
-    step = F.floor(F.col("c_acctbal") / 25).cast("int")
-    segment = F.col("c_mktsegment")
-    city = F.when(segment == "MACHINERY", "Máquinas").otherwise(
-        F.concat(F.lit("SÃO "), segment, F.lit("   "), nation.cast("string")))
-    return driver_table(spark, folder, "customer").select(
-        F.lpad(_zip(nation, F.pmod(step, F.lit(10))), 5, "0").alias("geolocation_zip_code_prefix"),
-        (step / 10.0 - 34.0).alias("geolocation_lat"),
-        (-28.5 - F.pmod(step * 7, F.lit(460)) / 10.0).alias("geolocation_lng"),
-        city.alias("geolocation_city"),
-        _state(nation).alias("geolocation_state"),
+    step = "CAST(floor(c_acctbal / 25) AS INT)"
+    return driver_table(spark, folder, "customer").selectExpr(
+        f"lpad(CAST(c_nationkey * 1000 + pmod({step}, 10) AS STRING), 5, '0') AS geolocation_zip_code_prefix",
+        f"{step} / 10.0D - 34.0D AS geolocation_lat",
+        f"-28.5D - pmod({step} * 7, 460) / 10.0D AS geolocation_lng",
+        """CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Máquinas'
+                ELSE concat('SÃO ', c_mktsegment, '   ', c_nationkey) END AS geolocation_city""",
+        f"{_state('c_nationkey')} AS geolocation_state",
     )
 
 
-def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {
-        "orders": orders(spark, folder),
-        "order_items": order_items(spark, folder),
-        "order_payments": order_payments(spark, folder),
-        "order_reviews": order_reviews(spark, folder),
-        "customers": customers(spark, folder),
-        "products": products(spark, folder),
-        "sellers": sellers(spark, folder),
-        "geolocation": geolocation(spark, folder),
-        "category_translation": category_translation(spark, folder),
-    }
+_BUILDERS = {
+    "orders": orders, "order_items": order_items, "order_payments": order_payments, "order_reviews": order_reviews,
+    "customers": customers, "products": products, "sellers": sellers, "geolocation": geolocation,
+    "category_translation": category_translation,
+}
+
+
+class RawTables(Mapping):
+    """The nine raw tables by name; each is opened on first use, so a query touches only the files it reads."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._folder, self._open = spark, folder, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._open:
+            self._open[name] = _BUILDERS[name](self._spark, self._folder)
+        return self._open[name]
+
+    def __iter__(self):
+        return iter(_BUILDERS)
+
+    def __len__(self) -> int:
+        return len(_BUILDERS)
+
+
+def raw_tables(spark: SparkSession, folder: str) -> RawTables:
+    return RawTables(spark, folder)
