@@ -98,18 +98,21 @@ def fixed_installments() -> Column:
     return F.when(n == 0, F.lit(1)).otherwise(n)
 
 
-def clean_payments(payments: DataFrame) -> DataFrame:
+def clean_payments(payments: DataFrame, methods: bool = True) -> DataFrame:
+    """Totals and the main method per order; the distinct count of methods is a second aggregate on the same key."""
     kind = F.col("payment_type")
     # The largest amount names the method; equal amounts go to the earlier row.
     largest = F.struct("payment_value", -F.col("payment_sequential"), kind)
-    return payments.groupBy("order_id").agg(
+    totals = payments.groupBy("order_id").agg(
         money_sum(F.col("payment_value")).alias("payment_total"),
         F.count("payment_sequential").alias("payment_rows"),
-        F.countDistinct(kind).alias("payment_methods"),
         F.max(fixed_installments()).cast("long").alias("max_installments"),
         F.coalesce(F.bool_or(kind == "voucher"), F.lit(False)).alias("used_voucher"),
         F.max_by(kind, largest).alias("main_payment_type"),
     )
+    if not methods:
+        return totals
+    return totals.join(payments.groupBy("order_id").agg(F.countDistinct(kind).alias("payment_methods")), "order_id")
 
 
 def latest_review(reviews: DataFrame) -> DataFrame:
