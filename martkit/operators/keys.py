@@ -5,8 +5,9 @@ Every operator counts rows per key before any join, so a key that repeats millio
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], name: str = "rows_per_key") -> DataFrame:
@@ -27,10 +28,14 @@ def orphan_counts(child: DataFrame, column: str, parent: DataFrame, parent_colum
         .join(known, F.col("key") == F.col("_known"), "left_anti")
 
 
-def sample_values(df: DataFrame, column: str, k: int = 5) -> DataFrame:
-    """One row: the ``k`` smallest distinct values of a column that holds no repeats, joined as text."""
-    first = df.select(F.col(column).alias("_v")).orderBy("_v").limit(k)
-    return first.agg(F.array_join(F.array_sort(F.collect_list("_v")).cast("array<string>"), ", ").alias("sample"))
+def smallest_values(df: DataFrame, by: str, value: str, k: int) -> DataFrame:
+    """The ``k`` smallest values per group as an array; ``(by, value)`` pairs must be distinct.
+
+    Spark turns the rank filter into a group limit ahead of the shuffle, so each task passes on ``k`` rows per group.
+    """
+    rank = F.row_number().over(Window.partitionBy(by).orderBy(value))
+    return df.select(by, value, rank.alias("_r")).where(F.col("_r") <= k) \
+        .groupBy(by).agg(F.array_sort(F.collect_list(value)).alias("smallest"))
 
 
 def comparable(df: DataFrame, long_text: Sequence[str] = ()) -> list[Column]:
@@ -42,3 +47,20 @@ def row_copies(df: DataFrame, long_text: Sequence[str] = ()) -> DataFrame:
     """Distinct rows with the number of copies of each."""
     columns = comparable(df, long_text)
     return df.select(*columns).groupBy(*df.columns).agg(F.count("*").alias("copies"))
+
+
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return key_counts(df, keys).where(F.col("rows_per_key") > 1).select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+
+
+def copied_rows(df: DataFrame, key: Sequence[str] = (), long_text: Sequence[str] = ()) -> DataFrame:
+    """``row_copies`` over the rows that can have a copy at all.
+
+    Copies share their key, so with a declared key only rows of repeated keys are compared in full: where keys are
+    mostly unique, the shuffle of whole rows shrinks to a shuffle of keys.
+    """
+    if key:
+        again = repeated_keys(df, key)
+        same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in key]
+        df = df.join(again, reduce(lambda a, b: a & b, same), "left_semi")
+    return row_copies(df, long_text)

@@ -36,9 +36,11 @@ def exact_quantiles(
     probs: dict[str, float],
     by: Sequence[str] = (),
     cell: Callable[[Column], Column] = log_cell,
+    scale: dict[str, Callable[[Column], Column]] | None = None,
 ) -> DataFrame:
     """One row per ``by`` with a linearly interpolated quantile (double) per entry of ``probs``, and ``n``, ``max``.
 
+    ``scale`` names an increasing function for some quantiles: they are interpolated, and returned, on that scale.
     NULL values are ignored; a group without values yields no row (no row at all when ``by`` is empty).
     """
     by = list(by)
@@ -83,7 +85,8 @@ def exact_quantiles(
     out = [*by, "n", "max"]
     for name, p in probs.items():
         weight = _rank(F.col("n"), p)[2]
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        to = (scale or {}).get(name, lambda x: x)
+        lo, hi = to(F.col(f"_lo_{name}")), to(F.col(f"_hi_{name}"))
         out.append((lo + (hi - lo) * weight).alias(name))
     return picked.select(*out)
 

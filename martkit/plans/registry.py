@@ -5,8 +5,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..operators import checks
 from ..sources.carriers import raw_tables
-from .calendar import monthly_orders
+from ..operators.calendar import monthly_orders
 from .catalogue import CATALOGUE, seller_risk
 from .star import STAR_COLUMNS, Star
 
@@ -47,3 +48,19 @@ register("q08_seller_risk", lambda star: seller_risk(star, min_orders=5))
 for _name in STAR_COLUMNS:
     register(_name, lambda star, name=_name: star.table(name))
 register("monthly_orders", lambda star: monthly_orders(star.raw["orders"]))
+
+# ---------------------------------------------------------------- data quality
+_CHECKS = {
+    "chk_parsing": checks.check_parsing, "chk_nulls": checks.check_nulls, "chk_coverage": checks.check_coverage,
+    "chk_primary_key": checks.check_primary_keys, "chk_full_duplicates": checks.check_full_duplicates,
+    "chk_grain": checks.check_grain, "chk_foreign_keys": checks.check_foreign_keys,
+    "chk_allowed_values": checks.check_allowed_values, "chk_numeric_ranges": checks.check_numeric_ranges,
+    "chk_bbox": checks.check_coordinates, "chk_date_order": checks.check_date_order,
+    "chk_status_vs_dates": checks.check_status_vs_dates, "chk_shipping_limit": checks.check_shipping_limit,
+    "chk_reconcile": checks.check_payments_vs_items, "chk_iqr_outliers": checks.check_outliers,
+    "chk_business_outlier": checks.check_business_outlier, "chk_timeliness": checks.check_timeliness,
+    "chk_profile": checks.profile_tables, "missing_ranking": checks.missing_ranking,
+}
+for _name, _build in _CHECKS.items():
+    register(_name, lambda star, build=_build: build(star.raw))
+register("chk_summary", lambda star: checks.summarize(checks.run_checks(star.raw), monthly_orders(star.raw["orders"])))

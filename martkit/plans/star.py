@@ -14,7 +14,7 @@ from .. import specs
 from ..functions import band_label, band_order, date_key, installment_band, money_sum, short_label
 from ..operators import cleaning
 from ..operators.ordered import sequence_per_key
-from .calendar import dim_date
+from ..operators.calendar import dim_date
 
 # Output columns, in order.
 FACT_ORDERS = """

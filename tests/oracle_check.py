@@ -70,7 +70,11 @@ def main() -> int:
             continue
         if name not in sql:
             t0 = time.time()
-            print(f"----  {name}: {query(spark, folder).count()} rows, no oracle {time.time() - t0:.1f}s", flush=True)
+            try:
+                print(f"----  {name}: {query(spark, folder).count()} rows, no oracle {time.time() - t0:.1f}s", flush=True)
+            except Exception as exc:
+                failed += 1
+                print(f"FAIL  {name}: {type(exc).__name__}: {str(exc)[:600]}", flush=True)
             continue
         try:
             ok, note = compare(spark, con, folder, name, query, sql[name])
