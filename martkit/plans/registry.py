@@ -9,6 +9,8 @@ from ..operators import checks
 from ..sources.carriers import raw_tables
 from ..operators.calendar import monthly_orders
 from .catalogue import CATALOGUE, seller_risk
+from .measures import evaluate
+from .reports import REPORTS, risk_sellers, seller_scatter
 from .star import STAR_COLUMNS, Star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,3 +66,30 @@ _CHECKS = {
 for _name, _build in _CHECKS.items():
     register(_name, lambda star, build=_build: build(star.raw))
 register("chk_summary", lambda star: checks.summarize(checks.run_checks(star.raw), monthly_orders(star.raw["orders"])))
+
+# ---------------------------------------------------------------- report queries and measures
+for _name, _build in REPORTS.items():
+    register(_name, _build)
+register("rpt_seller_scatter", lambda star: seller_scatter(star, min_orders=5))
+register("rpt_seller_risk", lambda star: risk_sellers(star, min_orders=5))
+
+_SALES = ["revenue", "orders", "aov", "items_sold", "freight", "freight_pct", "customers", "repeat_customers",
+          "repeat_customer_pct", "revenue_per_customer", "active_sellers"]
+_OPERATIONS = ["delivered_orders", "late_orders", "on_time_pct", "late_pct", "avg_delivery_days", "avg_promised_days",
+               "promise_buffer_days", "avg_delay_when_late", "avg_carrier_lead_days", "avg_last_mile_days"]
+_FIRST_HALF = ("dim_date.month_num", "between", (1, 6))
+register("msr_sales_by_category", lambda star: evaluate(star, _SALES, ["dim_product.category"]))
+register("msr_customers", lambda star: evaluate(
+    star, [*_SALES, "repeat_purchase_pct"], ["dim_customer.region", "dim_date.year"], [_FIRST_HALF]))
+register("msr_operations_by_state", lambda star: evaluate(
+    star, _OPERATIONS, ["dim_customer.state"], [("dim_customer.region", "in", ["South", "Northeast"])]))
+register("msr_satisfaction", lambda star: evaluate(
+    star, ["reviews", "avg_review_score", "negative_review_pct", "five_star_pct", "avg_review_on_time",
+           "avg_review_late", "review_gap"], ["dim_date.year_quarter"]))
+register("msr_payments_share", lambda star: evaluate(
+    star, ["paid_orders", "payment_share", "installment_pct", "avg_installments_card", "aov_by_order"],
+    ["fact_orders.main_payment_type", "dim_date.year"]))
+register("msr_sellers", lambda star: evaluate(
+    star, ["seller_orders", "seller_avg_review", "seller_negative_pct", "seller_late_pct", "seller_risk_flag",
+           "active_sellers", "revenue"], ["dim_seller.seller_id", "dim_seller.seller_label", "dim_date.year"],
+    risk=(3, 0.3)))
