@@ -5,11 +5,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..operators import checks
+from ..functions import round_half_even
+from ..operators import checks, cleaning
 from ..sources.carriers import raw_tables
 from ..operators.calendar import monthly_orders
 from .catalogue import CATALOGUE, seller_risk
+from .integrity import check_star, data_dictionary, table_overview
 from .measures import evaluate
+from .operator_queries import OPERATOR_QUERIES
 from .reports import REPORTS, risk_sellers, seller_scatter
 from .star import STAR_COLUMNS, Star
 
@@ -93,3 +96,32 @@ register("msr_sellers", lambda star: evaluate(
     star, ["seller_orders", "seller_avg_review", "seller_negative_pct", "seller_late_pct", "seller_risk_flag",
            "active_sellers", "revenue"], ["dim_seller.seller_id", "dim_seller.seller_label", "dim_date.year"],
     risk=(3, 0.3)))
+
+# ---------------------------------------------------------------- cleaning treatments, integrity, documentation
+
+
+def _centres(star: Star) -> DataFrame:
+    zips, cities = cleaning.clean_geolocation(star.raw["geolocation"])
+    place = F.concat_ws("/", "state", "city_norm").alias("place")
+    both = zips.select(F.col("zip_code_prefix").alias("place"), "lat", "lng").unionByName(
+        cities.select(place, "lat", "lng"))
+    return both.select("place", *[round_half_even(F.col(c), 6).alias(c) for c in ("lat", "lng")])
+
+
+register("cl_order_durations", lambda star: cleaning.clean_orders(star.raw["orders"]))
+register("cl_item_features", lambda star: cleaning.clean_items(star.raw["order_items"], star.raw["orders"]))
+register("cl_main_payment", lambda star: cleaning.clean_payments(star.raw["order_payments"]))
+register("cl_latest_per_key", lambda star: cleaning.clean_reviews(star.raw["order_reviews"]))
+register("cl_entity_latest_address",
+         lambda star: cleaning.latest_address(star.raw["customers"], star.raw["orders"]))
+register("cl_median_fallback", _centres)
+register("cl_category_map",
+         lambda star: cleaning.clean_products(star.raw["products"], star.raw["category_translation"]))
+register("cl_log", lambda star: cleaning.cleaning_log(star.raw))
+register("star_integrity", lambda star: check_star(star, star.raw))
+register("data_dictionary", lambda star: data_dictionary(star).drop("type"))
+register("table_overview", table_overview)
+
+# ---------------------------------------------------------------- single operators
+for _name, _build in OPERATOR_QUERIES.items():
+    register_raw(_name, _build)

@@ -374,6 +374,8 @@ def with_ctes(body: str, needs: str) -> str:
         visit(name)
     parts = [f"{name} AS ({_CTES[name][1]}\n)" for name in ordered]
     body = body.strip()
+    if not parts:
+        return body
     if body[:5].upper() == "WITH ":
         return "WITH " + ",\n".join(parts) + ",\n" + body[5:]
-    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
+    return "WITH " + ",\n".join(parts) + "\n" + body
