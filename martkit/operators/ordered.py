@@ -16,38 +16,62 @@ def _before(total: str, window) -> Column:
     return F.coalesce(F.sum(total).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
-def _with_day_cells(df: DataFrame, key: str, ts: str, per_day: Column, over_days) -> DataFrame:
-    """Rows joined to one value per (key, calendar day).
-
-    Rows without a time form the last cell.  Rows without a key find no cell and get NULL.
-    """
-    df = df.withColumn("_day", F.coalesce(F.to_date(ts), F.to_date(F.lit("9999-12-31"))))
-    days = df.where(F.col(key).isNotNull()).groupBy(key, "_day").agg(per_day.alias("_of_day"))
-    days = days.select(key, "_day", over_days(Window.partitionBy(key).orderBy("_day")).alias("_link"))
-    return df.join(days, [key, "_day"], "left")
-
-
-def _in_day(key: str, ts: str, tie: str):
-    return Window.partitionBy(key, "_day").orderBy(F.col(ts).asc_nulls_last(), F.col(tie).asc_nulls_last())
+# A key with more rows than this is cut into minutes; below it, one task sorts the key's rows with ease.
+BUSY_KEY_ROWS = 1_000_000
 
 
-def sequence_per_key(df: DataFrame, key: str, ts: str, tie: str, name: str) -> DataFrame:
-    """Number the rows of each key by (ts, tie) from 1, NULL times last; NULL without a key.
+def _with_cells(df: DataFrame, key: str, ts: str, name: str, per_cell: Column, link, busy_rows: int) -> DataFrame:
+    """Rows with ``_day`` and ``_minute`` set for busy keys only, and ``name`` looked up for those cells.
 
-    Cells are the calendar days of a key, so a key with very many rows is spread over its days.
+    Rows are counted per key and minute first.  Keys with more than ``busy_rows`` rows are few (at most one per
+    ``busy_rows`` rows of input), so the list of them can be broadcast; only their cells are linked to each other.
+    Rows without a time form the last cell of their key.
     """
-    linked = _with_day_cells(df, key, ts, F.count("*"), lambda days: _before("_of_day", days))
-    number = F.row_number().over(_in_day(key, ts, tie)).cast("long")
-    return linked.withColumn(name, number + F.col("_link")).drop("_day", "_link")
-
-
-def next_per_key(df: DataFrame, key: str, ts: str, tie: str, name: str) -> DataFrame:
-    """The time of the following row of the same key (``LEAD(ts)``), over the same day cells."""
-    linked = _with_day_cells(df, key, ts, F.min(ts), lambda days: F.lead("_of_day").over(days))
-    inside = _in_day(key, ts, tie)
-    last_of_day = F.lead(F.lit(True)).over(inside).isNull()
-    following = F.when(F.col(key).isNotNull(), F.when(last_of_day, F.col("_link")).otherwise(F.lead(ts).over(inside)))
-    return linked.withColumn(name, following).drop("_day", "_link")
+    day = F.coalesce(F.to_date(ts), F.to_date(F.lit("9999-12-31")))
+    minute = F.coalesce(F.hour(ts) * 60 + F.minute(ts), F.lit(0))
+    counted = df.where(F.col(key).isNotNull()).groupBy(key, day.alias("_day"), minute.alias("_minute")) \
+        .agg(F.count("*").alias("_n"), per_cell.alias("_cell"))
+    busy = F.broadcast(counted.groupBy(key).agg(F.sum("_n").alias("_n")).where(F.col("_n") > busy_rows)
+                       .select(key, F.lit(True).alias("_busy")))
+    cells = link(counted.join(busy, key, "left_semi"), key).select(key, "_day", "_minute", F.col("_link").alias(name))
+    split = df.join(busy, key, "left").withColumns({
+        "_day": F.when(F.col("_busy"), day), "_minute": F.when(F.col("_busy"), minute)}).drop("_busy")
+    return split.join(cells, [key, "_day", "_minute"], "left")
+
+
+def _in_cell(key: str, ts: str, tie: str):
+    return Window.partitionBy(key, "_day", "_minute").orderBy(F.col(ts).asc_nulls_last(), F.col(tie).asc_nulls_last())
+
+
+def sequence_per_key(df: DataFrame, key: str, ts: str, tie: str, name: str,
+                     busy_rows: int = BUSY_KEY_ROWS) -> DataFrame:
+    """Number the rows of each key by (ts, tie) from 1, NULL times last; NULL without a key."""
+    def rows_ahead(cells: DataFrame, k: str) -> DataFrame:
+        days = cells.groupBy(k, "_day").agg(F.sum("_cell").alias("_of_day"))
+        days = days.select(k, "_day", _before("_of_day", Window.partitionBy(k).orderBy("_day")).alias("_days_ahead"))
+        in_day = _before("_cell", Window.partitionBy(k, "_day").orderBy("_minute"))
+        return cells.withColumn("_in_day", in_day).join(days, [k, "_day"]) \
+            .withColumn("_link", F.col("_days_ahead") + F.col("_in_day"))
+
+    split = _with_cells(df, key, ts, "_ahead", F.count("*"), rows_ahead, busy_rows)
+    number = F.row_number().over(_in_cell(key, ts, tie)).cast("long") + F.coalesce("_ahead", F.lit(0))
+    return split.withColumn(name, F.when(F.col(key).isNotNull(), number)).drop("_day", "_minute", "_ahead")
+
+
+def next_per_key(df: DataFrame, key: str, ts: str, tie: str, name: str, busy_rows: int = BUSY_KEY_ROWS) -> DataFrame:
+    """The time of the following row of the same key (``LEAD(ts)``); NULL without a key."""
+    def next_first(cells: DataFrame, k: str) -> DataFrame:
+        days = cells.groupBy(k, "_day").agg(F.min("_cell").alias("_first"))
+        days = days.select(k, "_day", F.lead("_first").over(Window.partitionBy(k).orderBy("_day")).alias("_next_day"))
+        later = F.lead("_cell").over(Window.partitionBy(k, "_day").orderBy("_minute"))
+        return cells.withColumn("_later", later).join(days, [k, "_day"]) \
+            .withColumn("_link", F.coalesce("_later", "_next_day"))
+
+    split = _with_cells(df, key, ts, "_link", F.min(ts), next_first, busy_rows)
+    inside = _in_cell(key, ts, tie)
+    last = F.lead(F.lit(True)).over(inside).isNull()
+    following = F.when(last, F.col("_link")).otherwise(F.lead(ts).over(inside))
+    return split.withColumn(name, F.when(F.col(key).isNotNull(), following)).drop("_day", "_minute", "_link")
 
 
 def rank_all(

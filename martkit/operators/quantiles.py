@@ -30,6 +30,14 @@ def _rank(total: Column, p: float) -> tuple[Column, Column, Column]:
     return low.cast("long"), F.ceil(position).cast("long"), position - low
 
 
+def value_counts(df: DataFrame, value: Column | str, by: Sequence[str] = (), name: str = "v",
+                 count: str = "n") -> DataFrame:
+    """Rows per distinct value and group; NULL values are left out."""
+    value = F.col(value) if isinstance(value, str) else value
+    return df.select(*by, value.alias(name)).where(F.col(name).isNotNull()).groupBy(*by, name) \
+        .agg(F.count("*").alias(count))
+
+
 def exact_quantiles(
     df: DataFrame,
     value: Column | str,
@@ -37,19 +45,19 @@ def exact_quantiles(
     by: Sequence[str] = (),
     cell: Callable[[Column], Column] = log_cell,
     scale: dict[str, Callable[[Column], Column]] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row per ``by`` with a linearly interpolated quantile (double) per entry of ``probs``, and ``n``, ``max``.
 
     ``scale`` names an increasing function for some quantiles: they are interpolated, and returned, on that scale.
+    ``weight`` names a column with the number of times a row counts (rows already counted per value).
     NULL values are ignored; a group without values yields no row (no row at all when ``by`` is empty).
     """
     by = list(by)
     value = F.col(value) if isinstance(value, str) else value
-    counted = (
-        df.select(*by, value.alias("_v")).where(F.col("_v").isNotNull())
-        .groupBy(*by, "_v").agg(F.count("*").alias("_n"))
-        .withColumn("_cell", cell(F.col("_v")))
-    )
+    counted = value_counts(df, value, by, "_v", "_n") if weight is None else \
+        df.select(*by, value.alias("_v"), F.col(weight).alias("_n")).where(F.col("_v").isNotNull())
+    counted = counted.withColumn("_cell", cell(F.col("_v")))
     per_key = Window.partitionBy(*by)
     upto = per_key.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cells = (
