@@ -30,14 +30,6 @@ def _rank(total: Column, p: float) -> tuple[Column, Column, Column]:
     return low.cast("long"), F.ceil(position).cast("long"), position - low
 
 
-def value_counts(df: DataFrame, value: Column | str, by: Sequence[str] = (), name: str = "v",
-                 count: str = "n") -> DataFrame:
-    """Rows per distinct value and group; NULL values are left out."""
-    value = F.col(value) if isinstance(value, str) else value
-    return df.select(*by, value.alias(name)).where(F.col(name).isNotNull()).groupBy(*by, name) \
-        .agg(F.count("*").alias(count))
-
-
 def exact_quantiles(
     df: DataFrame,
     value: Column | str,
@@ -45,19 +37,24 @@ def exact_quantiles(
     by: Sequence[str] = (),
     cell: Callable[[Column], Column] = log_cell,
     scale: dict[str, Callable[[Column], Column]] | None = None,
-    weight: str | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
     """One row per ``by`` with a linearly interpolated quantile (double) per entry of ``probs``, and ``n``, ``max``.
 
     ``scale`` names an increasing function for some quantiles: they are interpolated, and returned, on that scale.
-    ``weight`` names a column with the number of times a row counts (rows already counted per value).
+    ``few_groups`` says that ``by`` is empty or holds names given by the caller, so there are at most two wanted cells
+    per quantile and name.  Then rows are counted per cell only, the wanted cells are sent to every task, and a second
+    look at the input keeps the rows inside them: nearly nothing is shuffled.  Otherwise equal values are counted
+    once and the count is used for both steps.
     NULL values are ignored; a group without values yields no row (no row at all when ``by`` is empty).
     """
     by = list(by)
     value = F.col(value) if isinstance(value, str) else value
-    counted = value_counts(df, value, by, "_v", "_n") if weight is None else \
-        df.select(*by, value.alias("_v"), F.col(weight).alias("_n")).where(F.col("_v").isNotNull())
-    counted = counted.withColumn("_cell", cell(F.col("_v")))
+    rows = df.select(*by, value.alias("_v")).where(F.col("_v").isNotNull())
+    if few_groups:
+        counted = rows.withColumns({"_cell": cell(F.col("_v")), "_n": F.lit(1).cast("long")})
+    else:
+        counted = rows.groupBy(*by, "_v").agg(F.count("*").alias("_n")).withColumn("_cell", cell(F.col("_v")))
     per_key = Window.partitionBy(*by)
     upto = per_key.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cells = (
@@ -78,9 +75,14 @@ def exact_quantiles(
     for low, high, _ in ranks.values():
         wanted = wanted | inside(low, "_before", "_c") | inside(high, "_before", "_c")
     hits = cells.where(wanted).drop("_c")
+    if few_groups:
+        found = ["_cell", "_before", "_total", "_max"]
+        inner = counted.join(F.broadcast(hits), [*by, "_cell"]).groupBy(*by, *found, "_v").agg(F.sum("_n").alias("_n"))
+    else:
+        inner = counted.join(hits, [*by, "_cell"])
 
     in_cell = Window.partitionBy(*by, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fine = counted.join(hits, [*by, "_cell"]).withColumn(
+    fine = inner.withColumn(
         "_start", F.col("_before") + F.sum("_n").over(in_cell) - F.col("_n"))
 
     picks = [F.max("_total").alias("n"), F.max("_max").alias("max")]

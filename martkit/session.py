@@ -3,9 +3,8 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(app: str = "martkit", cores: str | int = "*", partitions: int = 8) -> SparkSession:
@@ -29,10 +28,3 @@ def scratch_folder(spark: SparkSession) -> str:
         shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", shared)
     return shared.rstrip("/")
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write once, read back: the result is computed a single time, survives lost executors and has no lineage."""
-    path = f"{scratch_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

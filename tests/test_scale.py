@@ -47,22 +47,23 @@ def test_sequence_and_next_agree_with_brute_force(spark, purchases, busy_rows):
     assert all(seq[r[0]] is None and nxt[r[0]] is None for r in purchases if r[1] is None)
 
 
+@pytest.mark.parametrize("few", [False, True])
 @pytest.mark.parametrize("cell", [log_cell, linear_cell(0.5), linear_cell(1e6)])
-def test_quantiles_agree_with_numpy(spark, cell):
+def test_quantiles_agree_with_numpy(spark, cell, few):
     rng = np.random.default_rng(3)
     data = {"hot": np.concatenate([np.full(500, 5.0), rng.normal(0, 100, 501)]), "one": np.array([7.5]),
             "few": np.array([-3.0, 0.0, 0.0, 12.25])}
     rows = [(k, float(v)) for k, vs in data.items() for v in vs] + [("none", None)]
     df = spark.createDataFrame(rows, "k string, v double").repartition(7)
     probs = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p99": 0.99, "p100": 1.0}
-    got = {r.k: r for r in exact_quantiles(df, "v", probs, ["k"], cell).collect()}
+    got = {r.k: r for r in exact_quantiles(df, "v", probs, ["k"], cell, few_groups=few).collect()}
     assert set(got) == set(data)
     for k, vs in data.items():
         assert [got[k][p] for p in probs] == pytest.approx(list(np.quantile(vs, list(probs.values()))), abs=1e-12)
         assert got[k].n == len(vs) and got[k].max == vs.max()
-    whole = exact_quantiles(df, "v", {"m": 0.5}, cell=cell).first()
+    whole = exact_quantiles(df, "v", {"m": 0.5}, cell=cell, few_groups=few).first()
     assert whole.m == pytest.approx(np.median(np.concatenate(list(data.values()))))
-    assert exact_quantiles(df.where("k = 'none'"), "v", {"m": 0.5}).count() == 0
+    assert exact_quantiles(df.where("k = 'none'"), "v", {"m": 0.5}, few_groups=few).count() == 0
 
 
 def test_global_rank_running_total_and_tiles(spark):
