@@ -1,6 +1,8 @@
 """The single operators, each over whole test tables."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions import (band_label, band_order, close_to, date_key, elapsed_days, exact_avg, fold_city,
@@ -275,7 +277,7 @@ def fn_averages(spark: SparkSession, folder: str) -> DataFrame:
 
 def io_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Raw orders written as CSV and loaded through the typed loader."""
-    path = f"{scratch_folder(spark)}/orders-{spark.sparkContext.applicationId}"
+    path = f"{scratch_folder(spark)}/orders-{uuid.uuid4().hex}"
     csv_tables.write_csv(raw_tables(spark, folder)["orders"], path, shrink_dates=False)
     spec = SPECS["orders"]
     return csv_tables.type_table(csv_tables.read_text_table(spark, spec, path), spec)

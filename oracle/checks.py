@@ -227,7 +227,7 @@ _freight = one("Accuracy", "order_items", "Freight greater than item price", "IN
                "count(*) FILTER (WHERE freight_value > price)", "count(*)",
                "Keep; create flag column freight_gt_price", "raw_items",
                "'Relevant for logistics-cost analysis (cheap, heavy items)'")
-_parts = [_freight]
+_parts = []
 
 
 def grouped(x: str) -> str:
@@ -275,7 +275,8 @@ add("chk_profile", " ".join(v for v, _ in RAW.values()), " UNION ALL ".join(_par
 
 _ALL = ["chk_parsing", "chk_nulls", "chk_coverage", "chk_primary_key", "chk_full_duplicates", "chk_grain",
         "chk_foreign_keys", "chk_allowed_values", "chk_numeric_ranges", "chk_bbox", "chk_date_order",
-        "chk_status_vs_dates", "chk_shipping_limit", "chk_reconcile", "chk_iqr_outliers", "chk_timeliness"]
+        "chk_status_vs_dates", "chk_shipping_limit", "chk_reconcile", "chk_iqr_outliers", "chk_business_outlier",
+        "chk_timeliness"]
 
 
 def _summary() -> str:
