@@ -24,10 +24,16 @@ def _state(nation_key: str) -> str:
     return f"element_at(array({', '.join(repr(s) for s in STATES)}), {nation_key} + 1)"
 
 
-_CENTS = "CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT)"
-_PRICE = "CAST(l_extendedprice AS DECIMAL(12,2))"
-_RATE = "CAST(CAST(l_tax AS DECIMAL(4,2)) + CASE WHEN l_quantity <= 1 THEN 1 ELSE 0 END AS DECIMAL(4,2))"
-_MONEY = "DECIMAL(18,4)"
+# The test prices are doubles with two decimals: whole cents first, then exact decimals.
+_CENTS = "CAST(rint(o_totalprice * 100) AS BIGINT)"
+_PRICE_CENTS = "CAST(rint(l_extendedprice * 100) AS BIGINT)"
+_RATE = "(CAST(rint(l_tax * 100) AS BIGINT) + CASE WHEN l_quantity <= 1 THEN 100 ELSE 0 END)"
+
+
+def _money(ten_thousandths: str) -> str:
+    return f"CAST(CAST({ten_thousandths} AS DECIMAL(13,0)) * 0.0001BD AS DECIMAL(18,4))"
+
+
 _CATEGORY = """CASE WHEN p_name = 'red gear' THEN 'pc_gamer'
                     ELSE concat_ws('_', lower(p_type), element_at(split(p_name, ' '), -1)) END"""
 
@@ -62,7 +68,7 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
     return driver_table(spark, folder, "lineitem").selectExpr(
         "l_orderkey AS order_id", "l_linenumber AS order_item_id", "l_partkey AS product_id",
         "l_suppkey AS seller_id", "l_shipdate AS shipping_limit_date",
-        f"CAST({_PRICE} AS {_MONEY}) AS price", f"CAST({_PRICE} * {_RATE} AS {_MONEY}) AS freight_value",
+        f"{_money(f'{_PRICE_CENTS} * 100')} AS price", f"{_money(f'{_PRICE_CENTS} * {_RATE}')} AS freight_value",
     )
 
 
@@ -75,9 +81,8 @@ def order_payments(spark: SparkSession, folder: str) -> DataFrame:
                 WHEN l_linestatus = 'F' THEN 'debit_card'
                 WHEN l_tax > 0 THEN 'credit_card' ELSE 'not_defined' END AS payment_type""",
         "CAST(l_quantity AS INT) % 26 AS payment_installments",
-        f"""CAST({_PRICE} + {_PRICE} * {_RATE}
-                 + (CAST(l_discount AS DECIMAL(4,2)) - CAST(0.05 AS DECIMAL(4,2))) * 10 AS {_MONEY})
-               AS payment_value""",
+        _money(f"{_PRICE_CENTS} * (100 + {_RATE}) + (CAST(rint(l_discount * 100) AS BIGINT) - 5) * 1000")
+        + " AS payment_value",
     )
 
 

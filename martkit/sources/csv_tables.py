@@ -129,7 +129,7 @@ def write_csv(df: DataFrame, path: str, shrink_dates: bool = True) -> None:
             df = df.withColumns({c: F.to_date(c) for c, midnight in flags.items() if midnight})
     df.write.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(
         path, header=True, dateFormat="yyyy-MM-dd", escape='"', timestampFormat="yyyy-MM-dd HH:mm:ss", emptyValue="",
-        nullValue="")
+        nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 # ---------------------------------------------------------------- typed re-read of exported star tables
