@@ -283,6 +283,27 @@ def io_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return csv_tables.type_table(csv_tables.read_text_table(spark, spec, path), spec)
 
 
+def io_csv_typed(spark: SparkSession, folder: str) -> DataFrame:
+    """Events written as CSV and read with declared types; what does not fit its type becomes NULL."""
+    path = f"{scratch_folder(spark)}/events-{uuid.uuid4().hex}"
+    events = driver_table(spark, folder, "events").select(
+        "event_id", "value", F.nullif("event_type", F.lit("error")).alias("kind"), F.col("event_type").alias("number"),
+        F.substring(F.col("ts").cast("string"), 1, 19).alias("moment"), "props")
+    csv_tables.write_csv(events, path)
+    spec = TableSpec("events", "events.csv", T.StructType([
+        T.StructField("event_id", T.LongType()), T.StructField("value", MONEY), T.StructField("kind", T.StringType()),
+        T.StructField("number", T.IntegerType()), T.StructField("moment", T.TimestampNTZType()),
+        T.StructField("props", T.StringType())]))
+    return csv_tables.type_table(csv_tables.read_text_table(spark, spec, path), spec)
+
+
+def cl_normalize_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Spelling of whole texts folded to plain lower case."""
+    folded = fold_city(F.col("text"))
+    return driver_table(spark, folder, "documents").select("doc_id", F.length(folded).alias("length"),
+                                                           F.md5(folded).alias("folded"))
+
+
 def io_parse_failures(spark: SparkSession, folder: str) -> DataFrame:
     """Values that do not fit their declared type, counted in one aggregate: events read as text."""
     text = driver_table(spark, folder, "events").select(
@@ -299,5 +320,5 @@ OPERATOR_QUERIES = {f.__name__: f for f in (
     agg_rows_joined_back, win_lag_running_moving, win_rank_dense, win_row_number_ntile, win_lead_next,
     win_sequence_per_key, win_first_last_per_key, join_left_lookup, join_orphans, join_coverage_null_safe,
     join_semi_composite, join_aggregates, join_cross_baseline, join_star, ord_top_k, ord_mixed_directions,
-    ord_sample_values, fn_text, fn_time_gaps, fn_rounding, fn_bands, fn_averages, io_csv_roundtrip,
-    io_parse_failures)}
+    ord_sample_values, fn_text, fn_time_gaps, fn_rounding, fn_bands, fn_averages, cl_normalize_text,
+    io_csv_roundtrip, io_csv_typed, io_parse_failures)}

@@ -77,14 +77,17 @@ def parse_failures(text: DataFrame, spec: specs.TableSpec) -> DataFrame:
         F.lit(spec.name).alias("table"), "p.column", "p.failed", "rows")
 
 
-def load_table(spark: SparkSession, spec: specs.TableSpec, folder: str) -> DataFrame:
-    return type_table(read_text_table(spark, spec, f"{folder}/{spec.file}"), spec)
+def load_table(spark: SparkSession, spec: specs.TableSpec, folder: str, file: str | None = None) -> DataFrame:
+    return type_table(read_text_table(spark, spec, f"{folder}/{file or spec.file}"), spec)
 
 
-def load_all(spark: SparkSession, folder: str, typed_copy: str | None = None,
-             reuse: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
+def load_all(spark: SparkSession, folder: str, typed_copy: str | None = None, reuse: bool = False,
+             files: Mapping[str, str] | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
     """(tables, parse failures) of a folder of CSV files; fails at once naming every missing file.
 
+    ``files`` gives a table another file name than its spec; a name may also be a folder of part files, which are
+    then read in parallel.
+
     With ``typed_copy`` the tables and the failure counts are also written as Parquet and read back, so later steps
     do not parse again and start from a splittable source; ``reuse`` takes an existing copy as it is.
     """
@@ -92,10 +95,11 @@ def load_all(spark: SparkSession, folder: str, typed_copy: str | None = None,
     if copy and reuse and _exists(spark, f"{copy}/parse_failures/_SUCCESS"):
         return {n: spark.read.parquet(f"{copy}/{n}") for n in specs.SPECS}, \
             spark.read.parquet(f"{copy}/parse_failures")
-    absent = [s.file for s in specs.SPECS.values() if not _exists(spark, f"{folder}/{s.file}")]
+    names = {n: (files or {}).get(n, s.file) for n, s in specs.SPECS.items()}
+    absent = [f for f in names.values() if not _exists(spark, f"{folder}/{f}")]
     if absent:
         raise FileNotFoundError(f"missing in {folder}: {', '.join(absent)}. Download the dataset first.")
-    text = {n: read_text_table(spark, s, f"{folder}/{s.file}") for n, s in specs.SPECS.items()}
+    text = {n: read_text_table(spark, s, f"{folder}/{names[n]}") for n, s in specs.SPECS.items()}
     tables = {n: type_table(t, specs.SPECS[n]) for n, t in text.items()}
     failures = reduce(DataFrame.unionByName, [parse_failures(t, specs.SPECS[n]) for n, t in text.items()])
     if copy:

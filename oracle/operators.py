@@ -271,3 +271,7 @@ add("io_parse_failures", "", """
 SELECT 'events' AS "table", c AS "column", failed, n AS rows
 FROM (SELECT count(*) AS n, count(*) FILTER (WHERE microsecond(ts) % 1000000 <> 0) AS fractions FROM events) e,
      LATERAL (VALUES ('amount', 0), ('number', e.n), ('moment', 0), ('instant', e.fractions)) v(c, failed)""")
+add("io_csv_typed", "", """
+SELECT event_id, value, CASE WHEN event_type <> 'error' THEN event_type END AS kind, CAST(NULL AS INTEGER) AS number,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS moment, props FROM events""")
+add("cl_normalize_text", "", f"SELECT doc_id, length({_FOLD}) AS length, md5({_FOLD}) AS folded FROM documents")

@@ -19,6 +19,15 @@ def test_every_missing_file_is_named(spark, tmp_path):
     assert all(s.file in str(error.value) for s in SPECS.values())
 
 
+def test_other_file_names_and_folders_of_parts(spark, tmp_path, sound_tables):
+    write_tables(tmp_path, PLANTED)
+    (tmp_path / "sellers.csv").rename(tmp_path / "vendors.csv")
+    io.write_csv(sound_tables["orders"], str(tmp_path / "orders_parts"), shrink_dates=False)
+    tables, _ = io.load_all(spark, str(tmp_path), files={"sellers": "vendors.csv", "orders": "orders_parts"})
+    assert tables["sellers"].count() == 1
+    assert sorted(map(str, tables["orders"].collect())) == sorted(map(str, sound_tables["orders"].collect()))
+
+
 def test_types_padding_trimming_and_bom(tables):
     for name, spec in SPECS.items():
         assert tables[name].schema == spec.schema or \
