@@ -38,6 +38,11 @@ def smallest_values(df: DataFrame, by: str, value: str, k: int) -> DataFrame:
         .groupBy(by).agg(F.array_sort(F.collect_list(value)).alias("smallest"))
 
 
+def smallest_overall(df: DataFrame, value: str, k: int) -> DataFrame:
+    """One row: the ``k`` smallest of distinct values as an array.  Each task passes on ``k`` rows."""
+    return df.select(value).orderBy(value).limit(k).agg(F.array_sort(F.collect_list(value)).alias("smallest"))
+
+
 def comparable(df: DataFrame, long_text: Sequence[str] = ()) -> list[Column]:
     """All columns for grouping whole rows; long texts are replaced by their SHA-256, so they do not travel."""
     return [F.sha2(F.col(c), 256).alias(c) if c in long_text else F.col(c) for c in df.columns]

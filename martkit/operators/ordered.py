@@ -7,6 +7,8 @@ ordered inside one cell.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -81,32 +83,37 @@ def rank_all(
     cell_order: Sequence[Column],
     position: str = "position",
     running: dict[str, str] | None = None,
-    totals: bool = True,
 ) -> DataFrame:
     """Position of every row in one global order, running sums along it, and the overall totals.
 
-    ``cell`` names expressions that never decrease along ``order`` (such as a rounded-down value and the head of the
-    tie-break key); ``cell_order`` sorts them the way ``order`` sorts rows.  Adds ``position``, one column per entry
-    of ``running`` (output name -> summed column) and, with ``totals``, ``n_rows`` and ``total_<output name>``.
+    ``cell`` names levels of ever finer cells, none of them NULL: rows in ``order`` never step back in the levels
+    taken together (a rounded-down value; or the value itself and then the head of the tie-break key, which splits a
+    value shared by very many rows).  ``cell_order`` sorts the levels as ``order`` sorts rows.  Totals are added up
+    level by level, so a task sees the cells inside one parent cell, or the rows of one finest cell.
+    Adds ``position``, one column per entry of ``running`` (output name -> summed column), ``n_rows`` and
+    ``total_<output name>``.
     """
-    running = running or {}
+    running, levels = running or {}, list(cell)
+    sums = {"_c": None, **{f"_s_{n}": c for n, c in running.items()}}
     marked = df.select("*", *[c.alias(n) for n, c in cell.items()])
-    line = Window.orderBy(*cell_order)
-    whole = Window.partitionBy()
-    sums = [F.count("*").alias("_c")] + [F.sum(c).alias(f"_s_{n}") for n, c in running.items()]
-    ahead = [_before("_c", line).alias("_ahead")]
-    ahead += [_before(f"_s_{n}", line).alias(f"_a_{n}") for n in running]
-    if totals:
-        ahead.append(F.sum("_c").over(whole).alias("n_rows"))
-        ahead += [F.sum(f"_s_{n}").over(whole).alias(f"total_{n}") for n in running]
-    cells = marked.groupBy(*cell).agg(*sums).select(*cell, *ahead)
-    inside = Window.partitionBy(*cell).orderBy(*order)
+    finest = marked.groupBy(*levels).agg(
+        *[(F.count("*") if c is None else F.sum(c)).alias(s) for s, c in sums.items()])
+    whole = finest.agg(F.sum("_c").alias("n_rows"), *[F.sum(f"_s_{n}").alias(f"total_{n}") for n in running])
+    ahead = finest.select(*levels)
+    for i, level in enumerate(levels):
+        known = levels[:i + 1]
+        line = Window.partitionBy(*levels[:i]).orderBy(cell_order[i])
+        step = finest.groupBy(*known).agg(*[F.sum(s).alias(s) for s in sums]) \
+            .select(*known, *[_before(s, line).alias(f"{s}{level}") for s in sums])
+        ahead = ahead.join(step, known)
+    # One row of totals travels to every task.
+    ahead = ahead.select(*levels, *[reduce(add, [F.col(f"{s}{v}") for v in levels]).alias(f"_ahead{s}") for s in sums])
+    inside = Window.partitionBy(*levels).orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = marked.join(cells, list(cell)).withColumn(
-        position, F.row_number().over(inside).cast("long") + F.col("_ahead"))
+    out = marked.join(ahead, levels).withColumn(position, F.row_number().over(inside).cast("long") + F.col("_ahead_c"))
     for n, c in running.items():
-        out = out.withColumn(n, F.sum(c).over(upto) + F.col(f"_a_{n}"))
-    return out.drop(*cell, "_ahead", *[f"_a_{n}" for n in running])
+        out = out.withColumn(n, F.sum(c).over(upto) + F.col(f"_ahead_s_{n}"))
+    return out.drop(*levels, *[f"_ahead{s}" for s in sums]).crossJoin(F.broadcast(whole))
 
 
 def tile(position: Column, n_rows: Column, tiles: int) -> Column:

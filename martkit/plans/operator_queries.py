@@ -15,6 +15,7 @@ from ..session import scratch_folder
 from ..sources import csv_tables
 from ..sources.carriers import driver_table, raw_tables
 from ..specs import DELIVERY_BANDS, MONEY, SPECS, TableSpec
+from .catalogue import id_cell
 
 
 def _money(c: str):
@@ -101,8 +102,10 @@ def win_rank_dense(spark: SparkSession, folder: str) -> DataFrame:
 def win_row_number_ntile(spark: SparkSession, folder: str) -> DataFrame:
     """Global positions, quartiles, running total and share over all customers, cut into cells of the order."""
     c = driver_table(spark, folder, "customer").select("c_custkey", _money("c_acctbal").alias("balance"))
-    ranked = rank_all(c, [F.desc("balance"), F.asc("c_custkey")], {"_cell": F.floor(F.col("balance") / 50)},
-                      [F.desc("_cell")], position="row_number", running={"running": "balance"})
+    cells = {"_whole": F.floor("balance"), "_balance": F.col("balance"), "_head": id_cell(c, "c_custkey")}
+    ranked = rank_all(c, [F.desc("balance"), F.asc("c_custkey")], cells,
+                      [F.desc("_whole"), F.desc("_balance"), F.asc("_head")], position="row_number",
+                      running={"running": "balance"})
     return ranked.select("c_custkey", "balance", "row_number", "running", "n_rows",
                          F.try_divide(F.col("balance").cast("double"), F.col("total_running").cast("double"))
                          .alias("share"),

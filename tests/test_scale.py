@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from martkit.operators.keys import copied_rows, orphan_counts, row_copies, smallest_values
+from martkit.operators.keys import copied_rows, orphan_counts, row_copies, smallest_overall, smallest_values
 from martkit.operators.ordered import next_per_key, rank_all, sequence_per_key, tile
 from martkit.operators.quantiles import exact_quantiles, linear_cell, log_cell
 from martkit.plans.registry import all_queries
@@ -66,12 +66,14 @@ def test_quantiles_agree_with_numpy(spark, cell, few):
     assert exact_quantiles(df.where("k = 'none'"), "v", {"m": 0.5}, few_groups=few).count() == 0
 
 
-def test_global_rank_running_total_and_tiles(spark):
+@pytest.mark.parametrize("levels", [1, 2, 3])
+def test_global_rank_running_total_and_tiles(spark, levels):
     rng = random.Random(5)
     rows = [(i, rng.choice([10, 10, 10, 200, 31])) for i in range(203)]
     df = spark.createDataFrame(rows, "id long, v long").repartition(6)
-    got = rank_all(df, [F.desc("v"), F.asc("id")], {"_v": F.floor(F.col("v") / 100), "_i": F.floor(F.col("id") / 1000)},
-                   [F.desc("_v"), F.asc("_i")], running={"upto": "v"})
+    cells = {"_v": F.floor(F.col("v") / 100), "_w": F.col("v"), "_i": F.floor(F.col("id") / 10)}
+    got = rank_all(df, [F.desc("v"), F.asc("id")], dict(list(cells.items())[:levels]),
+                   [F.desc("_v"), F.desc("_w"), F.asc("_i")][:levels], running={"upto": "v"})
     got = {r.id: r for r in got.withColumn("q", tile(F.col("position"), F.col("n_rows"), 4)).collect()}
     total, sizes = 0, [51, 51, 51, 50]
     quartile = [q for q, n in enumerate(sizes, 1) for _ in range(n)]
@@ -95,7 +97,26 @@ def test_copies_orphans_and_samples(spark):
     assert [tuple(r) for r in orphan_counts(df, "k", parent, "p").collect()] == [("a", 3)]
     assert {tuple(r) for r in orphan_counts(df, "k", parent, "p", keep_null=True).collect()} == {("a", 3), (None, 2)}
     many = spark.range(100).select(F.lit("g").alias("g"), "id")
-    assert smallest_values(many, "g", "id", 3).first().smallest == [0, 1, 2]
+    assert smallest_values(many.withColumn("g", F.col("id") % 2), "g", "id", 3).where("g = 1").first().smallest \
+        == [1, 3, 5]
+    assert smallest_overall(many, "id", 3).first().smallest == [0, 1, 2]
+    assert smallest_overall(many.where("id < 0"), "id", 3).first().smallest == []
+
+
+@pytest.mark.parametrize("name,operator", [
+    ("chk_foreign_keys", "TakeOrderedAndProject"), ("chk_allowed_values", "WindowGroupLimit"),
+    ("ord_sample_values", "WindowGroupLimit"), ("ord_top_k", "TakeOrderedAndProject")])
+def test_samples_are_limited_before_the_shuffle(spark, name, operator):
+    plan = all_queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert operator in plan
+
+
+@pytest.mark.parametrize("name,columns", [
+    ("q06_delay_vs_review", {"l_extendedprice", "l_tax", "l_discount"}), ("q09_seller_concentration", {"l_discount"})])
+def test_scans_read_only_needed_columns(spark, name, columns):
+    plan = all_queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert scans and not any(c in line for c in columns for line in scans)
 
 
 @pytest.mark.parametrize("name", ["q03_revenue_by_state", "q08_seller_risk", "fact_orders", "msr_customers"])
