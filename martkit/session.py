@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -22,9 +23,15 @@ def local_session(app: str = "martkit", cores: str | int = "*", partitions: int
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The folder the cluster shares (``spark.checkpoint.dir``); a temporary one only where that is unset."""
+    """The folder the cluster shares (``spark.checkpoint.dir``).
+
+    A local session without one gets a folder of its own, since driver and executors are one process there.  Anywhere else
+    it must be set: executors that write to their own disks would give incomplete results.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not shared:
-        shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="run-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return shared.rstrip("/")
