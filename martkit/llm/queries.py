@@ -5,18 +5,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .archives import archived_pages
 from .common import table
 from .contamination import contained_items
 from .exact_dedup import exact_duplicates
 from .mixing import mixed_documents
 from .quality import quality_scores
+from .secrets import secret_spans
 from .simhash import linked_components
+from .toxicity import toxicity_scores
 
 
 def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_spans(table(spark, folder, "documents"))
+
+
+def op4_arc_to_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return archived_pages(table(spark, folder, "pages"))
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = linked_components(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -34,7 +45,11 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed_documents(table(spark, folder, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op5_simhash, op7_exact_dedup, op8_quality, op9_mixing)}
+    f.__name__: f for f in (op1_decontamination, op3_secrets, op4_arc_to_warc, op5_simhash, op7_exact_dedup, op8_quality, op9_mixing, op10_toxicity)}
 
 ORACLES: dict[str, str] = {}
