@@ -9,10 +9,12 @@ from .archives import archived_pages
 from .common import table
 from .contamination import contained_items
 from .exact_dedup import exact_duplicates
+from .licences import license_labels
 from .mixing import mixed_documents
 from .quality import quality_scores
 from .secrets import secret_spans
 from .simhash import linked_components
+from .tool_calls import TOOLS, calls_of, linked_calls
 from .toxicity import toxicity_scores
 
 
@@ -20,6 +22,11 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op2_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    calls, results = calls_of(table(spark, folder, "conversations"))
+    return linked_calls(calls, results, TOOLS).withColumn("errors", F.array_join("errors", "; "))
+
+
 def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_spans(table(spark, folder, "documents"))
 
@@ -33,6 +40,10 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return license_labels(table(spark, folder, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(table(spark, folder, "documents"))
 
@@ -50,6 +61,6 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op3_secrets, op4_arc_to_warc, op5_simhash, op7_exact_dedup, op8_quality, op9_mixing, op10_toxicity)}
+    f.__name__: f for f in (op1_decontamination, op2_tool_calls, op3_secrets, op4_arc_to_warc, op5_simhash, op6_licences, op7_exact_dedup, op8_quality, op9_mixing, op10_toxicity)}
 
 ORACLES: dict[str, str] = {}
