@@ -11,6 +11,7 @@ from .contamination import contained_items
 from .exact_dedup import exact_duplicates
 from .licences import license_labels
 from .mixing import mixed_documents
+from .oracles import ORACLES  # noqa: F401
 from .quality import quality_scores
 from .secrets import secret_spans
 from .simhash import linked_components
@@ -62,5 +63,3 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontamination, op2_tool_calls, op3_secrets, op4_arc_to_warc, op5_simhash, op6_licences, op7_exact_dedup, op8_quality, op9_mixing, op10_toxicity)}
-
-ORACLES: dict[str, str] = {}
