@@ -39,6 +39,11 @@ _ROLES = {"assign": "secret", "access": "identifier", "hex": "secret"} | {k: v[0
 _SPANS = "array<struct<start: bigint, stop: bigint, n: int>>"
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value taken once: what a lambda refers to from outside is computed anew for each element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _before(lengths: Column) -> Column:
     """For each element the sum of those before it.  Sums are taken in pieces of 256, so that thousands of matches in one
     text cost little."""
@@ -46,30 +51,29 @@ def _before(lengths: Column) -> Column:
 
     def total(x: Column) -> Column:
         return F.aggregate(x, F.lit(0).cast("long"), lambda a, v: a + v)
-    n = F.ceil(F.size(lengths) / piece).cast("int")
-    pieces = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda p: total(F.slice(lengths, p * piece + 1, piece)))
-    starts = F.transform(pieces, lambda _, p: total(F.slice(pieces, F.lit(1), p)))
-    return F.transform(lengths, lambda _, i: F.element_at(starts, F.floor(i / piece).cast("int") + 1)
-                       + total(F.slice(lengths, (F.floor(i / piece) * piece + 1).cast("int"), (i % piece).cast("int"))))
-
 
-def _lit(pattern: str) -> Column:
-    return F.lit(pattern)
+    def summed(all_: Column, starts: Column) -> Column:
+        return F.transform(all_, lambda _, i: F.element_at(starts, F.floor(i / piece).cast("int") + 1)
+                           + total(F.slice(all_, (F.floor(i / piece) * piece + 1).cast("int"), (i % piece).cast("int"))))
+    last = F.greatest(F.ceil(F.size(lengths) / piece).cast("int") - 1, F.lit(0))
+    pieces = F.transform(F.sequence(F.lit(0), last), lambda p: total(F.slice(lengths, p * piece + 1, piece)))
+    return _let(pieces, lambda ps: _let(F.transform(ps, lambda _, p: total(F.slice(ps, F.lit(1), p))), lambda starts: summed(lengths, starts)))
 
 
-def spans(text: Column, pattern: str, value_length: tuple[int, int] | None = None) -> Column:
+def spans(text: Column, pattern: str, value_group: bool = False) -> Column:
     """start, stop (exclusive) and n (length of group 2) of each leftmost non-overlapping match."""
-    found = F.regexp_extract_all(text, _lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    values = F.regexp_extract_all(text, _lit(pattern), F.lit(2)) if value_length else found
-    lengths = F.transform(found, lambda m, i: (F.char_length(m) + F.char_length(F.element_at(gaps, i + 1))).cast("long"))
-    before = _before(lengths)
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if value_group else found
+    # Lengths of the matches, of the gaps before them and of their values.
+    sizes = F.struct(F.transform(found, lambda m: F.char_length(m).cast("long")).alias("m"),
+                     F.transform(F.split(text, pattern, -1), lambda g: F.char_length(g).cast("long")).alias("g"),
+                     F.transform(values, lambda v: F.char_length(v)).alias("v"))
 
-    def span(m: Column, i: Column) -> Column:
-        start = F.element_at(before, i + 1) + F.char_length(F.element_at(gaps, i + 1))
-        return F.struct(start.cast("long").alias("start"), (start + F.char_length(m)).cast("long").alias("stop"),
-                        F.char_length(F.element_at(values, i + 1)).cast("int").alias("n"))
-    return F.when(F.size(found) > 0, F.transform(found, span)).otherwise(F.array().cast(_SPANS))
+    def placed(s: Column) -> Column:
+        steps = F.zip_with(s["m"], F.slice(s["g"], F.lit(1), F.size(s["m"])), lambda m, g: m + g)
+        return _let(steps, lambda all_: _let(_before(all_), lambda before: F.transform(before, lambda at, i: F.struct(
+            (at + F.get(s["g"], i)).alias("start"), (at + F.get(s["g"], i) + F.get(s["m"], i)).alias("stop"), F.get(s["v"], i).alias("n")))))
+    return F.when(text.rlike(pattern), _let(sizes, placed)).otherwise(F.array().cast(_SPANS))
 
 
 def _if(test: Column, value: Column) -> Column:
@@ -112,7 +116,7 @@ def secret_spans(docs: DataFrame, scope: int = SCOPE, text: str = "text", doc_id
     body, low = F.col("body"), F.col("low")
     long_run = body.rlike("[A-Za-z0-9+/]{32}")
     rows = rows.select(
-        "doc_id", "body", _if(_holds(low, ("password", "passwd", "secret", "token", "apikey", "api_key")), spans(body, ASSIGN, (8, 0))).alias("named"),
+        "doc_id", "body", _if(_holds(low, ("password", "passwd", "secret", "token", "apikey", "api_key")), spans(body, ASSIGN, True)).alias("named"),
         _if(body.contains("AKIA"), spans(body, ACCESS)).alias("access"), _if(long_run, spans(body, HEX)).alias("hex"),
         *[_if(long_run if tests is None else _holds(low, tests), spans(body, pattern)).alias(k) for k, (_, pattern, tests) in WEAK.items() if pattern])
     rows = rows.withColumn("assign", F.filter("named", lambda s: s["n"] >= 8)).withColumn(
