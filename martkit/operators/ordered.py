@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
 def _before(total: str, window) -> Column:
@@ -18,62 +18,80 @@ def _before(total: str, window) -> Column:
     return F.coalesce(F.sum(total).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
-# A key with more rows than this is cut into minutes; below it, one task sorts the key's rows with ease.
-BUSY_KEY_ROWS = 1_000_000
+_CELL = ["_day", "_minute", "_moment", "_head"]
+#: Characters of a text tie-break, or size of a range of a numeric one, that make up a cell's last level.
+HEAD_CHARS, HEAD_RANGE = 4, 4096
 
 
-def _with_cells(df: DataFrame, key: str, ts: str, name: str, per_cell: Column, link, busy_rows: int) -> DataFrame:
-    """Rows with ``_day`` and ``_minute`` set for busy keys only, and ``name`` looked up for those cells.
+def _cells(df: DataFrame, ts: str, tie: str) -> dict[str, Column]:
+    """Day, minute, moment in it and head of the tie-break: rows in the order (ts, tie) of a key never step back in them.
 
-    Rows are counted per key and minute first.  Keys with more than ``busy_rows`` rows are few (at most one per
-    ``busy_rows`` rows of input), so the list of them can be broadcast; only their cells are linked to each other.
-    Rows without a time form the last cell of their key.
+    Rows without a time are in the last day, rows without a tie-break in the last head.
     """
-    day = F.coalesce(F.to_date(ts), F.to_date(F.lit("9999-12-31")))
-    minute = F.coalesce(F.hour(ts) * 60 + F.minute(ts), F.lit(0))
-    counted = df.where(F.col(key).isNotNull()).groupBy(key, day.alias("_day"), minute.alias("_minute")) \
-        .agg(F.count("*").alias("_n"), per_cell.alias("_cell"))
-    busy = F.broadcast(counted.groupBy(key).agg(F.sum("_n").alias("_n")).where(F.col("_n") > busy_rows)
-                       .select(key, F.lit(True).alias("_busy")))
-    cells = link(counted.join(busy, key, "left_semi"), key).select(key, "_day", "_minute", F.col("_link").alias(name))
-    split = df.join(busy, key, "left").withColumns({
-        "_day": F.when(F.col("_busy"), day), "_minute": F.when(F.col("_busy"), minute)}).drop("_busy")
-    return split.join(cells, [key, "_day", "_minute"], "left")
+    if isinstance(df.schema[tie].dataType, T.NumericType):
+        head = F.coalesce(F.floor(F.col(tie) / HEAD_RANGE).cast("long"), F.lit((1 << 63) - 1))
+    else:
+        head = F.coalesce(F.substring(F.col(tie).cast("string"), 1, HEAD_CHARS), F.lit("\U0010FFFF"))
+    return {"_day": F.coalesce(F.to_date(ts), F.to_date(F.lit("9999-12-31"))),
+            "_minute": F.coalesce(F.hour(ts) * 60 + F.minute(ts), F.lit(0)),
+            "_moment": F.coalesce(F.date_format(ts, "ssSSSSSS"), F.lit("")), "_head": head}
 
 
 def _in_cell(key: str, ts: str, tie: str):
-    return Window.partitionBy(key, "_day", "_minute").orderBy(F.col(ts).asc_nulls_last(), F.col(tie).asc_nulls_last())
+    return Window.partitionBy(key, *_CELL).orderBy(F.col(ts).asc_nulls_last(), F.col(tie).asc_nulls_last())
 
 
-def sequence_per_key(df: DataFrame, key: str, ts: str, tie: str, name: str,
-                     busy_rows: int = BUSY_KEY_ROWS) -> DataFrame:
+def _linked(df: DataFrame, key: str, ts: str, tie: str, name: str, per_cell: Column, link) -> DataFrame:
+    """Rows with their cell, and ``name`` from what the cells of the same key around theirs hold.
+
+    One path for all keys: a key of two rows is one or two cells, a key with a third of all rows is cut by day, minute,
+    moment and tie-break.  Rows without a key have no cells to look up, and lie spread by the same levels.
+    """
+    split = df.withColumns(_cells(df, ts, tie))
+    cells = split.where(F.col(key).isNotNull()).groupBy(key, *_CELL).agg(per_cell.alias("_cell"))
+    return split.join(link(cells).select(key, *_CELL, F.col("_link").alias(name)), [key, *_CELL], "left")
+
+
+def sequence_per_key(df: DataFrame, key: str, ts: str, tie: str, name: str) -> DataFrame:
     """Number the rows of each key by (ts, tie) from 1, NULL times last; NULL without a key."""
-    def rows_ahead(cells: DataFrame, k: str) -> DataFrame:
-        days = cells.groupBy(k, "_day").agg(F.sum("_cell").alias("_of_day"))
-        days = days.select(k, "_day", _before("_of_day", Window.partitionBy(k).orderBy("_day")).alias("_days_ahead"))
-        in_day = _before("_cell", Window.partitionBy(k, "_day").orderBy("_minute"))
-        return cells.withColumn("_in_day", in_day).join(days, [k, "_day"]) \
-            .withColumn("_link", F.col("_days_ahead") + F.col("_in_day"))
+    def rows_ahead(cells: DataFrame) -> DataFrame:
+        minutes = cells.groupBy(key, "_day", "_minute").agg(F.sum("_cell").alias("_n"))
+        days = minutes.groupBy(key, "_day").agg(F.sum("_n").alias("_n"))
+        days = days.select(key, "_day", _before("_n", Window.partitionBy(key).orderBy("_day")).alias("_days"))
+        minutes = minutes.select(key, "_day", "_minute", _before("_n", Window.partitionBy(key, "_day").orderBy("_minute")).alias("_minutes"))
+        heads = cells.select(key, *_CELL, _before("_cell", Window.partitionBy(key, "_day", "_minute").orderBy("_moment", "_head")).alias("_heads"))
+        return heads.join(minutes, [key, "_day", "_minute"]).join(days, [key, "_day"]) \
+            .withColumn("_link", F.col("_days") + F.col("_minutes") + F.col("_heads"))
 
-    split = _with_cells(df, key, ts, "_ahead", F.count("*"), rows_ahead, busy_rows)
-    number = F.row_number().over(_in_cell(key, ts, tie)).cast("long") + F.coalesce("_ahead", F.lit(0))
-    return split.withColumn(name, F.when(F.col(key).isNotNull(), number)).drop("_day", "_minute", "_ahead")
+    split = _linked(df, key, ts, tie, "_ahead", F.count("*"), rows_ahead)
+    number = F.row_number().over(_in_cell(key, ts, tie)).cast("long") + F.col("_ahead")
+    return split.withColumn(name, F.when(F.col(key).isNotNull(), number)).drop(*_CELL, "_ahead")
 
 
-def next_per_key(df: DataFrame, key: str, ts: str, tie: str, name: str, busy_rows: int = BUSY_KEY_ROWS) -> DataFrame:
+def next_per_key(df: DataFrame, key: str, ts: str, tie: str, name: str) -> DataFrame:
     """The time of the following row of the same key (``LEAD(ts)``); NULL without a key."""
-    def next_first(cells: DataFrame, k: str) -> DataFrame:
-        days = cells.groupBy(k, "_day").agg(F.min("_cell").alias("_first"))
-        days = days.select(k, "_day", F.lead("_first").over(Window.partitionBy(k).orderBy("_day")).alias("_next_day"))
-        later = F.lead("_cell").over(Window.partitionBy(k, "_day").orderBy("_minute"))
-        return cells.withColumn("_later", later).join(days, [k, "_day"]) \
-            .withColumn("_link", F.coalesce("_later", "_next_day"))
-
-    split = _with_cells(df, key, ts, "_link", F.min(ts), next_first, busy_rows)
+    def next_first(cells: DataFrame) -> DataFrame:
+        # A cell's rows all have a time or none has; the cell without times is the last of its key.
+        minutes = cells.groupBy(key, "_day", "_minute").agg(F.min("_cell").alias("_first"))
+        days = minutes.groupBy(key, "_day").agg(F.min("_first").alias("_first"))
+        days = days.select(key, "_day", F.lead("_first").over(Window.partitionBy(key).orderBy("_day")).alias("_next_day"))
+        minutes = minutes.select(key, "_day", "_minute", F.lead("_first").over(Window.partitionBy(key, "_day").orderBy("_minute")).alias("_next_minute"))
+        heads = cells.select(key, *_CELL, F.lead("_cell").over(Window.partitionBy(key, "_day", "_minute").orderBy("_moment", "_head")).alias("_next_head"))
+        return heads.join(minutes, [key, "_day", "_minute"]).join(days, [key, "_day"]) \
+            .withColumn("_link", F.coalesce("_next_head", "_next_minute", "_next_day"))
+
+    split = _linked(df, key, ts, tie, "_after", F.min(ts), next_first)
     inside = _in_cell(key, ts, tie)
     last = F.lead(F.lit(True)).over(inside).isNull()
-    following = F.when(last, F.col("_link")).otherwise(F.lead(ts).over(inside))
-    return split.withColumn(name, F.when(F.col(key).isNotNull(), following)).drop("_day", "_minute", "_link")
+    following = F.when(last, F.col("_after")).otherwise(F.lead(ts).over(inside))
+    return split.withColumn(name, F.when(F.col(key).isNotNull(), following)).drop(*_CELL, "_after")
+
+
+def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Inner join on ``names``, NULL matching NULL."""
+    renamed = right.withColumnsRenamed({n: f"{n}__r" for n in names})
+    on = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"{n}__r")) for n in names])
+    return left.join(renamed, on).drop(*[f"{n}__r" for n in names])
 
 
 def rank_all(
@@ -86,7 +104,8 @@ def rank_all(
 ) -> DataFrame:
     """Position of every row in one global order, running sums along it, and the overall totals.
 
-    ``cell`` names levels of ever finer cells, none of them NULL: rows in ``order`` never step back in the levels
+    ``cell`` names levels of ever finer cells; a NULL level is a cell of its own, and ``cell_order`` must place it where
+    ``order`` places its rows.  Rows in ``order`` never step back in the levels
     taken together (a rounded-down value; or the value itself and then the head of the tie-break key, which splits a
     value shared by very many rows).  ``cell_order`` sorts the levels as ``order`` sorts rows.  Totals are added up
     level by level, so a task sees the cells inside one parent cell, or the rows of one finest cell.
@@ -105,12 +124,12 @@ def rank_all(
         line = Window.partitionBy(*levels[:i]).orderBy(cell_order[i])
         step = finest.groupBy(*known).agg(*[F.sum(s).alias(s) for s in sums]) \
             .select(*known, *[_before(s, line).alias(f"{s}{level}") for s in sums])
-        ahead = ahead.join(step, known)
+        ahead = _same(ahead, step, known)
     # One row of totals travels to every task.
     ahead = ahead.select(*levels, *[reduce(add, [F.col(f"{s}{v}") for v in levels]).alias(f"_ahead{s}") for s in sums])
     inside = Window.partitionBy(*levels).orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = marked.join(ahead, levels).withColumn(position, F.row_number().over(inside).cast("long") + F.col("_ahead_c"))
+    out = _same(marked, ahead, levels).withColumn(position, F.row_number().over(inside).cast("long") + F.col("_ahead_c"))
     for n, c in running.items():
         out = out.withColumn(n, F.sum(c).over(upto) + F.col(f"_ahead_s_{n}"))
     return out.drop(*levels, *[f"_ahead{s}" for s in sums]).crossJoin(F.broadcast(whole))

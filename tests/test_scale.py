@@ -33,11 +33,10 @@ def ordered(rows):
     return [(r, keyed[i + 1] if i + 1 < len(keyed) and keyed[i + 1][1] == r[1] else None) for i, r in enumerate(keyed)]
 
 
-@pytest.mark.parametrize("busy_rows", [1_000_000, 50, 0])
-def test_sequence_and_next_agree_with_brute_force(spark, purchases, busy_rows):
+def test_sequence_and_next_agree_with_brute_force(spark, purchases):
     df = spark.createDataFrame(purchases, "id int, k string, ts timestamp_ntz").repartition(5)
-    seq = {r.id: r.n for r in sequence_per_key(df, "k", "ts", "id", "n", busy_rows).collect()}
-    nxt = {r.id: r.following for r in next_per_key(df, "k", "ts", "id", "following", busy_rows).collect()}
+    seq = {r.id: r.n for r in sequence_per_key(df, "k", "ts", "id", "n").collect()}
+    nxt = {r.id: r.following for r in next_per_key(df, "k", "ts", "id", "following").collect()}
     assert len(seq) == len(nxt) == len(purchases)
     seen: dict[str, int] = {}
     for row, following in ordered(purchases):
@@ -134,6 +133,39 @@ def test_results_do_not_depend_on_partitioning(spark, name):
     assert len(seen) == 1
 
 
+@pytest.mark.parametrize("key,ts", [
+    ("CASE WHEN id % 2 = 0 THEN NULL ELSE id % 1000 END", "TIMESTAMP_NTZ '2020-01-01' + make_interval(0, 0, 0, id % 300, 0, 0, id % 60)"),
+    ("0", "TIMESTAMP_NTZ '2020-01-01 10:00:00' + make_interval(0, 0, 0, 0, 0, 0, id % 60)"), ("0", "TIMESTAMP_NTZ '2020-01-01 10:00:00'"),
+    ("0", "CAST(NULL AS TIMESTAMP_NTZ)")])
+def test_no_task_orders_much_more_than_the_others(spark, key, ts):
+    """Half the rows without a key; one key in one minute, at one moment, or without times."""
+    n = 200_000
+    df = spark.range(n).selectExpr("id", f"{key} AS k", f"{ts} AS ts")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for run in (sequence_per_key, next_per_key):
+            held = [r["count"] for r in run(df, "k", "ts", "id", "n").groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(held) == n and max(held) <= 4 * n / 16
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_rank_all_keeps_rows_without_a_value_or_id(spark, descending):
+    rows = [(None if i % 5 == 0 else i % 7, None if i % 11 == 0 else i) for i in range(100)]
+    df = spark.createDataFrame(rows, "v long, id long")
+    v = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_first()
+    got = rank_all(df, [v, F.col("id").asc_nulls_last()], {"_v": F.col("v"), "_h": F.floor(F.col("id") / 10)},
+                   [F.col("_v").desc_nulls_last() if descending else F.col("_v").asc_nulls_first(), F.col("_h").asc_nulls_last()]).collect()
+    order = sorted(rows, key=lambda r: ((r[0] is None, -(r[0] or 0)) if descending else (r[0] is not None, r[0] or 0), r[1] is None, r[1] or 0))
+    assert [(r.v, r.id) for r in sorted(got, key=lambda r: r.position)] == order
+    assert {r.n_rows for r in got} == {100} and [r.position for r in sorted(got, key=lambda r: r.position)] == list(range(1, 101))
+
+
 def test_one_hot_order_customer_and_seller(spark):
     """Half of all items belong to one order of one seller, and one customer places a third of the orders."""
     from martkit.plans.catalogue import revenue_by_state, seller_concentration
