@@ -18,6 +18,10 @@ MISSING_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN",
 _TIME = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
 
+# A decimal number: Spark would also take a trailing d or f as a sign of the type.
+_NUMBER = r"(?i)^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$|^[+-]?(inf|infinity)$"
+
+
 class SchemaError(ValueError):
     """A raw file lacks declared columns."""
 
@@ -33,6 +37,8 @@ def _typed(c: Column, kind: T.DataType) -> Column:
         return c
     if isinstance(kind, T.TimestampNTZType):
         return F.when(c.rlike(_TIME), c.try_cast(kind))
+    if isinstance(kind, T.NumericType):
+        c = F.when(c.rlike(_NUMBER), c)
     if isinstance(kind, T.IntegralType):
         return F.rint(c.try_cast("double")).try_cast(kind)
     return c.try_cast(kind)
