@@ -174,6 +174,7 @@ class _Context:
     def __init__(self, star, by: Sequence[str], where: Sequence[Filter], fact: str):
         self.star, self.by, self.where, self.fact = star, list(by), list(where), fact
         self.keys = [_split(n)[1] for n in by]
+        self.months = 0
         if len(set(self.keys)) < len(self.keys):
             raise ValueError("two group keys share a name")
         for name in [*by, *[w[0] for w in where]]:
@@ -197,7 +198,7 @@ class _Context:
     def row_columns(self) -> list[str]:
         """Fact columns needed for the keys and filters that are known on the fact row."""
         cols = [c for c in self._used(self.fact)]
-        if self._used(_DATE):
+        if self._used(_DATE) or self.months:
             cols.append("purchase_date")
         if self._used(_PRODUCT):
             cols.append("product_id")
@@ -213,7 +214,11 @@ class _Context:
         """Filter rows by everything but customer attributes, and add those keys."""
         out = {c: F.col(c) for c in self._used(self.fact)}
         dates = self._used(_DATE)
-        if dates:
+        if self.months:
+            # A row per day and date key of the calendar; its size follows the years, not the facts.
+            rows = rows.join(F.broadcast(self.earlier_dates(self.months)), F.col("purchase_date") == F.col("_past"))
+            out.update({k: F.col(f"_k_{k}") for k in self.date_keys})
+        elif dates:
             parts = calendar_columns(F.col("purchase_date"))
             if "is_complete_month" in dates:
                 # One row per month; tiny whatever the size of the facts.
@@ -229,7 +234,7 @@ class _Context:
                 out.update({c: F.col(c) for c in extra})
             if key in self._used(table):
                 out[key] = F.col(key)
-        for name, op, value in self.filters([self.fact, _DATE, _PRODUCT, _SELLER]):
+        for name, op, value in self.filters([self.fact, *([] if self.months else [_DATE]), _PRODUCT, _SELLER]):
             rows = rows.where(_predicate(out[_split(name)[1]], op, value))
         keep = self.row_keys()
         late = set(self.late_keys)
@@ -266,8 +271,37 @@ class _Context:
     def final_keys(self) -> list[str]:
         return [k for k in self.keys if k not in self.late_keys]
 
-    def without_dates(self) -> "_Context":
-        return _Context(self.star, self.by, [w for w in self.where if _split(w[0])[0] != _DATE], self.fact)
+    # ---- earlier periods
+    def shifted(self, months: int) -> "_Context":
+        """The same context, with each date replaced by the one ``months`` months before it."""
+        ctx = _Context(self.star, self.by, self.where, self.fact)
+        ctx.months = months
+        return ctx
+
+    @property
+    def date_keys(self) -> list[str]:
+        return [k for n, k in zip(self.by, self.keys) if _split(n)[0] == _DATE]
+
+    def current_dates(self) -> DataFrame:
+        """Date keys, date and is_complete_month of the calendar's days in this context; a row per day."""
+        days = self.star.dim_date(*dict.fromkeys(["date", "is_complete_month", *self._used(_DATE)]))
+        for name, op, value in self.filters([_DATE]):
+            days = days.where(_predicate(F.col(_split(name)[1]), op, value))
+        return days.select(*[F.col(k).alias(f"_k_{k}") for k in self.date_keys], F.col("date").alias("_now"), F.col("is_complete_month").alias("_now_ok"))
+
+    def earlier_dates(self, months: int) -> DataFrame:
+        """Date keys, the earlier date and is_complete_month: each current date moved back by months.
+
+        A day past the end of the earlier month falls on its last day, and the last day of a month takes along all later days
+        of the earlier one, so whole months meet whole months.
+        """
+        now = self.current_dates().withColumn("_m", F.add_months(F.trunc("_now", "month"), -months))
+        past = self.star.dim_date("date", "is_complete_month").select(
+            F.col("date").alias("_past"), F.col("is_complete_month").alias("_past_ok"), F.trunc("date", "month").alias("_m"))
+        day, other = F.dayofmonth("_now"), F.dayofmonth("_past")
+        last, other_last = F.last_day("_now") == F.col("_now"), F.last_day("_past") == F.col("_past")
+        same = (day == other) | (last & (other >= day)) | (other_last & (day >= other))
+        return now.join(past, "_m").where(same).select(*[f"_k_{k}" for k in self.date_keys], "_past", "_past_ok").distinct()
 
 
 # ---------------------------------------------------------------- evaluation of components
@@ -364,32 +398,35 @@ def _join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "l
 
 
 def _with_periods(ctx: _Context, now: DataFrame, wanted: set[str]) -> DataFrame:
-    """Previous month and previous year by calendar month; the previous month only between complete months."""
-    if f"{_DATE}.year_month" not in ctx.by:
-        raise ValueError("period measures need dim_date.year_month among the group keys")
-    need = {"i_revenue"} | ({"i_orders"} if "t_orders_pm" in wanted else set())
-    past = _sales(ctx.without_dates(), need)
+    """Values of the current dates moved back by a month or a year, whatever the date keys and filters.
+
+    The month before counts only if all current days lie in complete months and some earlier day does.
+    """
     keys = ctx.final_keys()
+    if wanted & {"t_revenue_pm", "t_orders_pm"}:
+        need = {"i_revenue"} | ({"i_orders"} if "t_orders_pm" in wanted else set())
+        past = _sales(ctx.shifted(1), need).select(*keys, F.col("i_revenue").alias("t_revenue_pm"), *(
+            [F.col("i_orders").alias("t_orders_pm")] if "t_orders_pm" in wanted else []))
+        now = _beside(now, past, keys)
+        names = [f"_k_{k}" for k in ctx.date_keys]
+        current = ctx.current_dates().groupBy(*names).agg(F.bool_and("_now_ok").alias("_now_ok"))
+        before = ctx.earlier_dates(1).groupBy(*names).agg(F.bool_or("_past_ok").alias("_past_ok"))
+        flags = _beside(current, before, names).select(
+            *[F.col(n).alias(n.removeprefix("_k_")) for n in names], F.coalesce(F.col("_now_ok") & F.col("_past_ok"), F.lit(False)).alias("_fits"))
+        now = _beside(now, flags, ctx.date_keys)
+        now = now.withColumn("t_revenue_pm", F.when(F.col("_fits"), F.col("t_revenue_pm")))
+        if "t_orders_pm" in wanted:
+            now = now.withColumn("t_orders_pm", F.when(F.col("t_revenue_pm").isNotNull(), F.col("t_orders_pm")))
+        now = now.drop("_fits")
+    if "t_revenue_py" in wanted:
+        past = _sales(ctx.shifted(12), {"i_revenue"}).select(*keys, F.col("i_revenue").alias("t_revenue_py"))
+        now = _beside(now, past, keys)
+    return now
 
-    def shifted(months: int, names: dict[str, str]) -> DataFrame:
-        month = F.date_format(F.add_months(F.to_date(F.concat("year_month", F.lit("-01"))), months), "yyyy-MM")
-        return past.select(*[month.alias(k) if k == "year_month" else F.col(k) for k in keys],
-                           *[F.col(c).alias(n) for c, n in names.items()])
 
-    names = {"i_revenue": "_pm"} | ({"i_orders": "t_orders_pm"} if "t_orders_pm" in wanted else {})
-    out = _join_keys(now, shifted(1, names), keys)
-    if "t_revenue_py" in wanted:
-        out = _join_keys(out, shifted(12, {"i_revenue": "t_revenue_py"}), keys)
-    flags = ctx.star.dim_date("year_month", "month_start", "is_complete_month").distinct()
-    month = F.date_format(F.add_months("month_start", 1), "yyyy-MM")
-    both = flags.select(F.col("year_month").alias("_ym"), F.col("is_complete_month").alias("_now_ok")).join(
-        flags.select(month.alias("_ym"), F.col("is_complete_month").alias("_before_ok")), "_ym", "left")
-    out = out.join(F.broadcast(both), F.col("year_month") == F.col("_ym"), "left").drop("_ym")
-    comparable = F.coalesce(F.col("_now_ok") & F.col("_before_ok"), F.lit(False))
-    out = out.withColumn("t_revenue_pm", F.when(comparable, F.col("_pm")))
-    if "t_orders_pm" in wanted:
-        out = out.withColumn("t_orders_pm", F.when(F.col("t_revenue_pm").isNotNull(), F.col("t_orders_pm")))
-    return out.drop("_pm", "_now_ok", "_before_ok")
+def _beside(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on keys, or the one row of ``right`` beside each row where there are no keys."""
+    return _join_keys(left, right, keys) if keys else left.crossJoin(F.broadcast(right))
 
 
 def evaluate(star, measures: Sequence[str], by: Sequence[str] = (), where: Sequence[Filter] = (),

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -97,6 +98,14 @@ register("msr_sellers", lambda star: evaluate(
            "active_sellers", "revenue"], ["dim_seller.seller_id", "dim_seller.seller_label", "dim_date.year"],
     risk=(3, 0.3)))
 
+# Periods over a range, within part of a month, and by year: the earlier dates are the current ones moved back.
+_PERIODS = ["revenue", "revenue_pm", "revenue_mom_pct", "orders", "orders_pm", "orders_mom_pct", "revenue_py", "revenue_yoy_pct"]
+register("msr_yoy_of_range", lambda star: evaluate(star, _PERIODS, (), [
+    ("dim_date.year", "is", 1998), ("dim_date.month_num", "between", (1, 8))]))
+register("msr_mom_within_month", lambda star: evaluate(star, _PERIODS, ["dim_customer.region"], [
+    ("dim_date.date", "between", (date(1996, 3, 10), date(1996, 3, 31)))]))
+register("msr_periods_by_year", lambda star: evaluate(star, _PERIODS, ["dim_date.year"]))
+
 # ---------------------------------------------------------------- cleaning treatments, integrity, documentation
 
 

@@ -199,3 +199,42 @@ SELECT year_month, CAST(revenue AS DOUBLE) AS revenue, CAST(pm AS DOUBLE) AS rev
        CASE WHEN py > 0 THEN {div('CAST(revenue AS DOUBLE) - CAST(py AS DOUBLE)', 'py')} END AS revenue_yoy_pct
 FROM p
 """, "fact_order_items dim_date")
+
+
+# Dates moved back: every current day names its earlier days, month by month.
+def _periods(where: str, key: str, of: str, join: str = "") -> str:
+    """``key``: the group key's expression over the current day ``d`` or the item; ``of``: 'day' or 'item' or ''."""
+    day_key = key if of == "day" else "0"
+    return f"""
+WITH cur AS (SELECT d.date, d.is_complete_month AS ok, {day_key} AS k FROM dim_date d WHERE {where}),
+back AS (
+    SELECT DISTINCT months, c.k, p.date, p.is_complete_month AS ok FROM cur c, (VALUES (1), (12)) v(months), dim_date p
+    WHERE date_trunc('month', p.date) = date_trunc('month', c.date) - to_months(months::INT) AND (
+        day(p.date) = day(c.date) OR (c.date = last_day(c.date) AND day(p.date) >= day(c.date))
+        OR (p.date = last_day(p.date) AND day(c.date) >= day(p.date)))),
+sold AS (SELECT i.date_key, i.price, i.order_id, {key if of == "item" else "0"} AS g FROM fact_order_items i {join} WHERE is_sale),
+days AS (SELECT date, date_key FROM dim_date),
+now AS (SELECT k, g, sum(price) AS revenue, count(DISTINCT order_id) AS orders FROM sold JOIN days USING (date_key) JOIN cur USING (date) GROUP BY 1, 2),
+past AS (
+    SELECT months, k, g, sum(price) AS revenue, count(DISTINCT order_id) AS orders
+    FROM sold JOIN days USING (date_key) JOIN back USING (date) GROUP BY 1, 2, 3),
+fits AS (
+    SELECT k, coalesce(bool_and(ok) AND (SELECT bool_or(b.ok) FROM back b WHERE b.months = 1 AND b.k = cur.k), false) AS fits FROM cur GROUP BY k),
+p AS (
+    SELECT n.k, n.g, n.revenue, n.orders, CASE WHEN fits THEN m.revenue END AS pm,
+           CASE WHEN fits AND m.revenue IS NOT NULL THEN m.orders END AS opm, y.revenue AS py
+    FROM now n JOIN fits USING (k) LEFT JOIN past m ON m.months = 1 AND m.k = n.k AND m.g IS NOT DISTINCT FROM n.g
+    LEFT JOIN past y ON y.months = 12 AND y.k = n.k AND y.g IS NOT DISTINCT FROM n.g)
+SELECT {dict(day=f"k AS {key.split('.')[-1]},", item=f"g AS {key.split('.')[-1]},").get(of, "")}
+       CAST(revenue AS DOUBLE) AS revenue, CAST(pm AS DOUBLE) AS revenue_pm,
+       {div('CAST(revenue AS DOUBLE) - CAST(pm AS DOUBLE)', 'pm')} AS revenue_mom_pct, orders, opm AS orders_pm,
+       {div('orders - opm', 'opm')} AS orders_mom_pct, CAST(py AS DOUBLE) AS revenue_py,
+       CASE WHEN py > 0 THEN {div('CAST(revenue AS DOUBLE) - CAST(py AS DOUBLE)', 'py')} END AS revenue_yoy_pct
+FROM p
+"""
+
+
+ORACLE["msr_yoy_of_range"] = with_ctes(_periods("d.year = 1998 AND d.month_num BETWEEN 1 AND 8", "", ""), "fact_order_items dim_date")
+ORACLE["msr_mom_within_month"] = with_ctes(_periods(
+    "d.date BETWEEN DATE '1996-03-10' AND DATE '1996-03-31'", "c.region", "item", "JOIN dim_customer c USING (customer_unique_id)"), "fact_order_items dim_date dim_customer")
+ORACLE["msr_periods_by_year"] = with_ctes(_periods("true", "d.year", "day"), "fact_order_items dim_date")
