@@ -1,6 +1,8 @@
 """The whole batch: load, check, clean, build, verify, publish."""
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,32 +26,40 @@ class _FactsStored(Star):
 
 
 def write_star(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) -> StoredStar:
-    """Write the star as Parquet.
+    """Write the star as Parquet, in a folder of its own under ``folder``; it is published only once its checks pass.
 
     ``fact_orders`` is computed once and read back for the items' order context and the customers' lifetime figures.
-    The integrity table is written last and only when every check passes; ``open_star`` refuses a folder without it.
+    The integrity table is written last, and its success mark publishes the star in one step.  A star that fails, or a
+    run that dies, leaves the star published before readable and unchanged.
     """
-    folder = folder.rstrip("/")
+    run = f"{folder.rstrip('/')}/{_RUN}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
     def put(name: str, df: DataFrame, sort: str | None = None) -> None:
         # Sorting inside files gives row groups narrow date ranges, so date filters skip them.
-        (df.sortWithinPartitions(sort) if sort else df).write.mode("overwrite").parquet(f"{folder}/{name}")
+        (df.sortWithinPartitions(sort) if sort else df).write.parquet(f"{run}/{name}")
 
     put("fact_orders", Star(raw).fact_orders(), "order_purchase_timestamp")
-    stored = _FactsStored(raw, spark.read.parquet(f"{folder}/fact_orders"))
+    stored = _FactsStored(raw, spark.read.parquet(f"{run}/fact_orders"))
     put("fact_order_items", stored.fact_order_items(), "purchase_date")
     for name in STAR_COLUMNS:
         if name.startswith("dim_"):
             put(name, stored.table(name))
-    star = StoredStar(spark, folder)
+    star = StoredStar(spark, run)
     put("integrity", assert_star(star, raw))
     return star
 
 
+_RUN = "run-"
+
+
 def open_star(spark: SparkSession, folder: str) -> StoredStar:
-    """A published star; one whose checks did not pass has no integrity table and cannot be read."""
-    spark.read.parquet(f"{folder.rstrip('/')}/integrity").limit(1).collect()
-    return StoredStar(spark, folder)
+    """The star published last.  Runs whose checks did not pass have no integrity table and are not seen."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{_RUN}*/integrity/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    runs = sorted(str(f.getPath().getParent().getParent().toString()) for f in found or [])
+    if not runs:
+        raise FileNotFoundError(f"no published star in {folder}")
+    return StoredStar(spark, runs[-1])
 
 
 def run_batch(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str,

@@ -2,6 +2,9 @@
 from __future__ import annotations
 
 import uuid
+import warnings
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -16,6 +19,7 @@ from ..sources import csv_tables
 from ..sources.carriers import driver_table, raw_tables
 from ..specs import DELIVERY_BANDS, MONEY, SPECS, TableSpec
 from .catalogue import id_cell
+from .star import Star
 
 
 def _money(c: str):
@@ -291,13 +295,13 @@ def io_csv_typed(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{scratch_folder(spark)}/events-{uuid.uuid4().hex}"
     events = driver_table(spark, folder, "events").select(
         "event_id", "value", F.nullif("event_type", F.lit("error")).alias("kind"), F.col("event_type").alias("number"),
-        F.substring(F.col("ts").cast("string"), 1, 19).alias("moment"), "props")
-    csv_tables.write_csv(events, path)
+        F.col("ts").alias("moment"), "props")
+    csv_tables.write_csv(events, path, fractions=True)
     spec = TableSpec("events", "events.csv", T.StructType([
         T.StructField("event_id", T.LongType()), T.StructField("value", MONEY), T.StructField("kind", T.StringType()),
         T.StructField("number", T.IntegerType()), T.StructField("moment", T.TimestampNTZType()),
         T.StructField("props", T.StringType())]))
-    return csv_tables.type_table(csv_tables.read_text_table(spark, spec, path), spec)
+    return csv_tables.type_table(csv_tables.read_text_table(spark, spec, path), spec, fractions=True)
 
 
 def cl_normalize_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -318,10 +322,68 @@ def io_parse_failures(spark: SparkSession, folder: str) -> DataFrame:
     return csv_tables.parse_failures(text, spec)
 
 
+# ---------------------------------------------------------------- the file layer
+
+def _stored(spark: SparkSession, folder: str) -> tuple[str, dict[str, DataFrame], DataFrame]:
+    """The nine raw tables written as CSV, loaded with a typed copy: folder, tables, parse failures."""
+    path = f"{scratch_folder(spark)}/raw-{uuid.uuid4().hex}"
+    for name, df in raw_tables(spark, folder).items():
+        csv_tables.write_csv(df.select(*SPECS[name].columns), f"{path}/{SPECS[name].file}", shrink_dates=False)
+    tables, failures = csv_tables.load_all(spark, path, typed_copy=f"{path}/typed")
+    return path, tables, failures
+
+
+def io_load_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and filled cells of each raw table after the way through CSV, read back from the typed copy."""
+    path, _, _ = _stored(spark, folder)
+    tables, _ = csv_tables.load_all(spark, path, typed_copy=f"{path}/typed", reuse=True)
+    return reduce(DataFrame.unionByName, [
+        df.agg(F.count("*").alias("rows"), *[F.count(c).alias(c) for c in df.columns]).select(
+            F.lit(name).alias("table"), "rows", reduce(add, [F.col(c) for c in df.columns]).alias("filled"))
+        for name, df in tables.items()])
+
+
+def io_refusals(spark: SparkSession, folder: str) -> DataFrame:
+    """What the loader says of missing files and of a missing column; an extra column is kept."""
+    path = f"{scratch_folder(spark)}/refused-{uuid.uuid4().hex}"
+    raw = raw_tables(spark, folder)
+    payments = raw["order_payments"].select(*SPECS["order_payments"].columns)
+    said = []
+    csv_tables.write_csv(payments.drop("payment_value").withColumn("note", F.lit("x")), f"{path}/short")
+    csv_tables.write_csv(payments.withColumn("note", F.lit("x")), f"{path}/long")
+    try:
+        csv_tables.read_text_table(spark, SPECS["order_payments"], f"{path}/short")
+    except csv_tables.SchemaError as e:
+        said.append(("column", str(e)))
+    try:
+        csv_tables.load_all(spark, path)
+    except FileNotFoundError as e:
+        said.append(("files", str(sum(s.file in str(e) for s in SPECS.values()))))
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        kept = csv_tables.read_text_table(spark, SPECS["order_payments"], f"{path}/long")
+    counted = kept.agg(F.count("note").cast("string").alias("said")).select(F.lit("extra").alias("what"), "said")
+    return spark.createDataFrame(said, "what string, said string").unionByName(counted)
+
+
+def io_star_views(spark: SparkSession, folder: str) -> DataFrame:
+    """The star exported as CSV with shrunk dates, read back typed, and asked in SQL over its views."""
+    path = f"{scratch_folder(spark)}/star-{uuid.uuid4().hex}"
+    star = Star(raw_tables(spark, folder))
+    names = {"fact_order_items": "exported_items", "dim_product": "exported_products", "dim_date": "exported_days"}
+    for name in names:
+        csv_tables.write_csv(star.table(name), f"{path}/{name}", fractions=True)
+    csv_tables.register_views(spark, {view: csv_tables.read_star_csv(spark, f"{path}/{name}", csv_tables.star_schema(name)) for name, view in names.items()})
+    return spark.sql("""
+        SELECT d.year, p.category, COUNT(*) AS items, CAST(SUM(i.price) AS DOUBLE) AS revenue
+        FROM exported_items i JOIN exported_products p USING (product_id) JOIN exported_days d USING (date_key)
+        WHERE i.is_sale GROUP BY d.year, p.category""")
+
+
 OPERATOR_QUERIES = {f.__name__: f for f in (
     agg_hash_group, agg_distinct_rows, agg_conditional, agg_quantiles, agg_value_counts, agg_two_level,
     agg_rows_joined_back, win_lag_running_moving, win_rank_dense, win_row_number_ntile, win_lead_next,
     win_sequence_per_key, win_first_last_per_key, join_left_lookup, join_orphans, join_coverage_null_safe,
     join_semi_composite, join_aggregates, join_cross_baseline, join_star, ord_top_k, ord_mixed_directions,
     ord_sample_values, fn_text, fn_time_gaps, fn_rounding, fn_bands, fn_averages, cl_normalize_text,
-    io_csv_roundtrip, io_csv_typed, io_parse_failures)}
+    io_csv_roundtrip, io_csv_typed, io_parse_failures, io_load_all, io_refusals, io_star_views)}

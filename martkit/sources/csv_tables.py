@@ -16,6 +16,8 @@ MISSING_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN",
                   "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 # Fixed value: the one accepted time format.
 _TIME = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+# The same with a fraction, for tables that ask for it.
+_TIME_FRACTION = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?$"
 
 
 # A decimal number: Spark would also take a trailing d or f as a sign of the type.
@@ -31,12 +33,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def _typed(c: Column, kind: T.DataType) -> Column:
+def _typed(c: Column, kind: T.DataType, fractions: bool = False) -> Column:
     """The declared type, or NULL where the text does not parse."""
     if isinstance(kind, T.StringType):
         return c
     if isinstance(kind, T.TimestampNTZType):
-        return F.when(c.rlike(_TIME), c.try_cast(kind))
+        return F.when(c.rlike(_TIME_FRACTION if fractions else _TIME), c.try_cast(kind))
     if isinstance(kind, T.NumericType):
         c = F.when(c.rlike(_NUMBER), c)
     if isinstance(kind, T.IntegralType):
@@ -64,9 +66,10 @@ def read_text_table(spark: SparkSession, spec: specs.TableSpec, path: str) -> Da
     return raw.select(*[text(c) for c in [*spec.columns, *extra]])
 
 
-def type_table(text: DataFrame, spec: specs.TableSpec) -> DataFrame:
+def type_table(text: DataFrame, spec: specs.TableSpec, fractions: bool = False) -> DataFrame:
+    """Declared types; with ``fractions`` a time may have a fraction of a second."""
     kinds = {f.name: f.dataType for f in spec.schema.fields}
-    return text.select(*[_typed(F.col(c), kinds.get(c, T.StringType())).alias(c) for c in text.columns])
+    return text.select(*[_typed(F.col(c), kinds.get(c, T.StringType()), fractions).alias(c) for c in text.columns])
 
 
 def parse_failures(text: DataFrame, spec: specs.TableSpec) -> DataFrame:
@@ -127,9 +130,11 @@ def whole_days(df: DataFrame) -> DataFrame:
                     for c in stamps]) if stamps else df.limit(0).select()
 
 
-def write_csv(df: DataFrame, path: str, shrink_dates: bool = True) -> None:
+def write_csv(df: DataFrame, path: str, shrink_dates: bool = True, fractions: bool = False) -> None:
     """CSV with a header, ISO dates and empty NULLs; a timestamp column of midnights is written as dates.
 
+    Times are written to the second, or with ``fractions`` to the microsecond.
+
     Each task writes its own part file; nothing is gathered.
     """
     if shrink_dates:
@@ -137,8 +142,9 @@ def write_csv(df: DataFrame, path: str, shrink_dates: bool = True) -> None:
         if probe.columns:
             flags = probe.first().asDict()
             df = df.withColumns({c: F.to_date(c) for c, midnight in flags.items() if midnight})
-    df.write.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(
-        path, header=True, dateFormat="yyyy-MM-dd", escape='"', timestampFormat="yyyy-MM-dd HH:mm:ss", emptyValue="",
+    stamp = "yyyy-MM-dd HH:mm:ss.SSSSSS" if fractions else "yyyy-MM-dd HH:mm:ss"
+    df.write.mode("overwrite").option("timestampNTZFormat", stamp).csv(
+        path, header=True, dateFormat="yyyy-MM-dd", escape='"', timestampFormat=stamp, emptyValue="",
         nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 

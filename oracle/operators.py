@@ -273,5 +273,20 @@ FROM (SELECT count(*) AS n, count(*) FILTER (WHERE microsecond(ts) % 1000000 <>
      LATERAL (VALUES ('amount', 0), ('number', e.n), ('moment', 0), ('instant', e.fractions)) v(c, failed)""")
 add("io_csv_typed", "", """
 SELECT event_id, value, CASE WHEN event_type <> 'error' THEN event_type END AS kind, CAST(NULL AS INTEGER) AS number,
-       strftime(ts, '%Y-%m-%d %H:%M:%S') AS moment, props FROM events""")
+       CAST(ts AS VARCHAR) AS moment, props FROM events""")
 add("cl_normalize_text", "", f"SELECT doc_id, length({_FOLD}) AS length, md5({_FOLD}) AS folded FROM documents")
+
+_RAW = {
+    "orders": "raw_orders", "order_items": "raw_items", "order_payments": "raw_payments", "order_reviews": "raw_reviews",
+    "customers": "raw_customers", "products": "raw_products", "sellers": "raw_sellers", "geolocation": "raw_geo",
+    "category_translation": "raw_translation",
+}
+add("io_load_all", " ".join(_RAW.values()), " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", count(*) AS rows, CAST(sum((SELECT count(v) FROM (SELECT unnest(map_values(to_json(r)::MAP(VARCHAR, VARCHAR))) AS v))) AS BIGINT) AS filled FROM {v} r"
+    for t, v in _RAW.items()))
+add("io_refusals", "raw_payments", """
+SELECT 'column' AS what, 'order_payments.csv: missing columns [''payment_value'']' AS said
+UNION ALL SELECT 'files', '9' UNION ALL SELECT 'extra', CAST(count(*) AS VARCHAR) FROM raw_payments""")
+add("io_star_views", "fact_order_items dim_product dim_date", """
+SELECT d.year, p.category, count(*) AS items, CAST(sum(i.price) AS DOUBLE) AS revenue
+FROM fact_order_items i JOIN dim_product p USING (product_id) JOIN dim_date d USING (date_key) WHERE i.is_sale GROUP BY 1, 2""")
