@@ -128,7 +128,7 @@ register("cl_category_map",
          lambda star: cleaning.clean_products(star.raw["products"], star.raw["category_translation"]))
 register("cl_log", lambda star: cleaning.cleaning_log(star.raw))
 register("star_integrity", lambda star: check_star(star, star.raw))
-register("data_dictionary", lambda star: data_dictionary(star).drop("type"))
+register("data_dictionary", data_dictionary)
 register("table_overview", table_overview)
 
 # ---------------------------------------------------------------- single operators

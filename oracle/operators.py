@@ -5,6 +5,7 @@ from .base import avg_money, avg_scaled, days, half_even, rounded, secs
 from .checks import RAW
 from .measures import div
 from .queries import _STAR, add, plain
+from .texts import COLUMNS, TABLES, TYPES
 
 _ORDERS = RAW["orders"][1].split()
 _EXTRA = ("flag_carrier_before_approval flag_delivered_before_carrier is_sale is_delivered delivery_days approval_hours "
@@ -111,26 +112,18 @@ add("star_integrity", " ".join(_STAR) + " raw_orders raw_items raw_payments", "
     for i, (c, ok, d) in enumerate(_rows)))
 
 
-def _documents() -> tuple[dict, dict]:
-    from martkit.plans.integrity import COLUMN_DOCS, TABLE_DOCS
-    return TABLE_DOCS, COLUMN_DOCS
-
-
-_TABLES, _COLUMNS = _documents()
-
-
 def _q(text: str) -> str:
     return text.replace("'", "''")
 
 
 add("data_dictionary", " ".join(_STAR), " UNION ALL ".join(
-    f"SELECT '{t}' AS \"table\", {i} AS position, '{c}' AS \"column\", "
+    f"SELECT '{t}' AS \"table\", {i} AS position, '{c}' AS \"column\", '{TYPES[c]}' AS type, "
     f"{half_even(f'CAST(count(*) - count({c}) AS DOUBLE) * 100.0::DOUBLE / count(*)', 2)} AS pct_null, "
-    f"'{_q(_COLUMNS.get(c, ''))}' AS description FROM {t}"
+    f"'{_q(COLUMNS[c])}' AS description FROM {t}"
     for t, cols in _STAR.items() for i, c in enumerate(cols.split())))
 add("table_overview", " ".join(_STAR), " UNION ALL ".join(
     f"SELECT '{t}' AS \"table\", '{_q(g)}' AS grain, '{', '.join(_PK[t])}' AS primary_key, count(*) AS rows, "
-    f"{len(_STAR[t].split())} AS columns, '{_q(p)}' AS purpose FROM {t}" for t, (g, p) in _TABLES.items()))
+    f"{len(_STAR[t].split())} AS columns, '{_q(p)}' AS purpose FROM {t}" for t, (g, p) in TABLES.items()))
 
 # ---------------------------------------------------------------- single operators
 _EP, _TP = "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS DECIMAL(18,4))", \
