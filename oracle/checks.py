@@ -92,7 +92,7 @@ check("chk_coverage", _cov)
 check("chk_primary_key", [
     one("Uniqueness", t, f"Primary key unique & not null ({', '.join(k)})", "CRITICAL",
         "sum(n) FILTER (WHERE n > 1 OR bad)", "sum(n)",
-        "Deduplicate before modelling; a broken key breaks Power BI relationships",
+        "Deduplicate before modelling; rows joined on a broken key are counted twice",
         f"(SELECT count(*) AS n, bool_or({' OR '.join(c + ' IS NULL' for c in k)}) AS bad FROM {RAW[t][0]} "
         f"GROUP BY {', '.join(k)}) g") for t, k in KEYS.items()])
 check("chk_full_duplicates", [
