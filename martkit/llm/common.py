@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -59,6 +60,35 @@ def keep_rows(docs: DataFrame, text: str, decide: Callable[[list[bytes]], np.nda
     return map_batches(packed, work, schema).select("row.*")
 
 
+#: Bits of a filter: 8 MB.  With more than some ten million keys it lets most rows pass, which costs time, not rows.
+FILTER_BITS = 26
+
+
+def key_filter(keys: DataFrame, name: str, bits: int = FILTER_BITS) -> Callable[[Column], Column]:
+    """A Bloom filter of the 64-bit hashes in a column: says of a hash that it may be there, or surely is not.
+
+    Rows that surely are not need no join, so they need not be shuffled.  The filter's size is fixed.
+    """
+    # Two places from two parts of the hash.
+    shifts, mask = (64 - bits, 64 - 2 * bits), (1 << bits) - 1
+    places = F.array(*[F.shiftrightunsigned(name, s).bitwiseAND(F.lit(mask).cast("long")) for s in shifts])
+    wide = keys.select(F.explode(places).alias("at")).select(F.shiftrightunsigned("at", 6).alias("word"), F.expr("shiftleft(1L, int(at & 63))").alias("bit"))
+    found = wide.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()       # at most 2 ** (bits - 6) rows
+    words = np.zeros(1 << bits - 6, np.uint64)
+    words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+    shared = keys.sparkSession.sparkContext.broadcast(words)
+
+    @F.pandas_udf("boolean")
+    def may_be(hashes: pd.Series) -> pd.Series:
+        x = hashes.to_numpy(np.int64).view(np.uint64)
+        out = np.ones(len(x), bool)
+        for s in shifts:
+            at = (x >> np.uint64(s)) & np.uint64(mask)
+            out &= (shared.value[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+        return pd.Series(out)
+    return may_be
+
+
 def plain_words(text: bytes) -> list[bytes]:
     """Runs of letters and digits, lower-cased as Unicode does; punctuation that sticks to a word doesn't matter."""
     return text.decode("utf-8", "replace").lower().encode("utf-8", "replace").translate(_NO_WORD).split()

@@ -1,6 +1,7 @@
 """Exact deduplication by skew-safe combining.
 
-1. Digests are counted.  A text whose digest occurs once has no copy, and its text is not moved again.
+1. Digests are counted.  A text whose digest occurs once has no copy, and its text is not moved: a filter of fixed size lets
+   through rows with a repeated digest, and few others.
 2. Texts with a repeated digest are combined where they lie, then per digest and salt, then per digest.  The text itself
    is a grouping key in each of these steps, so whole contents are compared, never digests alone.  A text that fills a
    third of all rows arrives as one row per task at the salts, and as one row per salt at the end.
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import whole_text, written
+from .common import key_filter, whole_text, written
 
 SALTS = 32
 
@@ -27,11 +28,11 @@ def repeated_digests(docs: DataFrame, text: str = "text") -> DataFrame:
     return written(h.groupBy("h").count().where("count > 1").select("h"), "repeated")
 
 
-def duplicate_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", salts: int = SALTS) -> DataFrame:
-    """One row per text that several rows have: digest, keep_id, group_size, keep_rows (rows with that id)."""
+def duplicate_groups(docs: DataFrame, repeated: DataFrame, text: str = "text", doc_id: str = "doc_id", salts: int = SALTS) -> DataFrame:
+    """One row per text that several rows have: digest, keep_id and group_size."""
     rows = docs.select(F.col(doc_id).alias("id"), whole_text(text).alias("body"), F.xxhash64(whole_text(text)).alias("h"),
                        F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt"))
-    rows = rows.join(repeated_digests(docs, text), "h", "left_semi").withColumn("digest", _digest(F.col("body")))
+    rows = rows.where(key_filter(repeated, "h")("h")).join(repeated, "h", "left_semi").withColumn("digest", _digest(F.col("body")))
     # The first grouping also combines within each task before anything moves.
     salted = rows.groupBy("digest", "salt", "body").agg(F.max("id").alias("id"), F.count("*").alias("n"))
     merged = salted.groupBy("digest", "body").agg(F.max("id").alias("keep_id"), F.sum("n").alias("group_size"))
@@ -52,7 +53,7 @@ def _marked(docs: DataFrame, groups: DataFrame, text: str, doc_id: str, *more: C
 
 def exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
-    marked = _marked(docs, duplicate_groups(docs, text, doc_id), text, doc_id)
+    marked = _marked(docs, duplicate_groups(docs, repeated_digests(docs, text), text, doc_id), text, doc_id)
     plain = marked.where("group_size = 1 or not best").withColumnRenamed("best", "kept")
     # Rows with the winner's id, one or several: counted where they lie; one of all stays.
     part = F.spark_partition_id().alias("part")
@@ -68,8 +69,11 @@ def exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
 
 def without_exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows that stay, with all their columns."""
-    groups = duplicate_groups(docs, text, doc_id)
+    repeated = repeated_digests(docs, text)
+    groups = duplicate_groups(docs, repeated, text, doc_id)
+    may_repeat = key_filter(repeated, "h")(F.xxhash64(whole_text(text)))
     row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
-    best = _marked(docs, groups, text, doc_id, row).where("best")
+    best = _marked(docs.where(may_repeat), groups, text, doc_id, row).where("best")
     tops = best.where("group_size > 1").groupBy("sha").agg(F.first("row").alias("row"))
-    return best.where("group_size = 1").select("row.*").unionByName(tops.select("row.*"))
+    kept = best.where("group_size = 1").select("row").unionByName(tops.select("row"))
+    return docs.where(~may_repeat).select(row).unionByName(kept).select("row.*")

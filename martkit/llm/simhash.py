@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import map_batches, mixed, octets, plain_words, rolled, written
+from .common import key_filter, map_batches, mixed, octets, plain_words, rolled, written
 
 BUSY = 64
 SEED = 42
@@ -260,7 +260,9 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8,
     led = written(_locally_led(rows, words, least), "led")
     pairs = written(_block_pairs(led.where("fp is not null").select("key", "fp").dropDuplicates(["key"])), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = rows.join(wanted, "key", "left_semi").dropDuplicates(["key"])
+    wanted = written(wanted.withColumn("h", F.xxhash64("key")), "wanted")
+    near = rows.where(key_filter(wanted, "h")(F.xxhash64("key")))
+    sets = near.join(wanted, "key", "left_semi").dropDuplicates(["key"])
 
     def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = [shingle_set(t, words).view(np.int64) for t in batch.column(1).to_pylist()]
@@ -274,6 +276,10 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8,
     roots = written(components(edges), "roots")
     number = F.substring_index("node", ":", 1)
     first = roots.groupBy("root").agg(F.min_by("node", F.struct(number.try_cast("decimal(38,9)").isNull(), number.try_cast("decimal(38,9)"), F.col("node"))).alias("stays"))
-    goes = roots.join(first, "root").where("node <> stays").select(F.col("node").alias("__key"))
-    packed = docs.select(key.alias("__key"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
-    return packed.join(goes, "__key", "left_anti").select("row.*")
+    goes = roots.join(first, "root").where("node <> stays").select("node", F.xxhash64("node").alias("h"))
+    goes = written(goes, "goes")
+    packed = docs.select(key.alias("key"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    may_go = key_filter(goes, "h")(F.xxhash64("key"))
+    # Rows that may go are joined; the others stay where they are.
+    kept = packed.where(may_go).join(goes, F.col("key") == F.col("node"), "left_anti")
+    return packed.where(~may_go).unionByName(kept.select("key", "row")).select("row.*")
