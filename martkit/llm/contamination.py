@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import keep_rows, map_batches, octets, plain_words, rolled
 
@@ -102,7 +103,7 @@ def contained_items(docs: DataFrame, items: DataFrame, words: int = 5, least: fl
     rows = docs.select(F.col(doc_id).alias("doc_id"), octets(text).alias("body"))
     kind = {"doc_id": docs.schema[doc_id].dataType.simpleString(), "item_id": items.schema[item_id].dataType.simpleString()}
     schema = f"doc_id {kind['doc_id']}, item_id {kind['item_id']}, item_shingles long, shared_shingles long, containment double"
-    out = None
+    id_type, out = to_arrow_type(items.schema[item_id].dataType), None
     for block in item_blocks(items, words, least, item_text, item_id):
         def work(batch: pa.RecordBatch, block=block) -> pa.RecordBatch:
             items, at, cells = block.value.items, [], []
@@ -112,7 +113,7 @@ def contained_items(docs: DataFrame, items: DataFrame, words: int = 5, least: fl
                     cells.append((items[i][0], len(items[i][1]), shared, shared / len(items[i][1])))
             ids, n, shared, share = zip(*cells) if cells else ((), (), (), ())
             return pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(at, pa.int64())), pa.array(ids, _arrow(kind["item_id"])), pa.array(n, pa.int64()),
+                [batch.column(0).take(pa.array(at, pa.int64())), pa.array(ids, id_type), pa.array(n, pa.int64()),
                  pa.array(shared, pa.int64()), pa.array(share, pa.float64())],
                 names=["doc_id", "item_id", "item_shingles", "shared_shingles", "containment"])
         found = map_batches(rows, work, schema)
@@ -120,10 +121,6 @@ def contained_items(docs: DataFrame, items: DataFrame, words: int = 5, least: fl
     return out
 
 
-def _arrow(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-
-
 def without_contaminated(docs: DataFrame, items: DataFrame, words: int = 5, least: float = 0.8, text: str = "text",
                          item_text: str = "text", item_id: str = "item_id") -> DataFrame:
     """The documents that contain no item, with all their columns; nothing is shuffled."""
