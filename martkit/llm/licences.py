@@ -116,7 +116,9 @@ def license_labels(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least
     seen = rows.where("doc is not null").dropDuplicates(["doc"]).select("doc", F.explode("blocks").alias("own"))
     met = met_templates(seen, templates, order, least).groupBy(F.col("doc").alias("d")).agg(
         F.collect_set("label").alias("met"), F.max("containment").alias("best"))
-    rows = rows.join(met, F.col("doc") == F.col("d"), "left")
+    # Documents without a candidate have no key to look up; they are spread over keys that nothing has.
+    other = F.concat(F.lit("none "), F.pmod(F.xxhash64("doc_id", "n_words"), F.lit(4096)).cast("string"))
+    rows = rows.join(met, F.coalesce("doc", other) == F.col("d"), "left")
     base = F.array_sort(F.array_distinct(F.col("places.label")))
     both = F.array_sort(F.array_union(base, F.coalesce("met", F.array().cast("array<string>"))))
     return rows.select(

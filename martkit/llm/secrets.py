@@ -133,7 +133,9 @@ def secret_spans(docs: DataFrame, scope: int = SCOPE, text: str = "text", doc_id
     parts = rows.where("doc is not null").dropDuplicates(["doc"]).select("doc", F.explode(F.concat("base", "weak")).alias("part"))
     parts = parts.select("doc", "part.*").withColumn("role", F.element_at(roles, F.col("kind") + 1))
     linked = _scoped(parts, scope).groupBy("doc").agg(F.collect_list(F.struct("start", "kind", "stop")).alias("linked"))
-    rows = rows.join(linked.withColumnRenamed("doc", "d"), F.col("doc") == F.col("d"), "left")
+    # Documents without a candidate have no key to look up; they are spread over keys that nothing has.
+    other = F.concat(F.lit("none "), F.pmod(F.xxhash64("doc_id"), F.lit(4096)).cast("string"))
+    rows = rows.join(linked.withColumnRenamed("doc", "d"), F.coalesce("doc", other) == F.col("d"), "left")
     linked = F.coalesce("linked", F.array().cast("array<struct<start: bigint, kind: int, stop: bigint>>"))
     return rows.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
                        _joined(F.concat("base", linked)).alias("spans"), F.size(linked).cast("long").alias("n_linked"))
