@@ -4,8 +4,10 @@ Calls and results are hash-joined by conversation and call identifier.  A call m
 its arguments); calls get levels so that each comes after those it uses.  Arguments are checked against the tool's schema, and
 each call is written as canonical JSON: keys sorted at every depth, no blanks.
 
-Levels are found a round at a time: the calls whose needs are met leave, and with them the needs they meet.  A round moves
-only what is still open, in tables of the shared folder.  No conversation is ever gathered in one place.
+Levels are found in rounds over tables of the shared folder.  Chains of calls with one need each are shortened by pointer
+jumping, which halves them in a round.  Then the calls whose needs are met leave, and with them the needs they meet, until
+none is left; such rounds are as many as calls with several needs follow one another.  No conversation is ever gathered in
+one place.
 
 Defined results: calls of one conversation and identifier are one call, the earliest (``copies`` counts them), so are
 results; a result without a call has status ``orphan``; a call without an identifier can't be linked (``no identifier``);
@@ -49,20 +51,50 @@ def levels(needs: DataFrame) -> DataFrame:
 
     ``needs``: conv_id, call_id, needs (another call of the conversation that exists).
     """
-    left = written(needs.distinct(), "needs")
-    target = left.select("conv_id", F.col("needs").alias("call_id")).distinct()
-    ready = written(target.join(left.select(*_ID).distinct(), _ID, "left_anti"), "ready")
-    done, level = None, 0
+    edges = written(needs.distinct(), "needs")
+    nodes = written(edges.groupBy(*_ID).agg(F.count("*").alias("n"), F.min("needs").alias("to")), "nodes")
+    free, circular = _jumped(nodes.where("n = 1").select(*_ID, "to", F.lit(1).cast("long").alias("hops")))
+    # Calls with several needs, each need replaced by what its chain of single needs ends at.
+    chain = free.select("conv_id", F.col("call_id").alias("needs"), "to", "hops")
+    left = edges.join(nodes.where("n > 1").select(*_ID), _ID, "left_semi").join(chain, ["conv_id", "needs"], "left")
+    left = written(left.select(*_ID, F.coalesce("to", "needs").alias("needs"), (F.coalesce("hops", F.lit(0)) + 1).alias("steps")), "left")
+    ready = left.select("conv_id", F.col("needs").alias("call_id")).distinct().join(nodes.select(*_ID), _ID, "left_anti")
+    ready = written(ready.withColumn("level", F.lit(0).cast("long")), "ready")
+    got, done = None, None
     while not ready.isEmpty():
-        gone = ready.select("conv_id", F.col("call_id").alias("needs"))
-        freed = left.join(gone, ["conv_id", "needs"], "left_semi").select(*_ID).distinct()
-        still = written(left.join(gone, ["conv_id", "needs"], "left_anti").select(*_ID, "needs"), "needs")
-        ready = written(freed.join(still.select(*_ID).distinct(), _ID, "left_anti"), "ready")
-        left, level = still, level + 1
-        now = ready.withColumn("level", F.lit(level).cast("long"))
-        done = now if done is None else done.unionByName(now)
-    stuck = left.select(*_ID).distinct().withColumn("level", F.lit(None).cast("long"))
-    return stuck if done is None else done.unionByName(stuck)
+        level = ready.select("conv_id", F.col("call_id").alias("needs"), "level")
+        met = left.join(level, ["conv_id", "needs"]).select(*_ID, (F.col("level") + F.col("steps")).alias("level"))
+        got = written((met if got is None else met.unionByName(got)).groupBy(*_ID).agg(F.max("level").alias("level")), "got")
+        left = written(left.join(level, ["conv_id", "needs"], "left_anti").select(*_ID, "needs", "steps"), "left")
+        open_ = left.select(*_ID).distinct()
+        ready = written(got.join(open_, _ID, "left_anti"), "ready")
+        got = got.join(open_, _ID, "left_semi")
+        done = ready if done is None else done.unionByName(ready)
+    stuck = left.select(*_ID).distinct().unionByName(circular.select(*_ID)).withColumn("level", F.lit(None).cast("long"))
+    many = stuck if done is None else stuck.unionByName(done)
+    # A chain's level counts from its end: a call without needs (level 0), or one with several.
+    ends = many.select("conv_id", F.col("call_id").alias("to"), "level", F.lit(True).alias("several"))
+    single = free.join(ends, ["conv_id", "to"], "left")
+    level = F.when(F.col("several").isNull(), F.col("hops")).otherwise(F.col("level") + F.col("hops"))
+    return many.unionByName(single.select(*_ID, level.alias("level")))
+
+
+def _jumped(single: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls with one need, pointed at the end of their chain, hops away; and those whose chain is a circle.
+
+    Each round doubles the hops, so a chain takes as many rounds as its length has binary digits.
+    """
+    single = written(single, "single")
+    here = ["conv_id", "to"]
+    for _ in range(single.count().bit_length() + 1):
+        onto = single.select("conv_id", F.col("call_id").alias("to"), F.col("to").alias("next"), F.col("hops").alias("more"))
+        moved = single.join(onto, here, "left")
+        single = written(moved.select(*_ID, F.coalesce("next", "to").alias("to"), (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops"),
+                                      F.col("next").isNotNull().alias("moved")), "single")
+        if single.where("moved").isEmpty():
+            break
+    onto = single.select("conv_id", F.col("call_id").alias("to"))
+    return written(single.join(onto, here, "left_anti").select(*_ID, "to", "hops"), "free"), single.join(onto, here, "left_semi")
 
 
 def _one(rows: DataFrame, *columns: str) -> DataFrame:

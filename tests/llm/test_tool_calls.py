@@ -59,8 +59,14 @@ def test_levels(spark):
             calls.append((conv, f"c{i}", rng.randrange(50), "add", json.dumps({"note": " ".join(f"${{c{j}}}" for j in uses)})))
         want |= {(conv, f"c{i}"): n for i, n in level.items()}
     calls += [(9, "x", 1, "add", '{"a":"${y}"}'), (9, "y", 1, "add", '{"a":"${x}"}'), (9, "behind", 1, "add", '{"a":"${x} ${free}"}'), (9, "free", 1, "add", '{"a":"${gone}"}')]
+    calls += [(10, f"l{i}", i, "add", json.dumps({"note": f"${{l{i - 1}}}" if i else ""})) for i in range(70)]
+    calls += [(10, "fork", 100, "add", '{"a":"${l69} ${l3}"}'), (10, "after", 101, "add", '{"a":"${fork}"}'), (10, "on", 102, "add", '{"a":"${after}"}'),
+              (10, "both", 103, "add", '{"a":"${on} ${fork}"}')]
+    want |= {(10, f"l{i}"): i for i in range(70)} | {(10, "fork"): 70, (10, "after"): 71, (10, "on"): 72, (10, "both"): 73}
+    calls += [(11, f"r{i}", i, "add", json.dumps({"note": f"${{r{(i + 1) % 9}}}"})) for i in range(9)] + [(11, "tail", 20, "add", '{"a":"${r3}"}')]
     got, _ = run(spark, calls, [])
     assert {k: got[k].level for k in want} == want
+    assert {r.level for k, r in got.items() if k[0] == 11} == {None}
     assert [got[9, k].level for k in ("x", "y", "behind", "free")] == [None, None, None, 0]
     assert "unknown reference gone" in got[9, "free"].errors
 
