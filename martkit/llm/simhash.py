@@ -157,7 +157,7 @@ def linked_components(docs: DataFrame, words: int = 3, distance: int = 2, text:
 WIDE = 8                    #: 64-bit words of the wide fingerprint
 BLOCK_BITS = 16             #: bits of a block; the wide fingerprint has 32 of them
 NEAR = 0.15                 #: share of differing bits at the threshold, on average
-FAR = 0.24                  #: share up to which shingles are compared
+FAR = 0.20                  #: share up to which shingles are compared: three deviations above it
 _SALTS = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) & (1 << 64) - 1 for i in range(WIDE)], np.uint64)
 
 
@@ -253,9 +253,9 @@ def _block_pairs(leaders: DataFrame) -> DataFrame:
 def without_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows but those that are near copies of others; of each group the row with the smallest id stays.
 
-    A row is known by its id and a digest of its text, so rows that agree in both stay or go together.
+    A row is known by its id and a hash of its text, so rows that agree in both stay or go together.
     """
-    key = F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.sha2(F.coalesce(F.col(text), F.lit("")), 224))
+    key = F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.hex(F.xxhash64(F.coalesce(F.col(text), F.lit("")))))
     rows = docs.select(key.alias("key"), octets(text).alias("body"))
     led = written(_locally_led(rows, words, least), "led")
     pairs = written(_block_pairs(led.where("fp is not null").select("key", "fp").dropDuplicates(["key"])), "pairs")
