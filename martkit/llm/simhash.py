@@ -8,8 +8,9 @@ of small blocks of the remaining bits, all but ``distance`` of which are equal i
 open is a few bits, so no group can exceed ``2 ** (free bits)`` fingerprints, whatever the data.
 
 ``without_near_duplicates`` serves the pipeline: shingles of five words, similarity 0.8.  At that similarity a seventh of
-all bits differ, so it takes a wide fingerprint and many blocks, and verifies the Hamming distance and then the shared
-shingles themselves.
+all bits differ, too many for blocks of a fingerprint, so it joins sets on their rarest shingles, of which similar sets
+share at least one, and verifies the shared shingles.  Only pairs that are linked already are passed over.  Equal sets are
+one node, named by 64 bits.
 
 Defined results: a null text is an empty text; a text without words has fingerprint zero; a null document id is greater
 than any other and belongs to its component, whose id is null only if all ids in it are.
@@ -17,15 +18,16 @@ than any other and belongs to its component, whose id is null only if all ids in
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import key_filter, map_batches, mixed, octets, plain_words, rolled, written
+from .common import key_filter, map_batches, octets, plain_words, rolled, written
 
 BUSY = 64
 SEED = 42
@@ -154,11 +156,8 @@ def linked_components(docs: DataFrame, words: int = 3, distance: int = 2, text:
 
 
 # ---------------------------------------------------------------- five words, similarity 0.8
-WIDE = 8                    #: 64-bit words of the wide fingerprint
-BLOCK_BITS = 16             #: bits of a block; the wide fingerprint has 32 of them
-NEAR = 0.15                 #: share of differing bits at the threshold, on average
-FAR = 0.20                  #: share up to which shingles are compared: three deviations above it
-_SALTS = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) & (1 << 64) - 1 for i in range(WIDE)], np.uint64)
+COUNT_BITS = 18             #: cells in which shingles are counted; they order the shingles and decide nothing
+SLACK = 1e-6                #: for the rounding of products; the last check of a pair has none
 
 
 def shingle_set(text: bytes, size: int) -> np.ndarray:
@@ -170,84 +169,138 @@ def shingle_set(text: bytes, size: int) -> np.ndarray:
     return np.unique(rolled(h, min(size, len(h))))
 
 
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    shared = len(np.intersect1d(a, b, assume_unique=True))
-    return shared / max(1, len(a) + len(b) - shared)
+def _set_name(own: np.ndarray) -> int | None:
+    """64 bits that name a set of shingles; None if it is empty."""
+    return _signed(xxhash.xxh3_64_intdigest(own.tobytes())) if len(own) else None
 
 
-def wide_fingerprint(shingles: np.ndarray) -> np.ndarray:
-    if not len(shingles):
-        return np.zeros(WIDE, np.uint64)
-    total = np.zeros(WIDE * 64, np.int64)
-    for at in range(0, len(shingles), 4080):
-        total += bit_counts(mixed(shingles[at:at + 4080, None] ^ _SALTS[None, :]))
-    return np.packbits(2 * total > len(shingles), bitorder="little").view(np.uint64)
-
-
-def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b).sum(axis=-1)
-
+def _cell_counts(rows: DataFrame, words: int) -> np.ndarray:
+    """How many shingles of all rows fall in each cell (the upper bits of the hash)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << COUNT_BITS, np.int64)
 
-def _locally_led(rows: DataFrame, words: int, least: float) -> DataFrame:
-    """For each row: the row of its task that it is a near copy of (leader), or else its wide fingerprint."""
-    near = int(FAR * WIDE * 64)
+        def add(held: list[np.ndarray]) -> None:
+            np.add(total, np.bincount(np.concatenate(held).astype(np.int64), minlength=len(total)), out=total)
+        for batch in batches:
+            held, n = [np.empty(0, np.uint64)], 0
+            for text in batch.column(1).to_pylist():
+                held.append(shingle_set(text, words) >> np.uint64(64 - COUNT_BITS))
+                n += len(held[-1])
+                if n > 1_000_000:
+                    add(held)
+                    held, n = [np.empty(0, np.uint64)], 0
+            add(held)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["at", "n"])
+    found = rows.mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()      # at most 2 ** COUNT_BITS rows
+    out = np.zeros(1 << COUNT_BITS, np.int64)
+    out[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    return out
+
+
+def _prefixes(rows: DataFrame, words: int, least: float) -> DataFrame:
+    """For each row: the name of its set (node), the set's size n, a score, and the set's rarest shingles (prefix).
+
+    All sets are in one order: by the count of the shingle's cell, then by hash.  Two sets of similarity ``least`` have
+    a shingle in common among the first ``n - ceil(least n) + 1`` of each.  The score is higher the more common the
+    shingles are, so in a group of copies it is highest in the middle.  A set that the task has had before has no prefix.
+    """
+    counts = rows.sparkSession.sparkContext.broadcast(_cell_counts(rows, words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, fps, sets, seen = [], np.empty((256, WIDE), np.uint64), [], {}
+        seen: set[int] = set()
         for batch in batches:
-            leader, wide = [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            node, n, score, prefix = [], [], [], []
+            for text in batch.column(1).to_pylist():
                 own = shingle_set(text, words)
-                fp = wide_fingerprint(own)
-                blocks = list(enumerate(fp.view(np.uint16).tolist()))
-                found = sorted({i for b in blocks for i in seen.get(b, ())})
-                if found:
-                    found = [i for i, d in zip(found, differing(fps[found], fp)) if d <= near]
-                led = next((i for i in found if similarity(own, sets[i]) >= least), None) if len(own) else None
-                leader.append(None if led is None else keys[led])
-                wide.append(fp.view(np.int64).tolist() if led is None and len(own) else None)
-                if led is None and len(own):
-                    if len(keys) == len(fps):
-                        fps = np.concatenate([fps, np.empty_like(fps)])
-                    fps[len(keys)] = fp
-                    for b in blocks:
-                        seen.setdefault(b, []).append(len(keys))
-                    keys.append(key)
-                    sets.append(own)
+                name, size = _set_name(own), len(own)
+                first = name is not None and name not in seen
+                node.append(name)
+                n.append(size)
+                common = counts.value[own >> np.uint64(64 - COUNT_BITS)] if first else None
+                score.append(float(common.mean()) if first else None)
+                if first:
+                    seen.add(name)
+                    length = size - math.ceil(least * size - SLACK) + 1
+                    prefix.append(own[np.argsort(common, kind="stable")[:length]].view(np.int64))
+                else:
+                    prefix.append(None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(leader, pa.string()), pa.array(wide, pa.list_(pa.int64()))],
-                names=["key", "leader", "fp"])
-    return rows.mapInArrow(run, "key string, leader string, fp array<long>")
+                [batch.column(0), pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(score, pa.float32()),
+                 pa.array(prefix, pa.list_(pa.int64()))], names=["key", "node", "n", "score", "prefix"])
+    return rows.mapInArrow(run, "key string, node long, n int, score float, prefix array<long>")
+
+
+def _may_be_alike(least: float, n_a, p_a, n_b, p_b, low=np.minimum, high=np.maximum):
+    """Whether sets of these sizes can be alike whose first common shingle is at these places."""
+    return (low(n_a, n_b) >= least * high(n_a, n_b) - SLACK) & (low(n_a - p_a, n_b - p_b) >= least / (1 + least) * (n_a + n_b) - SLACK)
+
+
+def _shared_shingles(prefixes: DataFrame) -> DataFrame:
+    """token, node, n and p (place) of the prefix shingles that different sets share, each with the set of highest score (pivot)."""
+    each = prefixes.where("prefix is not null").select("node", "n", "score", F.posexplode("prefix").alias("p", "token"))
+    of_token = W.partitionBy("token")
+    each = each.select("*", F.max(F.struct("score", "node", "n", "p")).over(of_token).alias("pivot"),
+                       F.min("node").over(of_token).alias("low"), F.max("node").over(of_token).alias("high"))
+    return each.where("low <> high").select("token", "node", "n", "p", F.col("pivot.node").alias("pivot"),
+                                            F.col("pivot.n").alias("pivot_n"), F.col("pivot.p").alias("pivot_p"))
 
 
-def _block_pairs(leaders: DataFrame) -> DataFrame:
-    """Pairs of leaders that share a block and differ in few bits.  Rows of a block arrive one after another."""
-    blocks = WIDE * 64 // BLOCK_BITS
-    keyed = leaders.select("key", "fp", F.explode(F.expr(
-        f"transform(sequence(0, {blocks - 1}), i -> i * 65536 + "
-        f"(shiftrightunsigned(fp[i div 4], 16 * int(i % 4)) & 65535))")).alias("block"))
-    keyed = keyed.repartition("block").sortWithinPartitions("block", "key")
-    led, near = int(NEAR * WIDE * 64), int(FAR * WIDE * 64)
+def _pairs_of_roots(cells: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """Every pair of sets that share a prefix shingle, may be alike and have different roots."""
+    cells = cells.select("token", "node", "n", "p").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    of_token = W.partitionBy("token")
+    cells = cells.select("*", F.min("root").over(of_token).alias("low"), F.max("root").over(of_token).alias("high")).where("low <> high")
+    cells = cells.select("token", "root", "node", "n", "p").repartition("token").sortWithinPartitions("token", "root")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, keys, fps = None, [], np.empty((64, WIDE), np.uint64)
+        token = root = None
+        held, size, before = np.empty((3, 64), np.int64), 0, 0      # node, n and p; ``before`` are of the roots before
         for batch in batches:
-            out_a, out_b = [], []
-            wide = batch.column(1).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, WIDE)
-            for i, (key, b) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
-                if b != block:
-                    block, keys = b, []
-                d = differing(fps[:len(keys)], wide[i]) if keys else np.empty(0, np.int64)
-                for j in np.flatnonzero(d <= near):
-                    out_a.append(keys[j])
-                    out_b.append(key)
-                if not len(d) or d.min() > led:       # a near copy of a row of this block is compared through that row
-                    if len(keys) == len(fps):
-                        fps = np.concatenate([fps, np.empty_like(fps)])
-                    fps[len(keys)] = wide[i]
-                    keys.append(key)
-            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.string()), pa.array(out_b, pa.string())], names=["a", "b"])
-    return keyed.mapInArrow(run, "a string, b string").distinct()
+            cols = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
+            out, made = [], 0
+            for t, r, node, n, p in zip(*[c.tolist() for c in cols]):
+                if t != token:
+                    token, root, size, before = t, r, 0, 0
+                elif r != root:
+                    root, before = r, size
+                if before:
+                    others = held[:, :before]
+                    found = others[0, _may_be_alike(least, others[1], others[2], n, p)]
+                    out.append(np.stack([np.minimum(found, node), np.maximum(found, node)]))
+                    made += len(found)
+                    if made > 100_000:
+                        yield _pair_batch(out)
+                        out, made = [], 0
+                if size == held.shape[1]:
+                    held = np.concatenate([held, np.empty_like(held)], axis=1)
+                held[:, size] = node, n, p
+                size += 1
+            yield _pair_batch(out)
+    return cells.mapInArrow(run, "a long, b long").where("a <> b").distinct()
+
+
+def _pair_batch(parts: list[np.ndarray]) -> pa.RecordBatch:
+    pairs = np.unique(np.concatenate([np.empty((2, 0), np.int64), *parts], axis=1), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()), pa.array(pairs[1], pa.int64())], names=["a", "b"])
+
+
+def _alike(pairs: DataFrame, rows: DataFrame, prefixes: DataFrame, words: int, least: float) -> DataFrame:
+    """The pairs whose sets have the similarity; the sets are made again for these only."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = prefixes.select("key", "node").join(nodes, "node").groupBy("node").agg(F.min("key").alias("key"))
+    wanted = written(wanted.withColumn("h", F.xxhash64("key")), "wanted")
+    sets = rows.where(key_filter(wanted, "h")(F.xxhash64("key"))).join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"])
+
+    def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own = [shingle_set(t, words) for t in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([pa.array([_set_name(s) for s in own], pa.int64()), pa.array([s.view(np.int64) for s in own], pa.list_(pa.int64()))],
+                                          names=["node", "own"])
+    sets = written(map_batches(sets, hashed, "node long, own array<long>"), "sets")
+    a, b = (sets.select(F.col("node").alias(x), F.col("own").alias(f"own_{x}")) for x in "ab")
+    shared = F.size(F.array_intersect("own_a", "own_b"))
+    alike = shared >= least * (F.size("own_a") + F.size("own_b") - shared)
+    return written(pairs.join(a, "a").join(b, "b").where(alike).select("a", "b"), "alike")
 
 
 def without_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -257,26 +310,24 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8,
     """
     key = F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.hex(F.xxhash64(F.coalesce(F.col(text), F.lit("")))))
     rows = docs.select(key.alias("key"), octets(text).alias("body"))
-    led = written(_locally_led(rows, words, least), "led")
-    pairs = written(_block_pairs(led.where("fp is not null").select("key", "fp").dropDuplicates(["key"])), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    wanted = written(wanted.withColumn("h", F.xxhash64("key")), "wanted")
-    near = rows.where(key_filter(wanted, "h")(F.xxhash64("key")))
-    sets = near.join(wanted, "key", "left_semi").dropDuplicates(["key"])
-
-    def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = [shingle_set(t, words).view(np.int64) for t in batch.column(1).to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int64()))], names=["key", "own"])
-    sets = written(map_batches(sets, hashed, "key string, own array<long>"), "sets")
-    a, b = (sets.select(F.col("key").alias(x), F.col("own").alias(f"own_{x}")) for x in "ab")
-    shared = F.size(F.array_intersect("own_a", "own_b"))
-    alike = shared >= least * (F.size("own_a") + F.size("own_b") - shared)
-    edges = pairs.join(a, "a").join(b, "b").where(alike).select("a", "b")
-    edges = edges.unionByName(led.where("leader is not null").select(F.col("leader").alias("a"), F.col("key").alias("b")))
+    prefixes = written(_prefixes(rows, words, least), "prefixes")
+    cells = written(_shared_shingles(prefixes), "cells")
+    # First each set with the pivots of its shingles, which links most of a group; then all pairs not yet linked.
+    to_pivot = _may_be_alike(least, *(F.col(c) for c in ("n", "p", "pivot_n", "pivot_p")), F.least, F.greatest)
+    tried = cells.where((F.col("node") != F.col("pivot")) & to_pivot).select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+    tried = written(tried.distinct(), "tried")
+    edges = _alike(tried, rows, prefixes, words, least)
     roots = written(components(edges), "roots")
-    number = F.substring_index("node", ":", 1)
-    first = roots.groupBy("root").agg(F.min_by("node", F.struct(number.try_cast("decimal(38,9)").isNull(), number.try_cast("decimal(38,9)"), F.col("node"))).alias("stays"))
-    goes = roots.join(first, "root").where("node <> stays").select("node", F.xxhash64("node").alias("h"))
+    others = written(_pairs_of_roots(cells, roots, least).join(tried, ["a", "b"], "left_anti"), "others")
+    if not others.isEmpty():
+        edges = edges.unionByName(_alike(others, rows, prefixes, words, least))
+        roots = written(components(edges), "roots")
+    # Rows of one set are one node.
+    named = prefixes.where("node is not null").select("key", "node").distinct()
+    named = named.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
+    number = F.substring_index("key", ":", 1).try_cast("decimal(38,9)")
+    first = named.groupBy("root").agg(F.min_by("key", F.struct(number.isNull(), number, F.col("key"))).alias("stays"), F.count("*").alias("n")).where("n > 1")
+    goes = named.join(first, "root").where("key <> stays").select(F.col("key").alias("node"), F.xxhash64("key").alias("h"))
     goes = written(goes, "goes")
     packed = docs.select(key.alias("key"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     may_go = key_filter(goes, "h")(F.xxhash64("key"))
