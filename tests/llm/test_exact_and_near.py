@@ -185,3 +185,11 @@ def test_copies_of_one_original_that_follow_an_edit(spark):
     rows = [(k, _edited(words, {4 + k + 70 * m for m in range(4)})) for k in range(40)]
     rows.insert(1, (99, " ".join(words)))
     assert _plain_kept(rows) == {0} == _kept(spark, rows)
+
+
+def test_copies_that_come_before_their_original(spark):
+    # Ids of four digits stand before 999 in the order of keys; every copy is in another task.
+    rng = random.Random(21)
+    words = [f"v{i}" for i in range(304)]
+    rows = [(1000 + k, _edited(words, set(rng.sample(range(5, 299, 6), 4)))) for k in range(120)] + [(999, " ".join(words))]
+    assert _plain_kept(rows) == {999} == _kept(spark, rows, 32)
