@@ -193,3 +193,19 @@ def test_copies_that_come_before_their_original(spark):
     words = [f"v{i}" for i in range(304)]
     rows = [(1000 + k, _edited(words, set(rng.sample(range(5, 299, 6), 4)))) for k in range(120)] + [(999, " ".join(words))]
     assert _plain_kept(rows) == {999} == _kept(spark, rows, 32)
+
+
+def test_pairs_at_the_threshold_are_all_found(spark):
+    rng = random.Random(22)
+    rows = []
+    for i in range(0, 400, 2):
+        words = [f"v{i}x{j}" for j in range(rng.randrange(150, 400))]
+        places, at = set(), 4
+        while len(places) < len(words) * 0.0199:            # a tenth of the shingles or a little less: 0.80 to 0.85
+            places.add(at)
+            at += 6
+        rows += [(i, " ".join(words)), (i + 1, _edited(words, places))]
+    sets = [set(zip(*[t.split()[k:] for k in range(5)])) for _, t in rows]
+    alike = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2])]
+    assert sum(0.8 <= s < 0.85 for s in alike) >= 100
+    assert _plain_kept(rows) == _kept(spark, rows, 8)
