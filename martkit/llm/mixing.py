@@ -23,8 +23,9 @@ SHARE = 1.5
 MOST_PASSES = 2
 SEED = 20240229
 CELLS = 4096
-#: Budget beyond which even shares are taken before the exact fit: a fixed window, so its table stays small.
+#: Least budget beyond which even shares are taken before the exact fit, and lengths times budget up to which they aren't.
 WINDOW = 1 << 16
+WHOLE = 1 << 28
 
 
 def n_words(text: str = "text") -> Column:
@@ -57,25 +58,30 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many of each length to take, so that the words come as near to the budget as can be, not above it.
 
-    Even shares bring the rest below the window; then ``reach`` says for each sum which length reached it first.
+    ``reach`` says for each sum which length reached it first.  Where lengths times budget are many (``WHOLE``), even shares
+    bring the rest below a window of at least twice the longest length first, and the rest is fitted as near as can be.
     """
     order = np.argsort(-lengths)
     lengths, counts = lengths[order], counts[order]
+    if len(lengths) and budget > 0:
+        unit = int(np.gcd.reduce(lengths))
+        lengths, budget = lengths // unit, budget // unit
+        window = max(WINDOW, 2 * int(lengths[0]), budget if budget * len(lengths) <= WHOLE and budget <= 1 << 24 else 0)
     total = int((lengths * counts).sum())
     taken = np.zeros(len(lengths), np.int64)
     if budget >= total:
         taken[:] = counts
     elif budget > 0:
-        if budget > WINDOW:
-            taken = np.minimum(counts, ((counts * (budget - WINDOW // 2)) // total))
+        if budget > window:
+            taken = np.minimum(counts, ((counts * (budget - window // 2)) // total))
         left = budget - int((lengths * taken).sum())
         for i, n in enumerate(lengths):                  # the long ones first, while more than a window is left
-            if left <= WINDOW:
+            if left <= window:
                 break
-            more = min(int(counts[i] - taken[i]), max(0, left - WINDOW // 2) // int(n))
+            more = min(int(counts[i] - taken[i]), max(0, left - window // 2) // int(n))
             taken[i] += more
             left -= more * int(n)
-        reach = np.full(min(left, WINDOW) + 1, -1, np.int32)
+        reach = np.full(left + 1, -1, np.int32)
         reach[0] = len(lengths)
         copies: dict[int, np.ndarray] = {}
         for i, n in enumerate(lengths.tolist()):

@@ -61,6 +61,19 @@ def test_fit_of_large_budgets():
         assert ((0 <= took) & (took <= counts)).all() and (took * lengths).sum() == budget
 
 
+def test_fit_of_long_texts():
+    for lengths, counts, budget, best in (([100_000], [2], 100_000, 100_000), ([90_000, 500], [10, 100], 600_000, 590_000),
+                                          ([70_001, 70_000], [40, 40], 560_000, 560_000), ([400_000, 399_999, 7], [3, 3, 2], 1_199_999, 1_199_999)):
+        took = mixing.fit(np.array(lengths), np.array(counts), budget)
+        assert ((0 <= took) & (took <= counts)).all() and (took * lengths).sum() == best
+
+
+def test_fit_of_long_texts_beyond_the_whole_table(monkeypatch):
+    monkeypatch.setattr(mixing, "WHOLE", 0)
+    took = mixing.fit(np.array([90_001, 500, 1]), np.array([1000, 100, 600]), 30_000_000)
+    assert (took * np.array([90_001, 500, 1])).sum() > 30_000_000 - 90_001
+
+
 def _check(docs, rows):
     got = mixing.mixed_documents(docs).collect()
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
