@@ -1,8 +1,9 @@
 """Toxicity scores over text restored by noisy-channel decoding.
 
 A writer's word reaches us through a channel that swaps letters for look-alikes (leetspeak), spaces letters out and repeats
-them.  Each suspicious token becomes a lattice of the letters that may stand behind its characters; Viterbi search takes the
-path that a character trigram model finds likeliest.  The model is counted over all documents.  Restored words, and their
+them.  Each suspicious token becomes a lattice of the letters that may stand behind its characters, and each run of short
+tokens (up to three characters) one in which a word goes on or ends at every gap; Viterbi search takes the path that a
+character trigram model finds likeliest.  The tokens of a run count as words beside those restored from it.  The model is counted over all documents.  Restored words, and their
 beginnings, get log-odds of toxic against other labelled documents; a logistic regression over a document's log-odds, fitted
 on a fold that took no part in them, gives the score.
 
@@ -41,7 +42,11 @@ _N = 30
 LOOK_ALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
                "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
 _EDGE = ".,;:?!*#%&\"'|-_()[]{}<>~^/\\=+"
-_SPACED = re.compile(r"(?<![^\s.,;:])(?:[a-z0-9@$!][ ._*-]){2,}[a-z0-9@$!](?![^\s.,;:!?])")
+#: Maximal runs of tokens of up to one, two and three characters (letters of any script, digits, look-alikes), with any
+#: number of separators between them.  A run of spelled letters between short words is thus decoded without these as well.
+_SHORT, _GAP = r"[^\W_@$!|+(€£]|[@$!|+(€£]", r"[\s._*-]+"
+_SPACED = [re.compile(rf"(?<![^\s.,;:_*\-])(?:(?:{_SHORT}){{1,{k}}}{_GAP})+(?:{_SHORT}){{1,{k}}}(?![^\s.,;:!?_*\-])") for k in (1, 2, 3)]
+_BETWEEN = re.compile(_GAP)
 _STRANGE = re.compile(r"[0-9@$!|+(€£]|(.)\1\1")
 
 
@@ -70,7 +75,7 @@ class Decoder:
         lower = counts.sum(axis=0) + 0.1                 # pairs, as the fallback of unseen triples
         backed = lower / lower.sum(axis=1, keepdims=True)
         self.log = np.log((counts + 5.0 * backed[None]) / (counts.sum(axis=2, keepdims=True) + 5.0)).tolist()
-        self.known: dict[str, str] = {}
+        self.known: dict[tuple[str, str], str] = {}
 
     def lattice(self, token: str) -> list[list[str]]:
         """For each place the strings that may stand behind it; a run of three or more stands for one or two."""
@@ -87,20 +92,35 @@ class Decoder:
             at = end
         return out
 
+    def spaced_lattice(self, run: str) -> list[list[str]]:
+        """Of short tokens: between two of them the word goes on or ends."""
+        out: list[list[str]] = []
+        for token in _BETWEEN.split(run):
+            out += [["", " "], *self.lattice(token)] if out else self.lattice(token)
+        return out
+
     def viterbi(self, token: str) -> str:
-        best = {(0, 0): (0.0, "")}
-        for options in [*self.lattice(token), [" "]]:
-            new: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (cost, text) in best.items():
+        return self.likeliest(self.lattice(token))
+
+    def likeliest(self, lattice: list[list[str]]) -> str:
+        # Each path is its last string and the path before, so the work is linear in the places.
+        best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+        for options in [*lattice, [" "]]:
+            new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            for (a, b), (cost, path) in best.items():
                 for option in options:
                     p, x, y = cost, a, b
                     for c in option:
                         z = _SYMBOL[ord(c)] if ord(c) < 128 else 27
                         p, x, y = p + self.log[x][y][z], y, z
                     if (x, y) not in new or p > new[x, y][0]:
-                        new[x, y] = (p, text + option)
+                        new[x, y] = (p, (option, path))
             best = new
-        return max(best.values())[1].strip()
+        path, out = max(best.values(), key=lambda v: v[0])[1], []
+        while path:
+            out.append(path[0])
+            path = path[1]
+        return "".join(reversed(out)).strip()
 
     def restored(self, token: str) -> str:
         """The word behind a token: bare of marks at its edges, and decoded if it has look-alikes or long runs."""
@@ -109,18 +129,27 @@ class Decoder:
         core = token.rstrip(_EDGE + "$@").lstrip(_EDGE)
         if not _STRANGE.search(core) or not re.search(r"[^\W\d_]", core) or len(core) > 40:
             return core
-        if core not in self.known:
+        return self.remembered(core, self.lattice)
+
+    def remembered(self, text: str, lattice) -> str:
+        """The likeliest of the text's lattice; long texts are decoded each time."""
+        key = (text, lattice.__name__)
+        if key in self.known:
+            return self.known[key]
+        out = self.likeliest(lattice(text))
+        if len(text) <= 40:
             if len(self.known) > 200_000:
                 self.known.clear()
-            self.known[core] = self.viterbi(core)
-        return self.known[core]
+            self.known[key] = out
+        return out
 
     def words(self, text: bytes) -> set[str]:
         """The different restored words of a text."""
         s = text.decode("utf-8", "replace").lower()
         out = {self.restored(t) for t in set(s.split())}
-        for m in _SPACED.finditer(s):
-            out.add(self.restored(re.sub(r"[ ._*-]", "", m.group())))
+        for run in {m.group().rstrip("!") for spaced in _SPACED for m in spaced.finditer(s)}:
+            if re.search(r"[^\W\d_]", run):
+                out.update(self.remembered(_BETWEEN.sub(" ", run), self.spaced_lattice).split())
         out.discard("")
         return out
 

@@ -78,6 +78,22 @@ def test_decoding(made):
     assert decoder.viterbi(plain) == best
 
 
+def test_decoding_of_spaced_words(made):
+    docs, *_ = made
+    decoder = toxicity.Decoder(toxicity.trigram_counts(docs))
+    for text, words in {"m a r k e t m u s i c": {"market", "music"}, "a m\ta\nr  k e t": {"market"}, "ma rk et": {"market"}, "the st one, x": {"stone"},
+                        "m 4 r k 3 t!": {"market"}, "g.a.r.d.e.n - w_i_n_d_o_w": {"garden", "window"}}.items():
+        assert words <= decoder.words(text.encode()), (text, decoder.words(text.encode()))
+    accented = spark_free_decoder("chère élève ".encode() * 50)
+    assert "élève" in accented.words("é l è v e".encode())
+
+
+def spark_free_decoder(text):
+    s = np.frombuffer((b" " + text + b" ").translate(toxicity._SYMBOL), np.uint8).astype(int)
+    n = toxicity._N
+    return toxicity.Decoder(np.bincount((s[:-2] * n + s[1:-1]) * n + s[2:], minlength=n ** 3).astype(float).reshape(n, n, n))
+
+
 def _paths(decoder, token):
     import itertools
     for path in itertools.product(*decoder.lattice(token)):
