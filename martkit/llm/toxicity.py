@@ -127,7 +127,7 @@ class Decoder:
         if token.isalpha() and not _STRANGE.search(token):
             return token
         core = token.rstrip(_EDGE + "$@").lstrip(_EDGE)
-        if not _STRANGE.search(core) or not re.search(r"[^\W\d_]", core) or len(core) > 40:
+        if not _STRANGE.search(core) or not re.search(r"[^\W\d_]", core):
             return core
         return self.remembered(core, self.lattice)
 

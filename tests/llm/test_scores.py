@@ -94,6 +94,13 @@ def spark_free_decoder(text):
     return toxicity.Decoder(np.bincount((s[:-2] * n + s[1:-1]) * n + s[2:], minlength=n ** 3).astype(float).reshape(n, n, n))
 
 
+def test_decoding_of_long_tokens(made):
+    docs, *_ = made
+    decoder = toxicity.Decoder(toxicity.trigram_counts(docs))
+    assert decoder.restored("m" + "a" * 60 + "rket") == "market"
+    assert decoder.restored("w!n" + "d" * 100_000 + "0w") == "window"
+
+
 def _paths(decoder, token):
     import itertools
     for path in itertools.product(*decoder.lattice(token)):
