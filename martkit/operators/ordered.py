@@ -6,18 +6,65 @@ ordered inside one cell.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ..session import scratch_folder
+
 
 def _before(total: str, window) -> Column:
     """Sum over the cells ahead of this one."""
     return F.coalesce(F.sum(total).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
+def in_order(df: DataFrame, order: Sequence[Column], at: str = "_at") -> DataFrame:
+    """``df`` in one global order, as a table in the shared folder; ``at`` grows along it, across tasks too.
+
+    Rows are dealt by ranges of ``order`` that Spark draws from a sample, so a key with a third of all rows lies in as many
+    ranges as its rows ask for.  The table is written because a second execution could draw other ranges.
+    """
+    path = f"{scratch_folder(df.sparkSession)}/ordered-{uuid.uuid4().hex}"
+    # Row numbers of a task start at 0; the task is in the bits above them.
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id())
+    ranged.write.parquet(path)
+    return df.sparkSession.read.schema(ranged.schema).parquet(path)
+
+
+def number_in_order(table: DataFrame, name: str, at: str = "_at") -> DataFrame:
+    """The place of every row, from 0, in the order of ``in_order``."""
+    task = F.shiftright(at, _ROW_BITS)
+    sizes = table.groupBy(task.alias("_task")).agg(F.count("*").alias("_n"))            # one row per task
+    starts = sizes.select("_task", _before("_n", Window.orderBy("_task")).alias("_start"))
+    placed = table.withColumn("_task", task).join(F.broadcast(starts), "_task")
+    return placed.withColumn(name, F.col("_start") + F.col(at).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))).drop("_task", "_start")
+
+
+def number_in_key(table: DataFrame, keys: Sequence[str], name: str, at: str = "_at") -> DataFrame:
+    """The place of every row, from 0, among the rows of its key; NULL is a key.
+
+    ``table`` comes from ``in_order``, whose order begins with the keys.  Rows are numbered inside a pair of task and key,
+    which is never more than a task wrote; what earlier tasks hold of a key is added.  Only the first and the last key of a
+    task can lie in another task as well, so at most two rows per task are broadcast.
+    """
+    keys = list(keys)
+    rows = table.withColumn("_task", F.shiftright(at, _ROW_BITS))
+    key = F.struct(*keys)
+    ends = rows.groupBy("_task").agg(F.min_by(key, at).alias("_first"), F.max_by(key, at).alias("_last"))
+    ends = ends.select("_task", F.explode(F.array_distinct(F.array("_first", "_last"))).alias("_end")).select("_task", "_end.*")
+    shared = _same(rows.select("_task", *keys), F.broadcast(ends), ["_task", *keys]).groupBy("_task", *keys).agg(F.count("*").alias("_n"))
+    ahead = shared.select("_task", *keys, _before("_n", Window.partitionBy(*keys).orderBy("_task")).alias("_ahead")).where("_ahead > 0")
+    inside = F.row_number().over(Window.partitionBy("_task", *keys).orderBy(at)) - 1
+    numbered = rows.withColumn("_inside", inside.cast("long"))
+    out = _same(numbered, F.broadcast(ahead), ["_task", *keys], how="left")
+    return out.withColumn(name, F.col("_inside") + F.coalesce("_ahead", F.lit(0))).drop("_task", "_inside", "_ahead")
+
+
+#: ``monotonically_increasing_id`` keeps the row in its lower bits and the task above them (a fixed value of Spark).
+_ROW_BITS = 33
 _CELL = ["_day", "_minute", "_moment", "_head"]
 #: Characters of a text tie-break, or size of a range of a numeric one, that make up a cell's last level.
 HEAD_CHARS, HEAD_RANGE = 4, 4096
@@ -87,11 +134,11 @@ def next_per_key(df: DataFrame, key: str, ts: str, tie: str, name: str) -> DataF
     return split.withColumn(name, F.when(F.col(key).isNotNull(), following)).drop(*_CELL, "_after")
 
 
-def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Inner join on ``names``, NULL matching NULL."""
+def _same(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``names``, NULL matching NULL."""
     renamed = right.withColumnsRenamed({n: f"{n}__r" for n in names})
     on = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"{n}__r")) for n in names])
-    return left.join(renamed, on).drop(*[f"{n}__r" for n in names])
+    return left.join(renamed, on, how).drop(*[f"{n}__r" for n in names])
 
 
 def rank_all(
