@@ -101,4 +101,60 @@ g AS (SELECT doc_id, max(doc_id) OVER p AS keep_id, count(*) OVER p AS group_siz
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM g
 """
 
-ORACLES = {"op1_decontamination": OP1, "op2_tool_calls": OP2, "op4_arc_to_warc": OP4, "op6_licences": OP6, "op7_exact_dedup": OP7}
+def _crc32(number: str) -> str:
+    """CRC-32 of a number's decimal digits, bit by bit."""
+    byte = "list_reduce(range(8), lambda t, i: CASE WHEN t & 1 = 1 THEN xor(t >> 1, 3988292384) ELSE t >> 1 END, xor(crc, b))"
+    digits = f"list_transform(string_split(({number})::VARCHAR, ''), lambda c: ascii(c)::BIGINT)"
+    return f"xor(list_reduce({digits}, lambda crc, b: {byte}, 4294967295::BIGINT), 4294967295)"
+
+
+def _levels(name: str, tree: str, levels: int) -> str:
+    """Hash the nodes in ``{name}0`` (tree, place, digest) level by level; ``{name}_seg{k}`` holds what lies around each node."""
+    ctes = []
+    for k in range(levels):
+        ctes.append(f"""{name}_run{k} AS (
+    SELECT {tree}, place // 16 AS up, list(digest ORDER BY place) AS run, sum(count(*)) OVER (PARTITION BY {tree}) AS size FROM {name}{k} GROUP BY {tree}, place // 16),
+{name}_seg{k} AS (
+    SELECT n.{tree}, n.place, r.size > 1 AS hashed, array_to_string(r.run[1:(n.place % 16)::INT], '') AS l, array_to_string(r.run[(n.place % 16 + 2)::INT:], '') AS r
+    FROM {name}{k} n JOIN {name}_run{k} r ON n.{tree} IS NOT DISTINCT FROM r.{tree} AND n.place // 16 = r.up),
+{name}{k + 1} AS (SELECT {tree}, up AS place, CASE WHEN size > 1 THEN sha256(array_to_string(run, '')) ELSE run[1] END AS digest FROM {name}_run{k})""")
+    return ",\n".join(ctes)
+
+
+def _paths(levels: int, name: str, tree: str, start: str, node: str) -> str:
+    """The joins from a row to what lies around its ancestors."""
+    return " ".join(f"JOIN {name}_seg{k} {name}s{k} ON {name}s{k}.{tree} IS NOT DISTINCT FROM {start} AND {name}s{k}.place = {node} // {16 ** k}" for k in range(levels))
+
+
+#: Levels of the trees that the statement hashes: enough for 16 ** 4 rows a source and 16 ** 2 sources.
+_INNER, _OUTER = 4, 2
+_SEGMENTS = [f"ns{k}" for k in range(_INNER)] + [f"ts{k}" for k in range(_OUTER)]
+_MARKED = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0}::VARCHAR END"
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_MARKED.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+OP11 = f"""
+WITH leaves AS (
+    SELECT doc_id, source, {_leaf("text")} AS leaf, CASE WHEN {_crc32("doc_id")} % 5 = 0 THEN {_leaf(_LOWERED)} END AS altered FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves),
+n0 AS (SELECT source, place, leaf AS digest FROM placed),
+{_levels("n", "source", _INNER)},
+t0 AS (SELECT 0 AS top, source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, digest FROM n{_INNER}),
+{_levels("t", "top", _OUTER)},
+proofs AS (
+    SELECT doc_id, leaf, t0.digest AS subroot, t{_OUTER}.digest AS root, {" || ".join(f"CASE WHEN {x}.hashed THEN {x}.l || {x}.r ELSE '' END" for x in _SEGMENTS)} AS proof,
+           coalesce(altered, leaf) AS node, {", ".join(f"{x}.l AS l_{x}, {x}.r AS r_{x}, {x}.hashed AS h_{x}" for x in _SEGMENTS)}
+    FROM placed p JOIN t0 ON p.source IS NOT DISTINCT FROM t0.source CROSS JOIN t{_OUTER}
+    {_paths(_INNER, "n", "source", "p.source", "p.place")} {_paths(_OUTER, "t", "top", "0", "t0.place")}),
+"""
+for _i, _x in enumerate(_SEGMENTS):
+    OP11 += (f"f{_i} AS (SELECT * REPLACE (CASE WHEN h_{_x} THEN sha256(l_{_x} || node || r_{_x}) ELSE node END AS node) "
+             f"FROM {'proofs' if _i == 0 else f'f{_i - 1}'}){',' if _i + 1 < len(_SEGMENTS) else ''}\n")
+OP11 += f"""SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, node AS folded_root, node = root AS verified FROM f{len(_SEGMENTS) - 1}"""
+
+ORACLES = {"op1_decontamination": OP1, "op2_tool_calls": OP2, "op4_arc_to_warc": OP4, "op6_licences": OP6, "op7_exact_dedup": OP7,
+           "op11_merkle_manifest": OP11}

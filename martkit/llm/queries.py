@@ -10,6 +10,7 @@ from .common import table
 from .contamination import contained_items
 from .exact_dedup import exact_duplicates
 from .licences import license_labels
+from .merkle import tampered_proofs
 from .mixing import mixed_documents
 from .oracles import ORACLES  # noqa: F401
 from .quality import quality_scores
@@ -61,5 +62,9 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return tampered_proofs(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op2_tool_calls, op3_secrets, op4_arc_to_warc, op5_simhash, op6_licences, op7_exact_dedup, op8_quality, op9_mixing, op10_toxicity)}
+    f.__name__: f for f in (op1_decontamination, op2_tool_calls, op3_secrets, op4_arc_to_warc, op5_simhash, op6_licences, op7_exact_dedup, op8_quality, op9_mixing, op10_toxicity, op11_merkle_manifest)}
