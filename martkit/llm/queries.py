@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .archives import archived_pages
@@ -16,6 +17,7 @@ from .oracles import ORACLES  # noqa: F401
 from .quality import quality_scores
 from .secrets import secret_spans
 from .simhash import linked_components
+from .token_files import tokenised
 from .tool_calls import TOOLS, calls_of, linked_calls
 from .toxicity import toxicity_scores
 
@@ -66,5 +68,10 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return tampered_proofs(table(spark, folder, "documents"))
 
 
+def op13_token_planes(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenised(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op2_tool_calls, op3_secrets, op4_arc_to_warc, op5_simhash, op6_licences, op7_exact_dedup, op8_quality, op9_mixing, op10_toxicity, op11_merkle_manifest)}
+    f.__name__: f for f in (op1_decontamination, op2_tool_calls, op3_secrets, op4_arc_to_warc, op5_simhash, op6_licences, op7_exact_dedup, op8_quality, op9_mixing, op10_toxicity, op11_merkle_manifest,
+                              op13_token_planes)}
