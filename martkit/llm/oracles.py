@@ -1,6 +1,6 @@
 """SQL for DuckDB of the queries that SQL can express.
 
-There is none for op3 (its patterns look behind, which DuckDB's regular expressions can't), op5 (no XXH64), op8 and op10
+There is none for op13 (byte-pair encoding), op3 (its patterns look behind, which DuckDB's regular expressions can't), op5 (no XXH64), op8 and op10
 (trained models) and op9 (which documents are taken is free); tests hold these against brute force.
 """
 from __future__ import annotations
@@ -156,5 +156,32 @@ for _i, _x in enumerate(_SEGMENTS):
              f"FROM {'proofs' if _i == 0 else f'f{_i - 1}'}){',' if _i + 1 < len(_SEGMENTS) else ''}\n")
 OP11 += f"""SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, node AS folded_root, node = root AS verified FROM f{len(_SEGMENTS) - 1}"""
 
+OP12 = f"""
+WITH t AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS place
+    FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, c - c % 100 AS base, count(*) AS size, {_crc32("c")} % 6 AS h FROM t GROUP BY c),
+lead AS (SELECT a.c, a.base, a.h, least(a.h, coalesce(b.size, 0)) AS taken FROM convs a LEFT JOIN convs b ON b.c = a.base),
+turns AS (
+    SELECT l.c, t.place AS d, role, text FROM lead l JOIN t ON t.c = l.base AND t.place <= l.h
+    UNION ALL SELECT l.c, t.place - l.h + l.taken, role, text FROM lead l JOIN t ON t.c = l.c AND t.place > l.h),
+prefixes AS (
+    SELECT c, d, length(text) AS n, sha256(string_agg(sha256(strlen(role) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY d)) AS k FROM turns
+    UNION ALL SELECT c, 0, 0, '' FROM convs),
+nodes AS (SELECT d, k, any_value(n) AS n, min(c) AS conv_id, count(*) AS n_convs FROM prefixes GROUP BY d, k),
+links AS (SELECT DISTINCT a.d, a.k, b.k AS parent FROM prefixes a JOIN prefixes b ON a.c = b.c AND b.d = a.d - 1),
+kids AS (SELECT d - 1 AS d, parent AS k, count(*) AS n FROM links GROUP BY d, parent),
+sizes AS (SELECT c, max(d) AS d FROM prefixes GROUP BY c),
+ends AS (SELECT d, k, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids FROM prefixes JOIN sizes USING (c, d) GROUP BY d, k),
+below AS (
+    SELECT u.d, u.k, count(*) FILTER (kids.n IS NULL) AS n_leaves, sum((w.n_convs - 1) * w.n) AS saved
+    FROM nodes w LEFT JOIN kids USING (d, k) JOIN prefixes u ON u.c = w.conv_id AND u.d <= w.d GROUP BY u.d, u.k)
+SELECT w.conv_id, w.d AS depth, p.conv_id AS parent_conv_id, w.n_convs, coalesce(kids.n, 0) AS n_children, b.n_leaves, b.saved::BIGINT AS saved_tokens,
+       sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes w JOIN below b USING (d, k) LEFT JOIN kids USING (d, k) LEFT JOIN ends e USING (d, k) LEFT JOIN links l USING (d, k)
+LEFT JOIN nodes p ON p.d = w.d - 1 AND p.k = l.parent
+"""
+
 ORACLES = {"op1_decontamination": OP1, "op2_tool_calls": OP2, "op4_arc_to_warc": OP4, "op6_licences": OP6, "op7_exact_dedup": OP7,
-           "op11_merkle_manifest": OP11}
+           "op11_merkle_manifest": OP11, "op12_prefix_trie": OP12}

@@ -14,6 +14,7 @@ from .licences import license_labels
 from .merkle import tampered_proofs
 from .mixing import mixed_documents
 from .oracles import ORACLES  # noqa: F401
+from .prefix_trie import rebuilt_trie
 from .quality import quality_scores
 from .secrets import secret_spans
 from .simhash import linked_components
@@ -68,10 +69,14 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return tampered_proofs(table(spark, folder, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return rebuilt_trie(table(spark, folder, "conversations"))
+
+
 def op13_token_planes(spark: SparkSession, folder: str) -> DataFrame:
     return tokenised(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontamination, op2_tool_calls, op3_secrets, op4_arc_to_warc, op5_simhash, op6_licences, op7_exact_dedup, op8_quality, op9_mixing, op10_toxicity, op11_merkle_manifest,
-                              op13_token_planes)}
+                              op12_prefix_trie, op13_token_planes)}
