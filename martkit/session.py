@@ -22,16 +22,21 @@ def local_session(app: str = "martkit", cores: str | int = "*", partitions: int
     )
 
 
+#: Where a local session without a shared folder keeps its own.  Spark refuses to set ``spark.checkpoint.dir`` while it runs.
+_OWN = "spark.martkit.scratch"
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """The folder the cluster shares (``spark.checkpoint.dir``).
 
     A local session without one gets a folder of its own, since driver and executors are one process there.  Anywhere else
     it must be set: executors that write to their own disks would give incomplete results.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") \
+        or spark.conf.get(_OWN, None)
     if not shared:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         shared = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        spark.conf.set(_OWN, shared)
     return shared.rstrip("/")
