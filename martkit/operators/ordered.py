@@ -1,8 +1,9 @@
 """Ordered computations (sequence, lead, rank, running total, tiles) without a hot group.
 
-A window sends each of its groups, or everything when it has no groups, to a single task.  These operators cut the
-order into *cells* first: totals per cell are small and can go through an ordinary window, and rows are only ever
-ordered inside one cell.
+A window sends each of its groups, or everything when it has no groups, to a single task.  ``in_order`` deals rows by
+ranges of the order instead, and what lies in several ranges is put together from a few rows per range.  ``rank_all`` cuts the
+order into *cells*: totals per cell are small and can go through an ordinary window, and rows are only ever ordered inside
+one cell.
 """
 from __future__ import annotations
 
@@ -11,7 +12,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import scratch_folder
 
@@ -43,95 +44,67 @@ def number_in_order(table: DataFrame, name: str, at: str = "_at") -> DataFrame:
     return placed.withColumn(name, F.col("_start") + F.col(at).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))).drop("_task", "_start")
 
 
-def number_in_key(table: DataFrame, keys: Sequence[str], name: str, at: str = "_at") -> DataFrame:
-    """The place of every row, from 0, among the rows of its key; NULL is a key.
+def _by_range(table: DataFrame, keys: Sequence[str], at: str) -> tuple[DataFrame, DataFrame]:
+    """``table`` with ``_task``, the range a row lies in, and the ends of keys that lie in several ranges.
 
-    ``table`` comes from ``in_order``, whose order begins with the keys.  Rows are numbered inside a pair of task and key,
-    which is never more than a task wrote; what earlier tasks hold of a key is added.  Only the first and the last key of a
-    task can lie in another task as well, so at most two rows per task are broadcast.
+    Only the first and the last key of a range can lie in another range as well, so there are at most two ends per range,
+    few enough to be broadcast whatever the data.
     """
-    keys = list(keys)
-    rows = table.withColumn("_task", F.shiftright(at, _ROW_BITS))
-    key = F.struct(*keys)
+    rows, key = table.withColumn("_task", F.shiftright(at, _ROW_BITS)), F.struct(*keys)
     ends = rows.groupBy("_task").agg(F.min_by(key, at).alias("_first"), F.max_by(key, at).alias("_last"))
     ends = ends.select("_task", F.explode(F.array_distinct(F.array("_first", "_last"))).alias("_end")).select("_task", "_end.*")
-    shared = _same(rows.select("_task", *keys), F.broadcast(ends), ["_task", *keys]).groupBy("_task", *keys).agg(F.count("*").alias("_n"))
-    ahead = shared.select("_task", *keys, _before("_n", Window.partitionBy(*keys).orderBy("_task")).alias("_ahead")).where("_ahead > 0")
-    inside = F.row_number().over(Window.partitionBy("_task", *keys).orderBy(at)) - 1
-    numbered = rows.withColumn("_inside", inside.cast("long"))
-    out = _same(numbered, F.broadcast(ahead), ["_task", *keys], how="left")
-    return out.withColumn(name, F.col("_inside") + F.coalesce("_ahead", F.lit(0))).drop("_task", "_inside", "_ahead")
+    return rows, ends
 
 
-#: ``monotonically_increasing_id`` keeps the row in its lower bits and the task above them (a fixed value of Spark).
-_ROW_BITS = 33
-_CELL = ["_day", "_minute", "_moment", "_head"]
-#: Characters of a text tie-break, or size of a range of a numeric one, that make up a cell's last level.
-HEAD_CHARS, HEAD_RANGE = 4, 4096
-
-
-def _cells(df: DataFrame, ts: str, tie: str) -> dict[str, Column]:
-    """Day, minute, moment in it and head of the tie-break: rows in the order (ts, tie) of a key never step back in them.
+def number_in_key(table: DataFrame, keys: Sequence[str], name: str, at: str = "_at") -> DataFrame:
+    """The place of every row, from 0, among the rows of its key; NULL is a key.
 
-    Rows without a time are in the last day, rows without a tie-break in the last head.
+    ``table`` comes from ``in_order``, whose order begins with the keys.  Rows are numbered inside a pair of range and key,
+    which is never more than a task wrote; what earlier ranges hold of the same key is added.
     """
-    if isinstance(df.schema[tie].dataType, T.NumericType):
-        head = F.coalesce(F.floor(F.col(tie) / HEAD_RANGE).cast("long"), F.lit((1 << 63) - 1))
-    else:
-        head = F.coalesce(F.substring(F.col(tie).cast("string"), 1, HEAD_CHARS), F.lit("\U0010FFFF"))
-    return {"_day": F.coalesce(F.to_date(ts), F.to_date(F.lit("9999-12-31"))),
-            "_minute": F.coalesce(F.hour(ts) * 60 + F.minute(ts), F.lit(0)),
-            "_moment": F.coalesce(F.date_format(ts, "ssSSSSSS"), F.lit("")), "_head": head}
+    keys = list(keys)
+    rows, ends = _by_range(table, keys, at)
+    held = _same(rows.select("_task", *keys), F.broadcast(ends), ["_task", *keys]).groupBy("_task", *keys).agg(F.count("*").alias("_n"))
+    ahead = held.select("_task", *keys, _before("_n", Window.partitionBy(*keys).orderBy("_task")).alias("_ahead")).where("_ahead > 0")
+    inside = F.row_number().over(Window.partitionBy("_task", *keys).orderBy(at)) - 1
+    out = _same(rows.withColumn("_inside", inside.cast("long")), F.broadcast(ahead), ["_task", *keys], how="left")
+    return out.withColumn(name, F.col("_inside") + F.coalesce("_ahead", F.lit(0))).drop("_task", "_inside", "_ahead")
+
 
+def next_in_key(table: DataFrame, keys: Sequence[str], value: str, name: str, at: str = "_at") -> DataFrame:
+    """``value`` of the following row of the same key, NULL after the last; ``table`` as in ``number_in_key``."""
+    keys = list(keys)
+    rows, ends = _by_range(table, keys, at)
+    held = _same(rows.select("_task", *keys, at, value), F.broadcast(ends), ["_task", *keys]).groupBy("_task", *keys).agg(F.min_by(value, at).alias("_n"))
+    line = Window.partitionBy(*keys).orderBy("_task")
+    after = held.select("_task", *keys, F.lead("_n").over(line).alias("_after"), F.lead(F.lit(True)).over(line).alias("_more")).where("_more")
+    inside = Window.partitionBy("_task", *keys).orderBy(at)
+    rows = rows.withColumns({"_next": F.lead(value).over(inside), "_last": F.lead(F.lit(True)).over(inside).isNull()})
+    out = _same(rows, F.broadcast(after), ["_task", *keys], how="left")
+    return out.withColumn(name, F.when(F.col("_last"), F.col("_after")).otherwise(F.col("_next"))).drop("_task", "_next", "_last", "_after", "_more")
 
-def _in_cell(key: str, ts: str, tie: str):
-    return Window.partitionBy(key, *_CELL).orderBy(F.col(ts).asc_nulls_last(), F.col(tie).asc_nulls_last())
 
+#: ``monotonically_increasing_id`` keeps the row in its lower bits and the task above them (a fixed value of Spark).
+_ROW_BITS = 33
 
-def _linked(df: DataFrame, key: str, ts: str, tie: str, name: str, per_cell: Column, link) -> DataFrame:
-    """Rows with their cell, and ``name`` from what the cells of the same key around theirs hold.
 
-    One path for all keys: a key of two rows is one or two cells, a key with a third of all rows is cut by day, minute,
-    moment and tie-break.  Rows without a key have no cells to look up, and lie spread by the same levels.
-    """
-    split = df.withColumns(_cells(df, ts, tie))
-    cells = split.where(F.col(key).isNotNull()).groupBy(key, *_CELL).agg(per_cell.alias("_cell"))
-    return split.join(link(cells).select(key, *_CELL, F.col("_link").alias(name)), [key, *_CELL], "left")
+def _ordered_by_key(df: DataFrame, key: str, ts: str, tie: str) -> DataFrame:
+    return in_order(df, [F.col(key).asc_nulls_first(), F.col(ts).asc_nulls_last(), F.col(tie).asc_nulls_last()])
 
 
 def sequence_per_key(df: DataFrame, key: str, ts: str, tie: str, name: str) -> DataFrame:
-    """Number the rows of each key by (ts, tie) from 1, NULL times last; NULL without a key."""
-    def rows_ahead(cells: DataFrame) -> DataFrame:
-        minutes = cells.groupBy(key, "_day", "_minute").agg(F.sum("_cell").alias("_n"))
-        days = minutes.groupBy(key, "_day").agg(F.sum("_n").alias("_n"))
-        days = days.select(key, "_day", _before("_n", Window.partitionBy(key).orderBy("_day")).alias("_days"))
-        minutes = minutes.select(key, "_day", "_minute", _before("_n", Window.partitionBy(key, "_day").orderBy("_minute")).alias("_minutes"))
-        heads = cells.select(key, *_CELL, _before("_cell", Window.partitionBy(key, "_day", "_minute").orderBy("_moment", "_head")).alias("_heads"))
-        return heads.join(minutes, [key, "_day", "_minute"]).join(days, [key, "_day"]) \
-            .withColumn("_link", F.col("_days") + F.col("_minutes") + F.col("_heads"))
+    """Number the rows of each key by (ts, tie) from 1, NULL times last; NULL without a key.
 
-    split = _linked(df, key, ts, tie, "_ahead", F.count("*"), rows_ahead)
-    number = F.row_number().over(_in_cell(key, ts, tie)).cast("long") + F.col("_ahead")
-    return split.withColumn(name, F.when(F.col(key).isNotNull(), number)).drop(*_CELL, "_ahead")
+    The rows are written once, in order (``in_order``): a range exchange, then one by range and key.
+    """
+    numbered = number_in_key(_ordered_by_key(df, key, ts, tie), [key], name)
+    return numbered.withColumn(name, F.when(F.col(key).isNotNull(), F.col(name) + 1)).drop("_at")
 
 
 def next_per_key(df: DataFrame, key: str, ts: str, tie: str, name: str) -> DataFrame:
-    """The time of the following row of the same key (``LEAD(ts)``); NULL without a key."""
-    def next_first(cells: DataFrame) -> DataFrame:
-        # A cell's rows all have a time or none has; the cell without times is the last of its key.
-        minutes = cells.groupBy(key, "_day", "_minute").agg(F.min("_cell").alias("_first"))
-        days = minutes.groupBy(key, "_day").agg(F.min("_first").alias("_first"))
-        days = days.select(key, "_day", F.lead("_first").over(Window.partitionBy(key).orderBy("_day")).alias("_next_day"))
-        minutes = minutes.select(key, "_day", "_minute", F.lead("_first").over(Window.partitionBy(key, "_day").orderBy("_minute")).alias("_next_minute"))
-        heads = cells.select(key, *_CELL, F.lead("_cell").over(Window.partitionBy(key, "_day", "_minute").orderBy("_moment", "_head")).alias("_next_head"))
-        return heads.join(minutes, [key, "_day", "_minute"]).join(days, [key, "_day"]) \
-            .withColumn("_link", F.coalesce("_next_head", "_next_minute", "_next_day"))
-
-    split = _linked(df, key, ts, tie, "_after", F.min(ts), next_first)
-    inside = _in_cell(key, ts, tie)
-    last = F.lead(F.lit(True)).over(inside).isNull()
-    following = F.when(last, F.col("_after")).otherwise(F.lead(ts).over(inside))
-    return split.withColumn(name, F.when(F.col(key).isNotNull(), following)).drop(*_CELL, "_after")
+    """The time of the following row of the same key (``LEAD(ts)``); NULL without a key.  Written once, as above."""
+    linked = next_in_key(_ordered_by_key(df, key, ts, tie), [key], ts, name)
+    return linked.withColumn(name, F.when(F.col(key).isNotNull(), F.col(name))).drop("_at")
 
 
 def _same(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:

@@ -92,16 +92,18 @@ def distinct_per_order(items: DataFrame) -> DataFrame:
 class Star:
     def __init__(self, raw: Mapping[str, DataFrame]):
         self.raw = raw
+        self._numbered: DataFrame | None = None
 
     # ------------------------------------------------------------ facts
     def fact_orders(self, *columns: str) -> DataFrame:
         columns = columns or tuple(FACT_ORDERS)
         need, raw = set(columns), self.raw
-        o = cleaning.clean_orders(raw["orders"])
-        if need & ({"customer_unique_id"} | _SEQUENCE):
-            o = o.join(raw["customers"].select("customer_id", "customer_unique_id"), "customer_id", "left")
         if need & _SEQUENCE:
-            o = self._with_sequence(o)
+            o = self._with_sequence()
+        elif "customer_unique_id" in need:
+            o = self._with_person()
+        else:
+            o = cleaning.clean_orders(raw["orders"])
         if need & _ITEMS:
             o = o.join(items_per_order(raw["order_items"]), "order_id", "left")
         if need & _DISTINCT:
@@ -115,13 +117,20 @@ class Star:
             o = o.join(cleaning.review_counts(raw["order_reviews"]), "order_id", "left")
         return o.select(*[self._order_column(c) for c in columns])
 
-    @staticmethod
-    def _with_sequence(o: DataFrame) -> DataFrame:
-        """Number each person's sales.  Non-sales take part as keyless rows, so one join serves both."""
-        person = F.when(F.col("is_sale"), F.col("customer_unique_id"))
-        numbered = sequence_per_key(o.withColumn("_buyer", person), "_buyer", "order_purchase_timestamp", "order_id",
-                                    "customer_order_seq")
-        return numbered.drop("_buyer")
+    def _with_person(self) -> DataFrame:
+        people = self.raw["customers"].select("customer_id", "customer_unique_id")
+        return cleaning.clean_orders(self.raw["orders"]).join(people, "customer_id", "left")
+
+    def _with_sequence(self) -> DataFrame:
+        """Number each person's sales.  Non-sales take part as keyless rows, so one join serves both.
+
+        The orders are put in order once per star, whichever tables ask for the sequence.
+        """
+        if self._numbered is None:
+            person = F.when(F.col("is_sale"), F.col("customer_unique_id"))
+            self._numbered = sequence_per_key(self._with_person().withColumn("_buyer", person), "_buyer", "order_purchase_timestamp",
+                                              "order_id", "customer_order_seq").drop("_buyer")
+        return self._numbered
 
     @staticmethod
     def _order_column(name: str):

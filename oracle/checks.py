@@ -4,8 +4,8 @@ from __future__ import annotations
 from .base import STATES, half_even, secs, with_ctes
 from .queries import add
 
-A_NULL = "Impute, label as ''unknown'' or exclude from affected metrics"
-A_KEEP = "Keep (expected by business logic)"
+A_NULL = "Give it a label of its own, estimate it, or leave the row out where the value is needed"
+A_KEEP = "Leave empty: the process explains why nothing is there"
 RAW = {
     "orders": ("raw_orders", "order_id customer_id order_status order_purchase_timestamp order_approved_at "
                "order_delivered_carrier_date order_delivered_customer_date order_estimated_delivery_date"),
@@ -50,10 +50,10 @@ def check(name: str, parts: list[str], needs: str | None = None) -> None:
 
 # ---------------------------------------------------------------- nulls
 EXPECTED = {
-    "review_comment_title": "Comments are optional", "review_comment_message": "Comments are optional",
-    "order_approved_at": "Orders canceled/created before payment approval",
-    "order_delivered_carrier_date": "Orders not yet shipped or canceled",
-    "order_delivered_customer_date": "Orders not yet delivered or canceled",
+    "review_comment_title": "Reviewers may leave the text out", "review_comment_message": "Reviewers may leave the text out",
+    "order_approved_at": "Payment was not, or not yet, confirmed",
+    "order_delivered_carrier_date": "Nothing was, or yet had been, handed over",
+    "order_delivered_customer_date": "Nothing had arrived so far, or ever will",
 }
 _nulls, _ranking = [], []
 for _t, (_v, _cols) in RAW.items():
@@ -86,28 +86,28 @@ for _child, _v in (("order_items", "raw_items"), ("order_payments", "raw_payment
     lacking = f"(SELECT * FROM raw_orders WHERE order_id NOT IN (SELECT order_id FROM {_v}))"
     _cov.append(one("Completeness", "orders", f"orders without {_child}", "WARNING",
                     f"(SELECT count(*) FROM {lacking} l)", "count(*)",
-                    f"Exclude from metrics that depend on {_child}", "raw_orders", statuses(f"{lacking} l")))
+                    f"Leave these rows out of every measure that needs {_child}", "raw_orders", statuses(f"{lacking} l")))
 check("chk_coverage", _cov)
 
 check("chk_primary_key", [
     one("Uniqueness", t, f"Primary key unique & not null ({', '.join(k)})", "CRITICAL",
         "sum(n) FILTER (WHERE n > 1 OR bad)", "sum(n)",
-        "Deduplicate before modelling; rows joined on a broken key are counted twice",
+        "Make the key unique first: each join on it multiplies rows",
         f"(SELECT count(*) AS n, bool_or({' OR '.join(c + ' IS NULL' for c in k)}) AS bad FROM {RAW[t][0]} "
         f"GROUP BY {', '.join(k)}) g") for t, k in KEYS.items()])
 check("chk_full_duplicates", [
     one("Uniqueness", t, "Exact duplicate rows", "INFO" if t == "geolocation" else "WARNING",
-        f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {v}) d)", "count(*)", "Drop exact duplicates", v,
+        f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {v}) d)", "count(*)", "Keep one of each set of equal rows", v,
         "'Many GPS samples per zip prefix'" if t == "geolocation" else "''") for t, (v, _) in RAW.items()])
 _GRAIN = [
-    ("order_reviews", "review_id", "review_id reused across orders -> never use it alone as a key"),
-    ("order_reviews", "order_id", "orders with >1 review -> aggregate to order level before joining to facts"),
-    ("order_payments", "order_id", "orders paid with >1 payment row -> aggregate before joining to facts"),
+    ("order_reviews", "review_id", "one review can stand for several orders, so it takes the order as well to name a row"),
+    ("order_reviews", "order_id", "several reviews of an order: reduce to one row before orders are joined"),
+    ("order_payments", "order_id", "an order may be paid in several ways: sum up before orders are joined"),
     ("customers", "customer_unique_id",
-     "customer_id is per-order; customer_unique_id identifies the person (repeat buyers)")]
+     "people who came back have several customer ids; count them by customer_unique_id")]
 check("chk_grain", [
     one("Uniqueness", t, f"Rows per {c} > 1", "INFO", "count(*) FILTER (WHERE n > 1)", "count(*)",
-        "Handle explicitly in the data model",
+        "Aggregate to the key before this table is joined",
         f"(SELECT {c}, count(*) AS n FROM {RAW[t][0]} WHERE {c} IS NOT NULL GROUP BY 1) g",
         f"'{why}. Max rows for one key: ' || coalesce(max(n), 0)") for t, c, why in _GRAIN])
 
@@ -126,7 +126,7 @@ for t, c, p, k in _FK:
     _fk.append(one("Integrity", t, f"{t}.{c} -> {p}.{k}",
                    "WARNING" if p in ("geolocation", "category_translation") else "CRITICAL",
                    f"(SELECT count(*) FROM {orphans} o)", f"count({c})",
-                   "Add missing parent rows or map to an ''unknown'' member", RAW[t][0],
+                   "Create the parent, or point these rows at a placeholder", RAW[t][0],
                    f"CASE WHEN (SELECT count(*) FROM {orphans} o) > 0 THEN (SELECT count(DISTINCT v) FROM {orphans} o) "
                    f"|| ' distinct orphan values. e.g. ' || {sample} END"))
 check("chk_foreign_keys", _fk)
@@ -143,7 +143,7 @@ for t, c, ok in _ALLOWED:
     listed = (f"(SELECT 'Unexpected: [' || string_agg('''' || v || '''', ', ' ORDER BY v) || ']' FROM "
               f"(SELECT DISTINCT {c} AS v FROM {RAW[t][0]} WHERE {bad} ORDER BY 1 LIMIT 10) s)")
     _parts.append(one("Validity", t, f"Allowed values: {c}", "WARNING", f"count(*) FILTER (WHERE {bad})",
-                      f"count({c})", "Map to a valid value or ''unknown''", RAW[t][0], listed))
+                      f"count({c})", "Translate to a listed value; otherwise treat as not known", RAW[t][0], listed))
 check("chk_allowed_values", _parts)
 
 _RANGES = [("order_items", "price", 0, None, False), ("order_items", "freight_value", 0, None, True),
@@ -158,13 +158,13 @@ for t, c, lo, hi, closed in _RANGES:
               f"(SELECT DISTINCT CAST({c} AS DOUBLE) AS v FROM {RAW[t][0]} WHERE {bad} ORDER BY 1 LIMIT 8) s)")
     _parts.append(one("Validity", t, f"Range {c} in {'[' if closed else '('}{lo}, {hi or 'inf'}]", "WARNING",
                       f"count(*) FILTER (WHERE {bad})", f"count({c})",
-                      "Set to NULL (unknown) or correct if the rule is obvious", RAW[t][0], listed))
+                      "Clear the value, or repair it where only one repair makes sense", RAW[t][0], listed))
 check("chk_numeric_ranges", _parts)
 check("chk_bbox", [one(
     "Validity", "geolocation", "Coordinates inside Brazil bounding box", "WARNING",
     "count(*) - count(*) FILTER (WHERE geolocation_lat BETWEEN -33.75 AND 5.27 "
     "AND geolocation_lng BETWEEN -73.99 AND -28.84)", "count(*)",
-    "Drop before averaging coordinates per zip prefix", "raw_geo")])
+    "Remove these points before a centre is taken", "raw_geo")])
 check("chk_parsing", ["SELECT 'Validity' AS dimension, 'all' AS \"table\", 'All values parsed to target types' "
                       "AS \"check\", 'CRITICAL' AS severity, CAST(0 AS BIGINT) AS n_affected, CAST("
                       + " + ".join(f"(SELECT count(*) FROM {v})" for v, _ in RAW.values())
@@ -193,7 +193,7 @@ for t, e, l, text in _ORDER:
               + " || ' h' END")
     _parts.append(one("Consistency", t, f"{text} ({l} < {e})", "WARNING", f"count(*) FILTER (WHERE {bad})",
                       f"count(*) FILTER (WHERE {e} IS NOT NULL AND {l} IS NOT NULL)",
-                      "Flag; exclude from duration metrics that use this pair of dates", RAW[t][0], detail))
+                      "Mark the rows and skip them wherever this interval is measured", RAW[t][0], detail))
 check("chk_date_order", _parts)
 
 _other = "(SELECT * FROM raw_orders WHERE order_status <> ''delivered'' AND order_delivered_customer_date IS NOT NULL) o" \
@@ -201,20 +201,20 @@ _other = "(SELECT * FROM raw_orders WHERE order_status <> ''delivered'' AND orde
 check("chk_status_vs_dates", [
     one("Consistency", "orders", "Status ''delivered'' without delivery date", "WARNING",
         "count(*) FILTER (WHERE order_status = 'delivered' AND order_delivered_customer_date IS NULL)",
-        "count(*) FILTER (WHERE order_status = 'delivered')", "Exclude from delivery-time and on-time metrics",
+        "count(*) FILTER (WHERE order_status = 'delivered')", "Skip them when delivery times or punctuality are measured",
         "raw_orders"),
     one("Consistency", "orders", "Delivery date present but status is not ''delivered''", "WARNING",
         f"(SELECT count(*) FROM {_other})", "count(order_delivered_customer_date)",
-        "Keep status as source of truth; document", "raw_orders", statuses(_other))])
+        "Trust the status and ignore the date", "raw_orders", statuses(_other))])
 check("chk_shipping_limit", [one(
     "Consistency", "order_items", "shipping_limit_date within 0-60 days of purchase", "WARNING",
-    "count(*) FILTER (WHERE d < 0 OR d > 60)", "count(d)", "Set shipping_limit_date to NULL for implausible values",
+    "count(*) FILTER (WHERE d < 0 OR d > 60)", "count(d)", "Clear the deadline of these rows",
     f"(SELECT CAST(floor(CAST({secs('order_purchase_timestamp', 'shipping_limit_date')} AS DOUBLE) / 86400::DOUBLE) "
     "AS BIGINT) AS d FROM raw_items JOIN raw_orders USING (order_id)) x",
     "'Median ' || " + fixed("quantile_cont(d, 0.5)", 0) + " || ' days; max ' || max(d) || ' days'")])
 check("chk_reconcile", [one(
     "Consistency", "order_payments", "sum(payments) = sum(price + freight) +/- 1.0 BRL", "INFO",
-    "count(*) FILTER (WHERE abs(diff) > 1)", "count(*)", "Define Revenue from order_items (price), not payments",
+    "count(*) FILTER (WHERE abs(diff) > 1)", "count(*)", "Take revenue from item prices; payments serve as a cross-check only",
     "(SELECT CAST(paid - cost AS DECIMAL(18,4)) AS diff FROM (SELECT order_id, sum(price + freight_value) AS cost "
     "FROM raw_items GROUP BY 1) i JOIN (SELECT order_id, sum(payment_value) AS paid FROM raw_payments GROUP BY 1) p "
     "USING (order_id)) x",
@@ -225,7 +225,7 @@ check("chk_reconcile", [one(
 # ---------------------------------------------------------------- accuracy, timeliness, profile
 _freight = one("Accuracy", "order_items", "Freight greater than item price", "INFO",
                "count(*) FILTER (WHERE freight_value > price)", "count(*)",
-               "Keep; create flag column freight_gt_price", "raw_items",
+               "Leave them in and mark them (freight_gt_price)", "raw_items",
                "'Relevant for logistics-cost analysis (cheap, heavy items)'")
 _parts = []
 
@@ -243,7 +243,7 @@ for t, c in (("order_items", "price"), ("order_items", "freight_value"), ("order
     f = f"(SELECT *, exp(q1 - 1.5 * (q3 - q1)) - 1 AS lo, exp(q3 + 1.5 * (q3 - q1)) - 1 AS hi FROM {q} b) f"
     _parts.append(one("Accuracy", t, f"IQR outliers: {c} (log scale)", "INFO",
                       f"(SELECT count(*) FROM {values} a WHERE v < lo OR v > hi)", "n",
-                      "Keep (real high-value items); flag and cap only in visuals if needed", f,
+                      "Leave them in; shorten axes of charts instead", f,
                       "'Fences [' || " + grouped("greatest(lo, 0)") + " || ', ' || " + grouped("hi")
                       + " || ']; p50=' || " + grouped("p50") + " || ', p99=' || " + grouped("p99")
                       + " || ', max=' || " + grouped("mx")))
@@ -251,7 +251,7 @@ check("chk_iqr_outliers", _parts)
 check("chk_business_outlier", [_freight])
 check("chk_timeliness", [one(
     "Timeliness", "orders", "Months with < 10% of median monthly orders", "WARNING",
-    "count(*) FILTER (WHERE incomplete)", "count(*)", "Restrict trend and MoM % analysis to complete months",
+    "count(*) FILTER (WHERE incomplete)", "count(*)", "Compare only months that were recorded in full",
     "monthly_orders",
     "'Range ' || (SELECT CAST(CAST(min(order_purchase_timestamp) AS DATE) AS VARCHAR) || ' to ' || "
     "CAST(CAST(max(order_purchase_timestamp) AS DATE) AS VARCHAR) FROM raw_orders) || '. Incomplete: ' || "

@@ -32,47 +32,47 @@ add("cl_category_map", "c_products", "SELECT product_id, category_pt AS product_
 
 # ---------------------------------------------------------------- cleaning log
 _LOG = [
-    ("geolocation", "Drop exact duplicate rows", "Repeated GPS samples add no information",
+    ("geolocation", "Drop exact duplicate rows", "A copy would only weigh its point twice in the median",
      "(SELECT count(*) FROM raw_geo) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_geo) d)"),
-    ("geolocation", "Drop coordinates outside the bounding box", "Physically impossible for the country",
+    ("geolocation", "Drop coordinates outside the bounding box", "No address can lie there",
      "(SELECT count(*) FROM (SELECT DISTINCT * FROM raw_geo) d) - (SELECT count(*) FROM geo_points)"),
     ("geolocation", "Aggregate to 1 row per zip prefix (median lat/lng)",
-     "Avoids a many-to-many join; one coordinate per zip",
+     "Joins need one place per prefix, and a median ignores stray points",
      "(SELECT count(*) FROM geo_points) - (SELECT count(*) FROM zip_coords)"),
     ("orders", "Delivered status without delivery date -> not delivered",
-     "Cannot measure delivery time without a date",
+     "Without the date no duration can be taken",
      "(SELECT count(*) FROM c_orders WHERE order_status = 'delivered' AND order_delivered_customer_date IS NULL)"),
-    ("orders", "Flag: handed to carrier before approval", "Excluded from approval->carrier lead time only",
+    ("orders", "Flag: handed to carrier before approval", "That one interval is left NULL; the order stays",
      "(SELECT count(*) FROM c_orders WHERE flag_carrier_before_approval)"),
-    ("orders", "Flag: delivered before carrier pickup", "Excluded from carrier->customer lead time only",
+    ("orders", "Flag: delivered before carrier pickup", "That one interval is left NULL; the order stays in",
      "(SELECT count(*) FROM c_orders WHERE flag_delivered_before_carrier)"),
-    ("order_items", "Implausible shipping_limit_date -> NULL", "Deadline outside 0-60 days after purchase",
+    ("order_items", "Implausible shipping_limit_date -> NULL", "Sellers never get a negative span or more than two months",
      "(SELECT count(*) FROM c_items WHERE shipping_limit_date IS NULL)"),
-    ("order_items", "Flag: freight greater than price", "Kept; used in logistics-cost analysis",
+    ("order_items", "Flag: freight greater than price", "Nothing is changed; the mark lets reports pick such items out",
      "(SELECT count(*) FROM c_items WHERE freight_gt_price)"),
-    ("order_payments", "Installments = 0 -> 1", "A payment is made in at least one installment",
+    ("order_payments", "Installments = 0 -> 1", "Zero parts cannot add up to an amount",
      "(SELECT count(*) FROM raw_payments WHERE payment_installments = 0)"),
-    ("order_payments", "Keep ''not_defined'' payment type", "Belongs to canceled orders with value 0",
+    ("order_payments", "Keep ''not_defined'' payment type", "No money moved, so totals are not touched",
      "(SELECT count(*) FROM raw_payments WHERE payment_type = 'not_defined')"),
-    ("order_payments", "Aggregate to 1 row per order", "Prevents double counting when joined to orders",
+    ("order_payments", "Aggregate to 1 row per order", "One row per order keeps joins from multiplying amounts",
      "(SELECT count(*) - count(DISTINCT order_id) FROM raw_payments)"),
     ("order_reviews", "Keep latest review per order",
-     "Final customer opinion; avoids double counting in Avg Review Score",
+     "One opinion per order enters the mean, the newest one",
      "(SELECT count(*) - count(DISTINCT order_id) FROM (SELECT DISTINCT * FROM raw_reviews) d)"),
-    ("products", "Missing category -> ''unknown''", "Keeps these products (and their sales) in category totals",
+    ("products", "Missing category -> ''unknown''", "Their sales would drop out of every breakdown otherwise",
      "(SELECT count(*) FROM raw_products WHERE product_category_name IS NULL)"),
-    ("products", "Manual translation of untranslated categories", "Missing from the official translation table",
+    ("products", "Manual translation of untranslated categories", "The lookup table has no row for them",
      "(SELECT count(*) FROM raw_products WHERE product_category_name = 'pc_gamer')"),
-    ("products", "Weight = 0 g -> NULL", "A shipped product cannot weigh 0 g",
+    ("products", "Weight = 0 g -> NULL", "Zero stands for a weight nobody entered",
      "(SELECT count(*) FROM raw_products WHERE product_weight_g = 0)"),
     ("customers", "Collapse customer_id -> customer_unique_id",
-     "customer_id is per order; the person is customer_unique_id",
+     "Every order brings a fresh customer_id; people are counted by the other key",
      "(SELECT count(*) - count(DISTINCT customer_unique_id) FROM raw_customers)"),
 ]
 for _t, _v in (("customers", "c_customers"), ("sellers", "c_sellers")):
-    _LOG.append((_t, "Zip without coordinates -> city centroid fallback", "Keeps the row on the map at city precision",
+    _LOG.append((_t, "Zip without coordinates -> city centroid fallback", "A place in the right city beats no place",
                  f"(SELECT count(*) FROM {_v} WHERE geo_source = 'city_centroid')"))
-    _LOG.append((_t, "No coordinates available (left NULL)", "Excluded from maps only",
+    _LOG.append((_t, "No coordinates available (left NULL)", "Only maps lose these rows",
                  f"(SELECT count(*) FROM {_v} WHERE geo_source = 'missing')"))
 add("cl_log", "raw_geo geo_points zip_coords c_orders c_items raw_payments raw_reviews raw_products raw_customers "
     "c_customers c_sellers", " UNION ALL ".join(
