@@ -10,8 +10,8 @@ length; a hit moves on to the end of that node, a miss rules out that length and
 as the longest conversation's length has bits.  Turns are compared only inside the edge where the search ends.
 
 Conversations are inserted in batches.  All search the trie as it is; of those that leave it at the same place by the same
-turn one is inserted, chosen by hash, and the others go on from there in the next batch, so the batches are expected to be as
-many as the logarithm of the conversations that share a prefix.  Equal conversations are one string from the start.
+turn one is inserted (in the first batch the smallest id, then one chosen by hash), and the others go on from there in the next
+batch, so the batches are expected to be as many as the logarithm of the conversations that share a prefix.  Equal conversations are one string from the start.
 
 ``expanded`` turns edges back into one row per prefix.  Totals over subtrees need no walk: a string passes through the nodes on its
 path only, and each edge belongs to the string that brought it.
@@ -45,7 +45,7 @@ def conversation_turns(conversations: DataFrame) -> DataFrame:
     rows = conversations.where("conv_id IS NOT NULL").select(F.col("conv_id").cast("long").alias("conv"), "turn", role.alias("role"),
                                                              F.sha2(text, 256).alias("sha"), letter.alias("letter"), F.length(text).cast("long").alias("n"))
     order = [F.col(c).asc_nulls_first() for c in ("conv", "turn", "role", "sha")]
-    placed = number_in_key(in_order(written(rows, "turns"), order), ["conv"], "place")
+    placed = number_in_key(in_order(rows, order), ["conv"], "place")
     return written(placed.select("conv", (F.col("place") + 1).alias("place"), "letter", "n"), "placed")
 
 
@@ -134,10 +134,10 @@ def _exits(pending: DataFrame, nodes: DataFrame, points: DataFrame, rounds: int)
     return written(_looked_up(state, points, "conv", "beyond", "bh"), "exits")
 
 
-def _grown(exits: DataFrame, nodes: DataFrame, points: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The strings that are inserted now, and the nodes with them."""
+def _grown(exits: DataFrame, nodes: DataFrame, points: DataFrame, order: Column) -> tuple[DataFrame, DataFrame]:
+    """The strings that are inserted now, and the nodes with them; of strings in each other's way the first by ``order``."""
     ending, leaving = exits.where("m = size"), exits.where("m < size")
-    chosen = leaving.groupBy("m", "bh").agg(F.min_by("conv", F.struct(F.xxhash64("conv"), "conv")).alias("conv")).select("conv")
+    chosen = leaving.groupBy("m", "bh").agg(F.min_by("conv", order).alias("conv")).select("conv")
     inserted = written(ending.unionByName(leaving.join(chosen, "conv", "left_semi")), "inserted")
     leaves = inserted.where("m < size").select(F.col("m").alias("p"), F.col("mh").alias("y"), F.col("size").alias("e"), F.col("conv").alias("rep"))
     leaves = _looked_up(leaves, points, "rep", "e", "h")
@@ -163,27 +163,30 @@ def built(strings: DataFrame, points: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = strings.sparkSession
     nodes = spark.createDataFrame([], "p long, y string, e long, h string, rep long, f long, fh string, ch string")
     longest = strings.agg(F.max("size")).first()[0] or 0
-    pending, joined, rounds = strings.select("conv", "size", F.lit(0).cast("long").alias("base")), [], 0
-    while not pending.isEmpty():
-        exits = _exits(pending, nodes, points, rounds)
-        inserted, nodes = _grown(exits, nodes, points)
+    # The first batch meets an empty trie.  It takes the smallest ids, which others often have their beginning from.
+    exits = strings.select("conv", "size", F.lit(None).cast("long").alias("e"), F.lit(None).cast("string").alias("eh"), F.lit(0).cast("long").alias("m"),
+                           F.lit(1).cast("long").alias("beyond"), F.lit(_ROOT).alias("mh"))
+    exits, order, joined = written(_looked_up(exits, points, "conv", "beyond", "bh"), "exits"), F.col("conv"), []
+    while True:
+        inserted, nodes = _grown(exits, nodes, points, order)
         joined.append(inserted.select("conv", "m"))
         pending = exits.join(inserted.select("conv"), "conv", "left_anti").select("conv", "size", F.col("m").alias("base"))
-        rounds = int(longest).bit_length()
+        if pending.isEmpty():
+            break
+        exits, order = _exits(pending, nodes, points, int(longest).bit_length()), F.struct(F.xxhash64("conv"), "conv")
     empty = strings.where("false").select("conv", F.col("size").alias("m"))
     return nodes, reduce(DataFrame.unionByName, joined, empty)
 
 
 def _digests(members: DataFrame) -> DataFrame:
-    """conv (of a string) and sha: of its members' ids, ascending, comma-joined.
+    """conv (of a string) and sha: of its members' ids, ascending, comma-joined; ``members`` has conv, count and member.
 
-    Ids are joined in chunks.  A digest over several chunks has to be taken in order; such chunks stream through one task.
+    Ids of a string with many members are joined in chunks of neighbouring ids.  Such a digest has to be taken in order, so
+    its chunks stream through one task.
     """
-    placed = number_in_key(in_order(members, [F.col("conv").asc(), F.col("member").asc()]), ["conv"], "place")
-    ids = F.array_join(F.transform(F.array_sort(F.collect_list("member")), lambda i: i.cast("string")), ",")
-    chunks = written(placed.groupBy("conv", F.floor(F.col("place") / CHUNK).alias("chunk")).agg(ids.alias("ids")), "chunks")
-    many = chunks.where("chunk > 0").select("conv").distinct()
-    few = chunks.join(many, "conv", "left_anti").select("conv", F.sha2("ids", 256).alias("sha"))
+    ids = F.array_join(F.transform(F.array_sort(F.collect_list("member")), lambda i: i.cast("string")), ",").alias("ids")
+    few = members.where(F.col("count") <= CHUNK).groupBy("conv").agg(ids).select("conv", F.sha2("ids", 256).alias("sha"))
+    chunks = members.where(F.col("count") > CHUNK).groupBy("conv", F.floor(F.col("member") / CHUNK).alias("chunk")).agg(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def row(conv: int, digest) -> pa.RecordBatch:
@@ -200,7 +203,7 @@ def _digests(members: DataFrame) -> DataFrame:
                 digest.update(part.encode())
         if conv is not None:
             yield row(conv, digest)
-    long = chunks.join(many, "conv", "left_semi").repartition("conv").sortWithinPartitions("conv", "chunk").select("conv", "ids")
+    long = chunks.repartition("conv").sortWithinPartitions("conv", "chunk").select("conv", "ids")
     return few.unionByName(long.mapInArrow(run, "conv long, sha string"))
 
 
@@ -213,7 +216,8 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     whole = written(whole, "whole")
     # Equal conversations are one string, named by its smallest id.
     strings = written(whole.groupBy("size", "h", "text").agg(F.min("conv").alias("conv"), F.count("*").alias("members")), "strings")
-    members = whole.select(F.col("conv").alias("member"), "size", "h").join(strings.select("conv", "size", "h"), ["size", "h"]).select("conv", "member")
+    members = whole.select(F.col("conv").alias("member"), "size", "h") \
+        .join(strings.select("conv", "size", "h", F.col("members").alias("count")), ["size", "h"]).select("conv", "count", "member")
     digests = written(_digests(members), "digests")
     start = strings.select("conv", F.lit(0).cast("long").alias("d"), F.lit(_ROOT).alias("h"), F.lit(0).cast("long").alias("upto"))
     points = written(points.join(strings.select("conv"), "conv", "left_semi").unionByName(start), "points")
