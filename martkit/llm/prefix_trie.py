@@ -10,7 +10,7 @@ length; a hit moves on to the end of that node, a miss rules out that length and
 as the longest conversation's length has bits.  Turns are compared only inside the edge where the search ends.
 
 Conversations are inserted in batches.  All search the trie as it is; of those that leave it at the same place by the same
-turn one is inserted (in the first batch the smallest id, then one chosen by hash), and the others go on from there in the next
+turn one is inserted (in the first batches the smallest id, then one chosen by hash), and the others go on from there in the next
 batch, so the batches are expected to be as many as the logarithm of the conversations that share a prefix.  Equal conversations are one string from the start.
 
 ``expanded`` turns edges back into one row per prefix.  Totals over subtrees need no walk: a string passes through the nodes on its
@@ -34,6 +34,8 @@ from .common import written
 
 #: Turns of a block, members of a chunk, and lengths in a cell of an edge: no task takes more of one conversation at a time.
 BLOCK, CHUNK, CELL = 4096, 4096, 32
+#: Batches that take the smallest id, from which others often have their beginning; later ones choose by hash.
+OLDEST = 4
 _ROOT = "0" * 32
 _NODE = ["p", "y", "e", "h", "rep", "f", "fh", "ch"]
 
@@ -142,7 +144,7 @@ def _grown(exits: DataFrame, nodes: DataFrame, points: DataFrame, order: Column)
     leaves = inserted.where("m < size").select(F.col("m").alias("p"), F.col("mh").alias("y"), F.col("size").alias("e"), F.col("conv").alias("rep"))
     leaves = _looked_up(leaves, points, "rep", "e", "h")
     cuts = inserted.where("m < e").select("e", F.col("eh").alias("h"), "m", "mh").distinct()
-    cuts = cuts.join(nodes.select("e", "h", "p", "y", "rep"), ["e", "h"])
+    cuts = written(cuts.join(nodes.select("e", "h", "p", "y", "rep"), ["e", "h"]), "cuts")
     line = W.partitionBy("e", "h").orderBy("m")
     upper = cuts.select(F.coalesce(F.lag("m").over(line), "p").alias("p"), F.coalesce(F.lag("mh").over(line), "y").alias("y"), F.col("m").alias("e"),
                         F.col("mh").alias("h"), "rep")
@@ -151,7 +153,8 @@ def _grown(exits: DataFrame, nodes: DataFrame, points: DataFrame, order: Column)
     fresh = reduce(DataFrame.unionByName, [x.select(*columns) for x in (leaves, upper, lower)])
     fresh = fresh.withColumn("f", fattest(F.col("p"), F.col("e"))).withColumn("first", F.col("p") + 1)
     fresh = _looked_up(_looked_up(fresh, points, "rep", "f", "fh"), points, "rep", "first", "ch").select(*_NODE)
-    return inserted, written(nodes.join(cuts.select("e", "h").distinct(), ["e", "h"], "left_anti").select(*_NODE).unionByName(fresh), "nodes")
+    whole = nodes.join(cuts.select("e", "h"), ["e", "h"], "left_anti").select(*_NODE)
+    return inserted, written(whole.unionByName(fresh), "nodes")
 
 
 def built(strings: DataFrame, points: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -163,17 +166,18 @@ def built(strings: DataFrame, points: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = strings.sparkSession
     nodes = spark.createDataFrame([], "p long, y string, e long, h string, rep long, f long, fh string, ch string")
     longest = strings.agg(F.max("size")).first()[0] or 0
-    # The first batch meets an empty trie.  It takes the smallest ids, which others often have their beginning from.
+    # The first batch meets an empty trie.
     exits = strings.select("conv", "size", F.lit(None).cast("long").alias("e"), F.lit(None).cast("string").alias("eh"), F.lit(0).cast("long").alias("m"),
                            F.lit(1).cast("long").alias("beyond"), F.lit(_ROOT).alias("mh"))
-    exits, order, joined = written(_looked_up(exits, points, "conv", "beyond", "bh"), "exits"), F.col("conv"), []
+    exits, joined = written(_looked_up(exits, points, "conv", "beyond", "bh"), "exits"), []
     while True:
+        order = F.col("conv") if len(joined) < OLDEST else F.struct(F.xxhash64("conv"), "conv")
         inserted, nodes = _grown(exits, nodes, points, order)
         joined.append(inserted.select("conv", "m"))
         pending = exits.join(inserted.select("conv"), "conv", "left_anti").select("conv", "size", F.col("m").alias("base"))
         if pending.isEmpty():
             break
-        exits, order = _exits(pending, nodes, points, int(longest).bit_length()), F.struct(F.xxhash64("conv"), "conv")
+        exits = _exits(pending, nodes, points, int(longest).bit_length())
     empty = strings.where("false").select("conv", F.col("size").alias("m"))
     return nodes, reduce(DataFrame.unionByName, joined, empty)
 
