@@ -25,6 +25,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .common import key_filter, map_batches, octets, plain_words, rolled, written
@@ -156,7 +157,9 @@ def linked_components(docs: DataFrame, words: int = 3, distance: int = 2, text:
 
 
 # ---------------------------------------------------------------- five words, similarity 0.8
-COUNT_BITS = 18             #: cells in which shingles are counted; they order the shingles and decide nothing
+COUNT_BITS = 22             #: cells in which shingles are counted (16 MB); they order the shingles and decide nothing
+COUNT_BLOCKS = 64           #: parts of the cells, summed by a task each
+SALTS = 16                  #: tasks among which the rows of one group are dealt
 SLACK = 1e-6                #: for the rounding of products; the last check of a pair has none
 
 
@@ -174,13 +177,31 @@ def _set_name(own: np.ndarray) -> int | None:
     return _signed(xxhash.xxh3_64_intdigest(own.tobytes())) if len(own) else None
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts are small, so all but the lowest bytes compress to nothing."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(counts.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
+
+
+def _count_batch(blocks: dict[int, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int32()), pa.array([_packed(c) for c in blocks.values()], pa.binary())], names=["block", "counts"])
+
+
 def _cell_counts(rows: DataFrame, words: int) -> np.ndarray:
-    """How many shingles of all rows fall in each cell (the upper bits of the hash)."""
+    """How many shingles of all rows fall in each cell (the upper bits of the hash), 2 ** 32 - 1 at most.
+
+    A task sends its counts as a few compressed blocks, which are summed block by block.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << COUNT_BITS, np.int64)
+        total = np.zeros(1 << COUNT_BITS, np.uint32)
 
         def add(held: list[np.ndarray]) -> None:
-            np.add(total, np.bincount(np.concatenate(held).astype(np.int64), minlength=len(total)), out=total)
+            at, n = np.unique(np.concatenate(held), return_counts=True)
+            total[at.astype(np.int64)] += n.astype(np.uint32)
         for batch in batches:
             held, n = [np.empty(0, np.uint64)], 0
             for text in batch.column(1).to_pylist():
@@ -190,27 +211,51 @@ def _cell_counts(rows: DataFrame, words: int) -> np.ndarray:
                     add(held)
                     held, n = [np.empty(0, np.uint64)], 0
             add(held)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["at", "n"])
-    found = rows.mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()      # at most 2 ** COUNT_BITS rows
-    out = np.zeros(1 << COUNT_BITS, np.int64)
-    out[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
-    return out
+        yield _count_batch(dict(enumerate(np.split(total, COUNT_BLOCKS))))
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = _unpacked(counts).astype(np.uint64)
+                blocks[block] = blocks[block] + found if block in blocks else found
+        yield _count_batch({k: np.minimum(c, (1 << 32) - 1) for k, c in blocks.items()})
+    parts = rows.mapInArrow(run, "block int, counts binary").repartition(COUNT_BLOCKS, "block").mapInArrow(summed, "block int, counts binary")
+    out = np.zeros((COUNT_BLOCKS, (1 << COUNT_BITS) // COUNT_BLOCKS), np.uint32)
+    for row in parts.collect():                     # COUNT_BLOCKS rows of fixed size
+        out[row["block"]] = _unpacked(bytes(row["counts"]))
+    return out.reshape(-1)
+
+
+def _parity(own: np.ndarray) -> bytes:
+    """A bit per cell of the set, about as many cells as shingles: whether an odd number of shingles lies in it."""
+    cells = 1 << max(6, (len(own) - 1).bit_length())
+    return np.packbits(np.bincount((own & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1, bitorder="little").tobytes()
+
+
+def _differing(a: bytes, b: bytes) -> int:
+    """Sets with these parities differ in at least so many shingles.  The longer one is folded to the length of the other."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) != len(y):
+        if len(x) < len(y):
+            x, y = y, x
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def _prefixes(rows: DataFrame, words: int, least: float) -> DataFrame:
-    """For each row: the name of its set (node), the set's size n, a score, and the set's rarest shingles (prefix).
+    """For each row: the name of its set (node), the set's size n, a score, the set's rarest shingles (prefix) and its parity.
 
     All sets are in one order: by the count of the shingle's cell, then by hash.  Two sets of similarity ``least`` have
     a shingle in common among the first ``n - ceil(least n) + 1`` of each.  The score is higher the more common the
-    shingles are, so in a group of copies it is highest in the middle.  A set that the task has had before has no prefix.
+    shingles are, so in a group of copies it is highest in the middle.  A set that the task has had before has neither prefix nor parity.
     """
     counts = rows.sparkSession.sparkContext.broadcast(_cell_counts(rows, words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            node, n, score, prefix = [], [], [], []
+            node, n, score, prefix, parity = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 own = shingle_set(text, words)
                 name, size = _set_name(own), len(own)
@@ -219,6 +264,7 @@ def _prefixes(rows: DataFrame, words: int, least: float) -> DataFrame:
                 n.append(size)
                 common = counts.value[own >> np.uint64(64 - COUNT_BITS)] if first else None
                 score.append(float(common.mean()) if first else None)
+                parity.append(_parity(own) if first else None)
                 if first:
                     seen.add(name)
                     length = size - math.ceil(least * size - SLACK) + 1
@@ -227,8 +273,8 @@ def _prefixes(rows: DataFrame, words: int, least: float) -> DataFrame:
                     prefix.append(None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(score, pa.float32()),
-                 pa.array(prefix, pa.list_(pa.int64()))], names=["key", "node", "n", "score", "prefix"])
-    return rows.mapInArrow(run, "key string, node long, n int, score float, prefix array<long>")
+                 pa.array(prefix, pa.list_(pa.int64())), pa.array(parity, pa.binary())], names=["key", "node", "n", "score", "prefix", "parity"])
+    return rows.mapInArrow(run, "key string, node long, n int, score float, prefix array<long>, parity binary")
 
 
 def _may_be_alike(least: float, n_a, p_a, n_b, p_b, low=np.minimum, high=np.maximum):
@@ -285,8 +331,26 @@ def _pair_batch(parts: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()), pa.array(pairs[1], pa.int64())], names=["a", "b"])
 
 
+def _close(pairs: DataFrame, prefixes: DataFrame, least: float) -> DataFrame:
+    """The pairs whose parities leave the similarity possible.  No pair that has it is lost: parities differ only where sets do."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    known = prefixes.where("parity is not null").select("node", "n", "parity").join(nodes, "node", "left_semi") \
+        .groupBy("node").agg(F.max("n").alias("n"), F.max("parity").alias("parity"))
+    known = written(known, "parities")
+    a, b = (known.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"parity_{x}")) for x in "ab")
+    share = (1 - least) / (1 + least)
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        n_a, n_b, p_a, p_b = (batch.column(i).to_pylist() for i in range(2, 6))
+        keep = [_differing(x, y) <= share * (m + n) + SLACK for m, n, x, y in zip(n_a, n_b, p_a, p_b)]
+        return pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in range(2)], names=["a", "b"])
+    met = pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "n_b", "parity_a", "parity_b")
+    return written(map_batches(met, work, "a long, b long"), "close")
+
+
 def _alike(pairs: DataFrame, rows: DataFrame, prefixes: DataFrame, words: int, least: float) -> DataFrame:
-    """The pairs whose sets have the similarity; the sets are made again for these only."""
+    """The pairs whose sets have the similarity; the sets are made again for those only that their parities don't rule out."""
+    pairs = _close(pairs, prefixes, least)
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = prefixes.select("key", "node").join(nodes, "node").groupBy("node").agg(F.min("key").alias("key"))
     wanted = written(wanted.withColumn("h", F.xxhash64("key")), "wanted")
@@ -327,7 +391,10 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8,
     named = named.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
     number = F.substring_index("key", ":", 1).try_cast("decimal(38,9)")
     first = named.groupBy("root").agg(F.min_by("key", F.struct(number.isNull(), number, F.col("key"))).alias("stays"), F.count("*").alias("n")).where("n > 1")
-    goes = named.join(first, "root").where("key <> stays").select(F.col("key").alias("node"), F.xxhash64("key").alias("h"))
+    # Each group's row meets its own rows in several tasks.
+    salt = F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int").alias("salt")
+    first = first.select("root", "stays", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    goes = named.select("key", "root", salt).join(first, ["root", "salt"]).where("key <> stays").select(F.col("key").alias("node"), F.xxhash64("key").alias("h"))
     goes = written(goes, "goes")
     packed = docs.select(key.alias("key"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     may_go = key_filter(goes, "h")(F.xxhash64("key"))
