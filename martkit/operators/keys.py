@@ -43,6 +43,19 @@ def smallest_overall(df: DataFrame, value: str, k: int) -> DataFrame:
     return df.select(value).orderBy(value).limit(k).agg(F.array_sort(F.collect_list(value)).alias("smallest"))
 
 
+def most_frequent(counts: DataFrame, by: str, value: str, n: str, k: int) -> DataFrame:
+    """Per group the ``k`` values of highest count, and exactly how many values and how much of the count are left.
+
+    ``(by, value)`` pairs must be distinct.  ``listed`` is an array of (place, value, n), never longer than ``k``: the rank
+    filter becomes a group limit ahead of the shuffle, and the totals are plain sums.
+    """
+    rank = F.row_number().over(Window.partitionBy(by).orderBy(F.desc(n), F.asc_nulls_last(value)))
+    top = counts.select(by, value, n, rank.alias("place")).where(F.col("place") <= k).groupBy(by).agg(
+        F.array_sort(F.collect_list(F.struct("place", F.col(value).alias("value"), F.col(n).alias("n")))).alias("listed"), F.sum(n).alias("_shown"))
+    whole = counts.groupBy(by).agg(F.count("*").alias("_values"), F.sum(n).alias("_total"))
+    return whole.join(top, by).select(by, "listed", (F.col("_values") - F.size("listed")).alias("others"), (F.col("_total") - F.col("_shown")).alias("rest"))
+
+
 def comparable(df: DataFrame, long_text: Sequence[str] = ()) -> list[Column]:
     """All columns for grouping whole rows; long texts are replaced by their SHA-256, so they do not travel."""
     return [F.sha2(F.col(c), 256).alias(c) if c in long_text else F.col(c) for c in df.columns]

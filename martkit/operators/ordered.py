@@ -7,14 +7,13 @@ one cell.
 """
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import scratch_folder
+from ..session import stored
 
 
 def _before(total: str, window) -> Column:
@@ -28,11 +27,8 @@ def in_order(df: DataFrame, order: Sequence[Column], at: str = "_at") -> DataFra
     Rows are dealt by ranges of ``order`` that Spark draws from a sample, so a key with a third of all rows lies in as many
     ranges as its rows ask for.  The table is written because a second execution could draw other ranges.
     """
-    path = f"{scratch_folder(df.sparkSession)}/ordered-{uuid.uuid4().hex}"
     # Row numbers of a task start at 0; the task is in the bits above them.
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id())
-    ranged.write.parquet(path)
-    return df.sparkSession.read.schema(ranged.schema).parquet(path)
+    return stored(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id()), "ordered")
 
 
 def number_in_order(table: DataFrame, name: str, at: str = "_at") -> DataFrame:

@@ -1,15 +1,15 @@
 """The whole batch: load, check, clean, build, verify, publish."""
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.calendar import monthly_orders
-from ..operators.checks import run_checks, summarize
+from ..operators.checks import run_checks, summarize, with_position
 from ..operators.cleaning import cleaning_log
+from ..sources.generations import Generations
 from .integrity import assert_star
 from .star import STAR_COLUMNS, Star, StoredStar
 
@@ -29,10 +29,11 @@ def write_star(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) -
     """Write the star as Parquet, in a folder of its own under ``folder``; it is published only once its checks pass.
 
     ``fact_orders`` is computed once and read back for the items' order context and the customers' lifetime figures.
-    The integrity table is written last, and its success mark publishes the star in one step.  A star that fails, or a
-    run that dies, leaves the star published before readable and unchanged.
+    A pointer to the run is written last and publishes the star in one step.  A star that fails, or a run that dies, leaves
+    the star published before readable and unchanged.
     """
-    run = f"{folder.rstrip('/')}/{_RUN}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    name = f"run-{uuid.uuid4().hex}"
+    run = f"{folder.rstrip('/')}/{name}"
 
     def put(name: str, df: DataFrame, sort: str | None = None) -> None:
         # Sorting inside files gives row groups narrow date ranges, so date filters skip them.
@@ -46,29 +47,38 @@ def write_star(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) -
             put(name, stored.table(name))
     star = StoredStar(spark, run)
     put("integrity", assert_star(star, raw))
+    _pointer(spark, folder).publish([(name,)])
     return star
 
 
-_RUN = "run-"
+def _pointer(spark: SparkSession, folder: str) -> Generations:
+    return Generations(spark, f"{folder.rstrip('/')}/published", "run string")
 
 
 def open_star(spark: SparkSession, folder: str) -> StoredStar:
-    """The star published last.  Runs whose checks did not pass have no integrity table and are not seen."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{_RUN}*/integrity/_SUCCESS")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    runs = sorted(str(f.getPath().getParent().getParent().toString()) for f in found or [])
-    if not runs:
+    """The star published last.  Runs whose checks did not pass, or that died, are not pointed to."""
+    found = _pointer(spark, folder).latest()
+    if not found:
         raise FileNotFoundError(f"no published star in {folder}")
-    return StoredStar(spark, runs[-1])
+    return StoredStar(spark, f"{folder.rstrip('/')}/{found[0].run}")
+
+
+def write_report(df: DataFrame, path: str) -> None:
+    """A small table (check results, cleaning log) as one CSV file with a header."""
+    df.coalesce(1).write.mode("overwrite").csv(path, header=True, escape='"')
+
+
+def read_report(spark: SparkSession, path: str, schema) -> DataFrame:
+    return spark.read.schema(schema).csv(path, header=True, escape='"', multiLine=True)
 
 
 def run_batch(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str,
               failures: DataFrame | None = None) -> dict[str, DataFrame]:
     """Check results, cleaning log and star, all written under ``folder``."""
     folder = folder.rstrip("/")
-    results = {"data_quality_checks": run_checks(raw, failures), "cleaning_log": cleaning_log(raw)}
+    results = {"data_quality_checks": with_position(run_checks(raw, failures)), "cleaning_log": cleaning_log(raw)}
     for name, df in results.items():
-        df.coalesce(1).write.mode("overwrite").csv(f"{folder}/{name}", header=True, escape='"')
+        write_report(df, f"{folder}/{name}")
     results["data_quality_summary"] = summarize(results["data_quality_checks"], monthly_orders(raw["orders"]))
     star = write_star(spark, raw, f"{folder}/star")
     return {**results, **{name: star.table(name) for name in STAR_COLUMNS}}

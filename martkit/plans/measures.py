@@ -148,6 +148,7 @@ MEASURES: dict[str, Measure] = {
 }
 
 Filter = tuple[str, str, object]
+LEVEL = "_level"
 _PRODUCT, _SELLER, _CUSTOMER, _DATE = "dim_product", "dim_seller", "dim_customer", "dim_date"
 
 
@@ -171,8 +172,8 @@ def _predicate(column: Column, op: str, value) -> Column:
 class _Context:
     """Group keys and filters of one evaluation, and how a fact obtains them."""
 
-    def __init__(self, star, by: Sequence[str], where: Sequence[Filter], fact: str):
-        self.star, self.by, self.where, self.fact = star, list(by), list(where), fact
+    def __init__(self, star, by: Sequence[str], where: Sequence[Filter], fact: str, levels: bool = False):
+        self.star, self.by, self.where, self.fact, self.levels = star, list(by), list(where), fact, levels
         self.keys = [_split(n)[1] for n in by]
         self.months = 0
         if len(set(self.keys)) < len(self.keys):
@@ -206,9 +207,22 @@ class _Context:
             cols.append("seller_id")
         return list(dict.fromkeys(cols))
 
+    # With levels, each row counts once per grouping set: the details, and the keys without their last, last two, ... up to
+    # none.  Keys a level leaves out are NULL there, so a set is a group like any other, and distinct counts stay exact.
+    def key(self, k: str) -> str:
+        """The group column of a key; the fact's own column of that name stays as it is."""
+        return f"_g_{k}" if self.levels else k
+
+    def _on_level(self, k: str, value: Column) -> Column:
+        return F.when(F.col(LEVEL) < len(self.keys) - self.keys.index(k), value)
+
+    @property
+    def level_key(self) -> list[str]:
+        return [LEVEL] if self.levels else []
+
     def row_keys(self) -> list[str]:
         """Group keys available before customers are joined."""
-        return [k for n, k in zip(self.by, self.keys) if _split(n)[0] != _CUSTOMER]
+        return [self.key(k) for n, k in zip(self.by, self.keys) if _split(n)[0] != _CUSTOMER] + self.level_key
 
     def on_rows(self, rows: DataFrame) -> DataFrame:
         """Filter rows by everything but customer attributes, and add those keys."""
@@ -236,15 +250,18 @@ class _Context:
                 out[key] = F.col(key)
         for name, op, value in self.filters([self.fact, *([] if self.months else [_DATE]), _PRODUCT, _SELLER]):
             rows = rows.where(_predicate(out[_split(name)[1]], op, value))
-        keep = self.row_keys()
         late = set(self.late_keys)
-        added = {k: out[k] for k in keep if k not in late}
+        known = [k for n, k in zip(self.by, self.keys) if _split(n)[0] != _CUSTOMER and k not in late]
+        if self.levels:
+            rows = rows.withColumn(LEVEL, F.explode(F.array(*[F.lit(i) for i in range(len(self.keys) + 1)])))
+            return rows.withColumns({self.key(k): self._on_level(k, out[k]) for k in known})
+        added = {k: out[k] for k in known}
         return rows.withColumns(added) if added else rows
 
     # Other attributes of a seller follow from its id, so they can be looked up after aggregating by it.
     @property
     def late_seller(self) -> bool:
-        return f"{_SELLER}.seller_id" in self.by and not self.filters([_SELLER])
+        return f"{_SELLER}.seller_id" in self.by and not self.filters([_SELLER]) and not self.levels
 
     @property
     def late_keys(self) -> list[str]:
@@ -261,6 +278,9 @@ class _Context:
         joined = grouped.join(self.star.dim_customer("customer_unique_id", *cols), "customer_unique_id", "left")
         for name, op, value in self.filters([_CUSTOMER]):
             joined = joined.where(_predicate(F.col(_split(name)[1]), op, value))
+        if self.levels:
+            own = [k for n, k in zip(self.by, self.keys) if _split(n)[0] == _CUSTOMER]
+            joined = joined.withColumns({self.key(k): self._on_level(k, F.col(k)) for k in own})
         return joined
 
     def with_late_keys(self, result: DataFrame) -> DataFrame:
@@ -269,7 +289,7 @@ class _Context:
         return result.join(self.star.dim_seller("seller_id", *self.late_keys), "seller_id", "left")
 
     def final_keys(self) -> list[str]:
-        return [k for k in self.keys if k not in self.late_keys]
+        return [self.key(k) for k in self.keys if k not in self.late_keys] + self.level_key
 
     # ---- earlier periods
     def shifted(self, months: int) -> "_Context":
@@ -382,7 +402,7 @@ def _sellers(ctx: _Context, platform: bool) -> DataFrame:
     if not platform:
         return out
     # The same average without any seller key: every order has one seller, so its parts add up.
-    seller_keys = {k for n, k in zip(ctx.by, ctx.keys) if _split(n)[0] == _SELLER}
+    seller_keys = {ctx.key(k) for n, k in zip(ctx.by, ctx.keys) if _split(n)[0] == _SELLER}
     rest = [k for k in ctx.final_keys() if k not in seller_keys]
     whole = out.groupBy(*rest).agg(_div(F.sum("s_score_sum"), F.sum("s_score_n")).alias("s_platform"))
     if not rest:
@@ -430,16 +450,24 @@ def _beside(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def evaluate(star, measures: Sequence[str], by: Sequence[str] = (), where: Sequence[Filter] = (),
-             risk: tuple[int, float] = (50, 0.3)) -> DataFrame:
-    """Group keys and one column per measure.  ``risk`` is the order floor and rating gap of the risk flag."""
+             risk: tuple[int, float] = (50, 0.3), totals: bool = False) -> DataFrame:
+    """Group keys and one column per measure.  ``risk`` is the order floor and rating gap of the risk flag.
+
+    With ``totals`` there are also the subtotals over all but the last key, the last two and so on, up to the grand total, in
+    one plan; ``level`` says how many keys are left out (those are NULL).  Measures that do not add up, such as numbers of
+    orders, customers or sellers, are those of the whole group.  Earlier periods are looked up level by level.
+    """
     unknown = [m for m in measures if m not in MEASURES]
     if unknown:
         raise ValueError(f"unknown measures {unknown}")
     wanted = {c for m in measures for c in MEASURES[m].needs}
     by = list(by)
+    if totals and any(c.startswith("t_") for c in wanted):
+        return _totals_by_level(star, measures, by, where, risk)
     parts: list[tuple[DataFrame, list[str]]] = []
-    items = _Context(star, by, where, "fact_order_items") if any(c[0] in "ista" for c in wanted) else None
-    keys = [_split(n)[1] for n in by]
+    items = _Context(star, by, where, "fact_order_items", totals) if any(c[0] in "ista" for c in wanted) else None
+    names = [_split(n)[1] for n in by]
+    keys = [f"_g_{k}" for k in names] + [LEVEL] if totals else names
 
     sales = {c for c in wanted if c in SALES_COMPONENTS}
     periods = {c for c in wanted if c.startswith("t_")}
@@ -455,10 +483,10 @@ def evaluate(star, measures: Sequence[str], by: Sequence[str] = (), where: Seque
         parts.append((items.with_late_keys(_sellers(items, "s_platform" in wanted)), sorted(sellers)))
     orders = sorted(c for c in wanted if c in ORDER_COMPONENTS)
     if orders:
-        ctx = _Context(star, by, where, "fact_orders")
+        ctx = _Context(star, by, where, "fact_orders", totals)
         found = _orders(ctx, orders)
         if "x_paid_all" in wanted:
-            rest = [k for k in keys if k != "main_payment_type"]
+            rest = [k for k in keys if k != ctx.key("main_payment_type")]
             whole = found.groupBy(*rest).agg(F.sum("o_paid").alias("x_paid_all"))
             found = _join_keys(found, whole, rest) if rest else found.crossJoin(F.broadcast(whole))
             orders = [*orders, "x_paid_all"]
@@ -481,4 +509,12 @@ def evaluate(star, measures: Sequence[str], by: Sequence[str] = (), where: Seque
             return F.when((col["s_orders"] >= floor) & low, 1).otherwise(0)
         return m.value(*[col[c] for c in m.needs])
 
-    return merged.select(*keys, *[value(n).alias(n) for n in measures])
+    out = [F.col(c).alias(k) for c, k in zip(keys, names)] + ([F.col(LEVEL).cast("long").alias("level")] if totals else [])
+    return merged.select(*out, *[value(n).alias(n) for n in measures])
+
+
+def _totals_by_level(star, measures: Sequence[str], by: list[str], where: Sequence[Filter], risk: tuple[int, float]) -> DataFrame:
+    """The dates before a subtotal's are not the sum of those before its parts, so each level is a context of its own."""
+    levels = [evaluate(star, measures, by[:len(by) - i], where, risk).withColumn("level", F.lit(i).cast("long")) for i in range(len(by) + 1)]
+    found = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), levels)
+    return found.select(*[_split(n)[1] for n in by], "level", *measures)

@@ -11,14 +11,20 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from ..functions import (band_label, band_order, close_to, date_key, elapsed_days, exact_avg, fold_city,
                          installment_band, money_avg, round_half_even, short_label, sql_round, strip_space, title_case,
                          whole_days_elapsed, zero_pad)
+from ..operators.bitmaps import distinct_counts, distinct_sets
+from ..operators.checks import run_checks, with_position
+from ..operators.cleaning import cleaning_log
 from ..operators.keys import key_counts, orphan_counts, smallest_values
 from ..operators.ordered import next_per_key, rank_all, sequence_per_key, tile
 from ..operators.quantiles import exact_quantiles
 from ..session import scratch_folder
 from ..sources import csv_tables
 from ..sources.carriers import driver_table, raw_tables
-from ..specs import DELIVERY_BANDS, MONEY, SPECS, TableSpec
+from ..sources.split_csv import read_split_csv
+from ..specs import DELIVERY_BANDS, MONEY, REGIONS, SPECS, TableSpec
+from .batch import open_star, read_report, write_report, write_star
 from .catalogue import id_cell
+from .integrity import IntegrityError
 from .star import Star
 
 
@@ -81,6 +87,21 @@ def agg_rows_joined_back(spark: SparkSession, folder: str) -> DataFrame:
     return orders.join(key_counts(orders, ["o_custkey"], "orders_of_customer"), "o_custkey")
 
 
+def agg_distinct_sets(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers by several contexts, all from one stored aggregate: items by category, year of purchase and region."""
+    star = Star(raw_tables(spark, folder))
+    items = star.fact_order_items("product_id", "customer_unique_id", "purchase_date", "is_sale").where("is_sale")
+    rows = items.join(star.dim_product("product_id", "category"), "product_id", "left") \
+        .join(star.dim_customer("customer_unique_id", "region"), "customer_unique_id", "left").withColumn("year", F.year("purchase_date"))
+    keys = ["category", "year", "region"]
+    sets = distinct_sets(rows, "customer_unique_id", keys)
+    contexts = (keys, ["category"], ["year"], ["region"], ["year", "region"], [])
+    return reduce(DataFrame.unionByName, [
+        distinct_counts(sets, by, "customers").select(
+            F.lit("+".join(by)).alias("context"), *[(F.col(k) if k in by else F.lit(None)).cast("string").alias(k) for k in keys], "customers")
+        for by in contexts])
+
+
 # ---------------------------------------------------------------- windows
 
 def win_lag_running_moving(spark: SparkSession, folder: str) -> DataFrame:
@@ -380,10 +401,63 @@ def io_star_views(spark: SparkSession, folder: str) -> DataFrame:
         WHERE i.is_sale GROUP BY d.year, p.category""")
 
 
+def io_csv_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole texts with line breaks and quotes, written as CSV and cut into records by byte ranges."""
+    path = f"{scratch_folder(spark)}/texts-{uuid.uuid4().hex}"
+    csv_tables.write_csv(driver_table(spark, folder, "documents").select("doc_id", "text", "source"), path)
+    text = F.coalesce("text", F.lit(""))
+    return read_split_csv(spark, path, ["doc_id", "text", "source"]).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.length(text).cast("long").alias("length"), F.md5(text).alias("digest"), "source")
+
+
+def io_whole_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Identifiers above 2 ** 53, with a decimal point or without, come through the typed loader as they are."""
+    path = f"{scratch_folder(spark)}/numbers-{uuid.uuid4().hex}"
+    big = F.col("event_id") + F.lit(9007199254740993)
+    csv_tables.write_csv(driver_table(spark, folder, "events").select("event_id", big.alias("big"), F.concat(big.cast("string"), F.lit(".4")).alias("near")), path)
+    kind = T.LongType()
+    spec = TableSpec("numbers", "numbers.csv", T.StructType([T.StructField(c, kind) for c in ("event_id", "big", "near")]))
+    return csv_tables.type_table(csv_tables.read_text_table(spark, spec, path), spec)
+
+
+def io_check_results(spark: SparkSession, folder: str) -> DataFrame:
+    """All check results as the report file holds them, with their place by severity."""
+    path = f"{scratch_folder(spark)}/results-{uuid.uuid4().hex}"
+    results = with_position(run_checks(raw_tables(spark, folder)))
+    write_report(results, path)
+    return read_report(spark, path, results.schema).withColumn("detail", F.coalesce("detail", F.lit("")))
+
+
+def io_cleaning_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The cleaning log as its file holds it."""
+    path = f"{scratch_folder(spark)}/log-{uuid.uuid4().hex}"
+    log = cleaning_log(raw_tables(spark, folder))
+    write_report(log, path)
+    return read_report(spark, path, log.schema)
+
+
+def io_refused_star(spark: SparkSession, folder: str) -> DataFrame:
+    """A star whose orders have lost the customers of one region: what the refusal says, and that nothing is published."""
+    path = f"{scratch_folder(spark)}/star-{uuid.uuid4().hex}"
+    raw = dict(raw_tables(spark, folder))
+    raw["customers"] = raw["customers"].where(~F.col("customer_state").isin(*REGIONS["South"].split()))
+    said = []
+    try:
+        write_star(spark, raw, path)
+    except IntegrityError as e:
+        said += [("refused", line) for line in str(e).splitlines()[1:]]
+    try:
+        open_star(spark, path)
+    except FileNotFoundError:
+        said.append(("published", "nothing"))
+    return spark.createDataFrame(said, "what string, said string")
+
+
 OPERATOR_QUERIES = {f.__name__: f for f in (
-    agg_hash_group, agg_distinct_rows, agg_conditional, agg_quantiles, agg_value_counts, agg_two_level,
+    agg_distinct_sets, agg_hash_group, agg_distinct_rows, agg_conditional, agg_quantiles, agg_value_counts, agg_two_level,
     agg_rows_joined_back, win_lag_running_moving, win_rank_dense, win_row_number_ntile, win_lead_next,
     win_sequence_per_key, win_first_last_per_key, join_left_lookup, join_orphans, join_coverage_null_safe,
     join_semi_composite, join_aggregates, join_cross_baseline, join_star, ord_top_k, ord_mixed_directions,
     ord_sample_values, fn_text, fn_time_gaps, fn_rounding, fn_bands, fn_averages, cl_normalize_text,
-    io_csv_roundtrip, io_csv_typed, io_parse_failures, io_load_all, io_refusals, io_star_views)}
+    io_csv_roundtrip, io_csv_typed, io_parse_failures, io_load_all, io_refusals, io_star_views,
+    io_csv_split, io_whole_numbers, io_check_results, io_cleaning_log, io_refused_star)}

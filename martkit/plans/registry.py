@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import round_half_even
 from ..operators import checks, cleaning
-from ..sources.carriers import raw_tables
+from ..sources.carriers import desk_tables, raw_tables
 from ..operators.calendar import monthly_orders
 from .catalogue import CATALOGUE, seller_risk
 from .integrity import check_star, data_dictionary, table_overview
@@ -76,6 +76,9 @@ for _name, _build in REPORTS.items():
     register(_name, _build)
 register("rpt_seller_scatter", lambda star: seller_scatter(star, min_orders=5))
 register("rpt_seller_risk", lambda star: risk_sellers(star, min_orders=5))
+# The floors as they are by default, over tables with larger sellers.
+for _name, _build in (("q08_seller_risk_50", seller_risk), ("rpt_seller_scatter_50", seller_scatter), ("rpt_seller_risk_50", risk_sellers)):
+    register_raw(_name, lambda spark, folder, build=_build: portable(build(Star(desk_tables(spark, folder)))))
 
 _SALES = ["revenue", "orders", "aov", "items_sold", "freight", "freight_pct", "customers", "repeat_customers",
           "repeat_customer_pct", "revenue_per_customer", "active_sellers"]
@@ -98,6 +101,15 @@ register("msr_sellers", lambda star: evaluate(
            "active_sellers", "revenue"], ["dim_seller.seller_id", "dim_seller.seller_label", "dim_date.year"],
     risk=(3, 0.3)))
 
+# Details with subtotals and grand total in one plan.
+for _name, _measures, _by in (
+        ("rpt_category_matrix_totals", "revenue orders aov freight_pct", "dim_product.category dim_date.year"),
+        ("msr_totals_by_region", "revenue orders customers repeat_customers repeat_customer_pct active_sellers late_pct repeat_purchase_pct",
+         "dim_customer.region dim_customer.state dim_date.year"),
+        ("msr_totals_by_payment", "paid_orders payment_share installment_pct aov_by_order", "fact_orders.main_payment_type dim_date.year"),
+        ("msr_totals_by_seller", "seller_orders seller_avg_review seller_late_pct active_sellers revenue", "dim_date.year dim_seller.seller_id")):
+    register(_name, lambda star, measures=_measures.split(), by=_by.split(): evaluate(star, measures, by, totals=True))
+
 # Periods over a range, within part of a month, and by year: the earlier dates are the current ones moved back.
 _PERIODS = ["revenue", "revenue_pm", "revenue_mom_pct", "orders", "orders_pm", "orders_mom_pct", "revenue_py", "revenue_yoy_pct"]
 register("msr_yoy_of_range", lambda star: evaluate(star, _PERIODS, (), [

@@ -4,8 +4,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "martkit", cores: str | int = "*", partitions: int = 8) -> SparkSession:
@@ -40,3 +41,10 @@ def scratch_folder(spark: SparkSession) -> str:
         shared = tempfile.mkdtemp(prefix="run-")
         spark.conf.set(_OWN, shared)
     return shared.rstrip("/")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, whatever executors are lost later."""
+    path = f"{scratch_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

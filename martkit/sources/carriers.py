@@ -148,6 +148,28 @@ def sellers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_DESK = "n_regionkey * 10 + CAST(substring(o_orderpriority, 1, 1) AS INT)"
+
+
+def desk_items(spark: SparkSession, folder: str) -> DataFrame:
+    """The items, each order sold by one desk: that of its customer's region and its priority."""
+    orders = driver_table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    people = driver_table(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    nations = driver_table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
+    desks = orders.join(people, orders.o_custkey == people.c_custkey).join(nations, people.c_nationkey == nations.n_nationkey) \
+        .selectExpr("o_orderkey AS order_id", f"{_DESK} AS seller_id")
+    return order_items(spark, folder).drop("seller_id").join(desks, "order_id")
+
+
+def desk_sellers(spark: SparkSession, folder: str) -> DataFrame:
+    priorities = driver_table(spark, folder, "orders").select("o_orderpriority").distinct()
+    regions = driver_table(spark, folder, "nation").select("n_regionkey").distinct()
+    # Five of each.
+    return regions.crossJoin(priorities).selectExpr(
+        f"{_DESK} AS seller_id", "lpad(CAST(n_regionkey * 1000 AS STRING), 5, '0') AS seller_zip_code_prefix",
+        "concat('  São Building ', n_regionkey, ' ') AS seller_city", f"{_state('n_regionkey')} AS seller_state")
+
+
 def geolocation(spark: SparkSession, folder: str) -> DataFrame:
     """One point per customer on a coarse grid, so points repeat; the ends of the grid lie outside the box."""
     step = "CAST(floor(c_acctbal / 25) AS INT)"
@@ -171,12 +193,12 @@ _BUILDERS = {
 class RawTables(Mapping):
     """The nine raw tables by name; each is opened on first use, so a query touches only the files it reads."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self._spark, self._folder, self._open = spark, folder, {}
+    def __init__(self, spark: SparkSession, folder: str, builders: Mapping = _BUILDERS):
+        self._spark, self._folder, self._builders, self._open = spark, folder, builders, {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._open:
-            self._open[name] = _BUILDERS[name](self._spark, self._folder)
+            self._open[name] = self._builders[name](self._spark, self._folder)
         return self._open[name]
 
     def __iter__(self):
@@ -188,3 +210,8 @@ class RawTables(Mapping):
 
 def raw_tables(spark: SparkSession, folder: str) -> RawTables:
     return RawTables(spark, folder)
+
+
+def desk_tables(spark: SparkSession, folder: str) -> RawTables:
+    """The same with few sellers of many orders, whose ratings differ: floors of 50 orders have something to keep."""
+    return RawTables(spark, folder, {**_BUILDERS, "order_items": desk_items, "sellers": desk_sellers})

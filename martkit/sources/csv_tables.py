@@ -1,15 +1,19 @@
 """Typed CSV sources and sinks."""
 from __future__ import annotations
 
+import uuid
 import warnings
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from .. import specs
 from ..functions import strip_space, zero_pad
 from ..plans.star import STAR_COLUMNS
+from ..session import stored
+from .generations import Generations
+from .split_csv import read_split_csv
 
 # Spellings read as missing, beside the empty string.
 MISSING_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
@@ -33,6 +37,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def _files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Path, length and time of a file, or of the files in a folder, as Spark reads it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+    shown = [f for f in found if not f.isDirectory() and not f.getPath().getName().startswith(("_", "."))]
+    return sorted((str(f.getPath().toString()), int(f.getLen()), int(f.getModificationTime())) for f in shown)
+
+
 def _typed(c: Column, kind: T.DataType, fractions: bool = False) -> Column:
     """The declared type, or NULL where the text does not parse."""
     if isinstance(kind, T.StringType):
@@ -42,14 +54,20 @@ def _typed(c: Column, kind: T.DataType, fractions: bool = False) -> Column:
     if isinstance(kind, T.NumericType):
         c = F.when(c.rlike(_NUMBER), c)
     if isinstance(kind, T.IntegralType):
-        return F.rint(c.try_cast("double")).try_cast(kind)
+        # Through a decimal: a double has no room for whole numbers above 2 ** 53.
+        return F.bround(c.try_cast("decimal(38,18)"), 0).try_cast(kind)
     return c.try_cast(kind)
 
 
 def read_text_table(spark: SparkSession, spec: specs.TableSpec, path: str) -> DataFrame:
-    """All columns as trimmed text, declared ones present, missing tokens NULL, zips padded."""
-    # A quoted value may hold line breaks, so a file is read as a whole; do it once and keep the Parquet copy.
+    """All columns as trimmed text, declared ones present, missing tokens NULL, zips padded.
+
+    A quoted value may hold line breaks.  Files of more than one byte range are cut into records by many tasks
+    (``split_csv``); of smaller ones each is a task of its own anyway, and Spark's reader takes them whole.
+    """
     raw = spark.read.csv(path, header=True, multiLine=True, escape='"', encoding="UTF-8")
+    if max((size for _, size, _ in _files(spark, path)), default=0) > spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes():
+        raw = read_split_csv(spark, path, raw.columns)
     raw = raw.toDF(*[c.strip().lstrip("﻿") for c in raw.columns])
     absent = [c for c in spec.columns if c not in raw.columns]
     if absent:
@@ -72,15 +90,29 @@ def type_table(text: DataFrame, spec: specs.TableSpec, fractions: bool = False)
     return text.select(*[_typed(F.col(c), kinds.get(c, T.StringType()), fractions).alias(c) for c in text.columns])
 
 
+def _failed(spec: specs.TableSpec) -> list[Column]:
+    """Rows, and per typed column the values that are present but did not parse."""
+    return [F.count("*").alias("rows"), *[
+        F.count_if(F.col(f.name).isNotNull() & _typed(F.col(f.name), f.dataType).isNull()).alias(f.name)
+        for f in spec.schema.fields if not isinstance(f.dataType, T.StringType)]]
+
+
+def write_typed(text: DataFrame, spec: specs.TableSpec, path: str) -> DataFrame:
+    """Write the typed rows; the parse failures are observed on the way, so the text is read and parsed once."""
+    seen = Observation(f"parsing {spec.name}")
+    type_table(text.observe(seen, *_failed(spec)), spec).write.parquet(path)
+    found = seen.get
+    rows = [(spec.name, c, n, found["rows"]) for c, n in found.items() if c != "rows"] or [(spec.name, "", 0, found["rows"])]
+    return text.sparkSession.createDataFrame(rows, "`table` string, `column` string, failed long, rows long")
+
+
 def parse_failures(text: DataFrame, spec: specs.TableSpec) -> DataFrame:
     """table, column, failed, rows: values that are present but did not parse, from one aggregate."""
     typed = [f for f in spec.schema.fields if not isinstance(f.dataType, T.StringType)]
     if not typed:
         return text.agg(F.count("*").alias("rows")).select(
             F.lit(spec.name).alias("table"), F.lit("").alias("column"), F.lit(0).cast("long").alias("failed"), "rows")
-    one = text.agg(F.count("*").alias("rows"), *[
-        F.count_if(F.col(f.name).isNotNull() & _typed(F.col(f.name), f.dataType).isNull()).alias(f.name)
-        for f in typed])
+    one = text.agg(*_failed(spec))
     pairs = F.array(*[F.struct(F.lit(f.name).alias("column"), F.col(f.name).alias("failed")) for f in typed])
     return one.select("rows", F.explode(pairs).alias("p")).select(
         F.lit(spec.name).alias("table"), "p.column", "p.failed", "rows")
@@ -90,35 +122,70 @@ def load_table(spark: SparkSession, spec: specs.TableSpec, folder: str, file: st
     return type_table(read_text_table(spark, spec, f"{folder}/{file or spec.file}"), spec)
 
 
+# ---------------------------------------------------------------- typed copy
+
+def _digest(spark: SparkSession, paths: list[str]) -> str:
+    """What the files hold, whatever the order of their lines: a scan of the text, nothing is parsed."""
+    h = F.xxhash64("value")
+    row = spark.read.option("lineSep", "\n").text(paths).agg(
+        F.count("*"), F.coalesce(F.bit_xor(h), F.lit(0)), F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0))).first()
+    return "-".join(str(v) for v in row)
+
+
+class _Manifest:
+    """Which raw files each table of a typed copy was made of, and where it lies."""
+
+    def __init__(self, spark: SparkSession, copy: str):
+        self.spark, self.states = spark, Generations(spark, f"{copy}/manifest", _MANIFEST)
+        self.tables = {r["table"]: r for r in self.states.latest()}
+
+    def unchanged(self, table: str, files: list[tuple[str, int, int]]) -> bool:
+        """Same files of same length, with the same time or, if they were touched, the same content."""
+        known = self.tables.get(table)
+        if known is None or [(f.path, f.length) for f in known.files] != [f[:2] for f in files]:
+            return False
+        return [f.time for f in known.files] == [f[2] for f in files] or known.digest == _digest(self.spark, [f[0] for f in files])
+
+
+_MANIFEST = "`table` string, folder string, digest string, files array<struct<path: string, length: long, time: long>>"
+
+
 def load_all(spark: SparkSession, folder: str, typed_copy: str | None = None, reuse: bool = False,
              files: Mapping[str, str] | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
     """(tables, parse failures) of a folder of CSV files; fails at once naming every missing file.
 
-    ``files`` gives a table another file name than its spec; a name may also be a folder of part files, which are
-    then read in parallel.
+    ``files`` gives a table another file name than its spec; a name may also be a folder of part files.
 
     With ``typed_copy`` the tables and the failure counts are also written as Parquet and read back, so later steps
-    do not parse again and start from a splittable source; ``reuse`` takes an existing copy as it is.
+    do not parse again.  ``reuse`` takes from an existing copy the tables whose raw files have not changed since, and
+    parses the others only.
     """
     copy = typed_copy.rstrip("/") if typed_copy else None
-    if copy and reuse and _exists(spark, f"{copy}/parse_failures/_SUCCESS"):
-        return {n: spark.read.parquet(f"{copy}/{n}") for n in specs.SPECS}, \
-            spark.read.parquet(f"{copy}/parse_failures")
     names = {n: (files or {}).get(n, s.file) for n, s in specs.SPECS.items()}
     absent = [f for f in names.values() if not _exists(spark, f"{folder}/{f}")]
     if absent:
         raise FileNotFoundError(f"missing in {folder}: {', '.join(absent)}. Download the dataset first.")
-    text = {n: read_text_table(spark, s, f"{folder}/{names[n]}") for n, s in specs.SPECS.items()}
-    tables = {n: type_table(t, specs.SPECS[n]) for n, t in text.items()}
-    failures = reduce(DataFrame.unionByName, [parse_failures(t, specs.SPECS[n]) for n, t in text.items()])
-    if copy:
-        for n, t in tables.items():
-            t.write.mode("overwrite").parquet(f"{copy}/{n}")
-        tables = {n: spark.read.parquet(f"{copy}/{n}") for n in tables}
-        # Written last: its success mark says the copy is whole.
-        failures.write.mode("overwrite").parquet(f"{copy}/parse_failures")
-        failures = spark.read.parquet(f"{copy}/parse_failures")
-    return tables, failures
+
+    def text(n: str) -> DataFrame:
+        return read_text_table(spark, specs.SPECS[n], f"{folder}/{names[n]}")
+    if not copy:
+        texts = {n: text(n) for n in specs.SPECS}
+        return {n: type_table(t, specs.SPECS[n]) for n, t in texts.items()}, \
+            reduce(DataFrame.unionByName, [parse_failures(t, specs.SPECS[n]) for n, t in texts.items()])
+    manifest, rows = _Manifest(spark, copy), []
+    for n in specs.SPECS:
+        raw = _files(spark, f"{folder}/{names[n]}")
+        if reuse and manifest.unchanged(n, raw):
+            known = manifest.tables[n]
+            rows.append((n, known.folder, known.digest, raw))
+            continue
+        place = f"{copy}/{n}-{uuid.uuid4().hex}"
+        write_typed(text(n), specs.SPECS[n], f"{place}/rows").coalesce(1).write.parquet(f"{place}/failures")
+        rows.append((n, place, _digest(spark, [f[0] for f in raw]), raw))
+    if any(n not in manifest.tables or (place, raw) != (manifest.tables[n].folder, [tuple(f) for f in manifest.tables[n].files]) for n, place, _, raw in rows):
+        manifest.states.publish(rows)
+    return {n: spark.read.parquet(f"{place}/rows") for n, place, *_ in rows}, \
+        spark.read.parquet(*[f"{place}/failures" for _, place, *_ in rows])
 
 
 # ---------------------------------------------------------------- sinks
@@ -135,13 +202,13 @@ def write_csv(df: DataFrame, path: str, shrink_dates: bool = True, fractions: bo
 
     Times are written to the second, or with ``fractions`` to the microsecond.
 
-    Each task writes its own part file; nothing is gathered.
+    Each task writes its own part file; nothing is gathered.  To learn which columns hold midnights, the rows are computed
+    once and kept as Parquet in the shared folder; both looks at them read that.
     """
-    if shrink_dates:
-        probe = whole_days(df)
-        if probe.columns:
-            flags = probe.first().asDict()
-            df = df.withColumns({c: F.to_date(c) for c, midnight in flags.items() if midnight})
+    if shrink_dates and whole_days(df).columns:
+        df = stored(df, "rows")
+        flags = whole_days(df).first().asDict()
+        df = df.withColumns({c: F.to_date(c) for c, midnight in flags.items() if midnight})
     stamp = "yyyy-MM-dd HH:mm:ss.SSSSSS" if fractions else "yyyy-MM-dd HH:mm:ss"
     df.write.mode("overwrite").option("timestampNTZFormat", stamp).csv(
         path, header=True, dateFormat="yyyy-MM-dd", escape='"', timestampFormat=stamp, emptyValue="",

@@ -360,6 +360,10 @@ cte("dim_date", "raw_orders monthly_orders", """
           FROM raw_orders) x""")
 
 
+def definition(name: str) -> str:
+    return _CTES[name][1]
+
+
 def with_ctes(body: str, needs: str) -> str:
     """``body`` preceded by the named expressions and everything they rest on."""
     ordered: list[str] = []

@@ -296,3 +296,12 @@ def _summary() -> str:
 from .queries import ORACLE as _O  # noqa: E402
 
 _O["chk_summary"] = _summary()
+
+
+def _results() -> str:
+    union = " UNION ALL ".join(f"SELECT * FROM ({_O[n]}) r{i}" for i, n in enumerate(_ALL))
+    rank = "CASE status WHEN 'CRITICAL' THEN 0 WHEN 'WARNING' THEN 1 WHEN 'INFO' THEN 2 ELSE 3 END"
+    return f"SELECT *, row_number() OVER (ORDER BY {rank}, dimension, \"table\", pct DESC, \"check\") AS position FROM ({union}) s"
+
+
+_O["io_check_results"] = _results()

@@ -1,7 +1,7 @@
 """Oracle SQL of measures and report queries: direct aggregates with distinct counts, no staging."""
 from __future__ import annotations
 
-from .base import avg_money, avg_scaled, with_ctes
+from .base import avg_money, avg_scaled, definition, state_of, with_ctes
 from .queries import ORACLE
 
 
@@ -180,6 +180,26 @@ add("msr_payments_share", "paid_orders payment_share installment_pct avg_install
 add("msr_sellers", "seller_orders seller_avg_review seller_negative_pct seller_late_pct seller_risk_flag "
     "active_sellers revenue", "dim_seller.seller_id dim_seller.seller_label dim_date.year", risk=(3, 0.3))
 
+
+
+def add_totals(name: str, measures: str, by: str) -> None:
+    """Details, subtotals over the leading keys and the grand total, each asked for on its own."""
+    keys, parts, needs = by.split(), [], set()
+    for i in range(len(keys) + 1):
+        some = keys[:len(keys) - i]
+        need, sql = evaluate(measures.split(), some)
+        needs |= set(need.split())
+        names = [k.split(".")[1] if k in some else f"NULL AS {k.split('.')[1]}" for k in keys]
+        parts.append(f"SELECT {', '.join(names)}, {i} AS level, {', '.join(measures.split())} FROM ({sql}) q{i}")
+    ORACLE[name] = with_ctes(" UNION ALL ".join(parts), " ".join(sorted(needs)))
+
+
+add_totals("rpt_category_matrix_totals", "revenue orders aov freight_pct", "dim_product.category dim_date.year")
+add_totals("msr_totals_by_region", "revenue orders customers repeat_customers repeat_customer_pct active_sellers late_pct repeat_purchase_pct",
+           "dim_customer.region dim_customer.state dim_date.year")
+add_totals("msr_totals_by_payment", "paid_orders payment_share installment_pct aov_by_order", "fact_orders.main_payment_type dim_date.year")
+add_totals("msr_totals_by_seller", "seller_orders seller_avg_review seller_late_pct active_sellers revenue", "dim_date.year dim_seller.seller_id")
+
 ORACLE["rpt_mom_yoy"] = with_ctes(f"""
 WITH m AS (
     SELECT d.year_month, d.month_start, d.is_complete_month AS ok, sum(price) AS revenue,
@@ -238,3 +258,23 @@ ORACLE["msr_yoy_of_range"] = with_ctes(_periods("d.year = 1998 AND d.month_num B
 ORACLE["msr_mom_within_month"] = with_ctes(_periods(
     "d.date BETWEEN DATE '1996-03-10' AND DATE '1996-03-31'", "c.region", "item", "JOIN dim_customer c USING (customer_unique_id)"), "fact_order_items dim_date dim_customer")
 ORACLE["msr_periods_by_year"] = with_ctes(_periods("true", "d.year", "day"), "fact_order_items dim_date")
+
+
+def _by_desk(sql: str) -> str:
+    """The statement over items sold by the desk of an order's region and priority, with the floor of 50 orders."""
+    desks = ("(SELECT o_orderkey AS order_id, n_regionkey * 10 + CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS desk FROM orders "
+             "JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)")
+    sellers = ("SELECT DISTINCT n_regionkey * 10 + CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS seller_id, "
+               "lpad(CAST(n_regionkey * 1000 AS VARCHAR), 5, '0') AS seller_zip_code_prefix, "
+               f"'  São Building ' || n_regionkey || ' ' AS seller_city, {state_of('n_regionkey')} AS seller_state FROM nation, orders")
+    items, plain_sellers = definition("raw_items"), definition("raw_sellers")
+    assert items in sql
+    sql = sql.replace(items, f"SELECT i.* REPLACE (d.desk AS seller_id) FROM ({items}) i JOIN {desks} d ON i.order_id = d.order_id")
+    return sql.replace(plain_sellers, sellers).replace(">= 5 ", ">= 50 ").replace(">= 5)", ">= 50)")
+
+
+add("rpt_seller_scatter_50", "seller_orders seller_avg_review revenue", "dim_seller.seller_id dim_seller.seller_label", tail="WHERE seller_orders >= 50")
+add("rpt_seller_risk_50", "seller_orders revenue seller_avg_review seller_negative_pct seller_late_pct seller_risk_flag",
+    "dim_seller.seller_id dim_seller.seller_label dim_seller.state", tail="WHERE seller_risk_flag = 1")
+for _name, _plain in (("rpt_seller_scatter_50",) * 2, ("rpt_seller_risk_50",) * 2, ("q08_seller_risk_50", "q08_seller_risk")):
+    ORACLE[_name] = _by_desk(ORACLE[_plain])

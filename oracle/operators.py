@@ -1,7 +1,7 @@
 """Oracle SQL of cleaning treatments, integrity, documentation and single operators."""
 from __future__ import annotations
 
-from .base import avg_money, avg_scaled, days, half_even, rounded, secs
+from .base import avg_money, avg_scaled, days, definition, half_even, rounded, secs, with_ctes
 from .checks import RAW
 from .measures import div
 from .queries import _STAR, add, plain
@@ -283,3 +283,24 @@ UNION ALL SELECT 'files', '9' UNION ALL SELECT 'extra', CAST(count(*) AS VARCHAR
 add("io_star_views", "fact_order_items dim_product dim_date", """
 SELECT d.year, p.category, count(*) AS items, CAST(sum(i.price) AS DOUBLE) AS revenue
 FROM fact_order_items i JOIN dim_product p USING (product_id) JOIN dim_date d USING (date_key) WHERE i.is_sale GROUP BY 1, 2""")
+add("io_csv_split", "", "SELECT doc_id, length(coalesce(text, '')) AS length, md5(coalesce(text, '')) AS digest, source FROM documents")
+add("io_whole_numbers", "", "SELECT event_id, event_id + 9007199254740993 AS big, event_id + 9007199254740993 AS near FROM events")
+_X = """(SELECT p.category, CAST(year(CAST(i.purchase_date AS DATE)) AS VARCHAR) AS year, c.region, i.customer_unique_id
+         FROM fact_order_items i LEFT JOIN dim_product p USING (product_id) LEFT JOIN dim_customer c ON c.customer_unique_id = i.customer_unique_id
+         WHERE i.is_sale) x"""
+_KEYS = ("category", "year", "region")
+add("agg_distinct_sets", "fact_order_items dim_product dim_customer", " UNION ALL ".join(
+    f"SELECT '{'+'.join(by)}' AS context, {', '.join(k if k in by else f'NULL AS {k}' for k in _KEYS)}, count(DISTINCT customer_unique_id) AS customers "
+    f"FROM {_X}" + (f" GROUP BY {', '.join(by)}" if by else "")
+    for by in (_KEYS, ("category",), ("year",), ("region",), ("year", "region"), ())))
+
+from .queries import ORACLE as _O  # noqa: E402
+
+#: The log as its file holds it.
+_O["io_cleaning_log"] = _O["cl_log"]
+_lost = definition("raw_customers")
+_O["io_refused_star"] = with_ctes(
+    "SELECT 'refused' AS what, \"check\" || ': ' || detail AS said FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"check\", {ok} AS fits, {d} AS detail" for c, ok, d in _rows) + ") r WHERE NOT fits UNION ALL SELECT 'published', 'nothing'",
+    " ".join(_STAR) + " raw_orders raw_items raw_payments").replace(
+        _lost, f"SELECT * FROM ({_lost}) c WHERE customer_state NOT IN ('PR', 'RS', 'SC')")

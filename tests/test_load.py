@@ -69,15 +69,68 @@ def test_unparseable_values_become_null_and_are_counted(spark, tmp_path):
     assert {r.status for r in found} == {"CRITICAL"}
 
 
-def test_typed_copy_is_reused_with_its_failure_counts(spark, tmp_path):
+def _stamps(folder):
+    return {p: p.stat().st_mtime_ns for p in sorted(folder.rglob("*.parquet"))}
+
+
+def test_typed_copy_is_reused_with_its_failure_counts(spark, tmp_path, monkeypatch):
     raw = tmp_path / "raw"
     raw.mkdir()
     write_tables(raw, PLANTED)
     io.load_all(spark, str(raw), str(tmp_path / "copy"))
-    for spec in SPECS.values():
-        (raw / spec.file).write_text("")
+    before, parsed = _stamps(tmp_path / "copy"), []
+    monkeypatch.setattr(io, "read_text_table", lambda *args: parsed.append(args[1].name))
     tables, failures = io.load_all(spark, str(raw), str(tmp_path / "copy"), reuse=True)
     assert tables["orders"].count() == 4 and failures.where("failed > 0").count() == 0
+    assert not parsed and _stamps(tmp_path / "copy") == before
+
+
+def test_changed_raw_files_are_never_served_from_the_copy(spark, tmp_path, monkeypatch):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    write_tables(raw, PLANTED)
+    io.load_all(spark, str(raw), str(tmp_path / "copy"))
+    path, parsed, plain = raw / SPECS["sellers"].file, [], io.read_text_table
+    monkeypatch.setattr(io, "read_text_table", lambda *args: parsed.append(args[1].name) or plain(*args))
+
+    def load():
+        parsed.clear()
+        return io.load_all(spark, str(raw), str(tmp_path / "copy"), reuse=True)[0]["sellers"].first().seller_city
+    old = load()
+    # Same length, other content.
+    path.write_text(path.read_text().replace("sao paulo", "sao pablo"))
+    assert (old, load(), parsed) == ("sao paulo", "sao pablo", ["sellers"])
+    # Touched only: the content decides.
+    path.touch()
+    assert (load(), parsed) == ("sao pablo", [])
+    with path.open("a") as f:
+        f.write("s9,01001,rio,RJ\n")
+    assert load() and parsed == ["sellers"]
+
+
+def test_whole_numbers_are_exact(spark):
+    from martkit.specs import TableSpec
+    from pyspark.sql import types as T
+    spec = TableSpec("t", "t.csv", T.StructType([T.StructField("n", T.LongType())]))
+    texts = {"9007199254740993": 9007199254740993, "-9223372036854775808": -(1 << 63), "9223372036854775808": None, "2.5": 2, "3.5": 4, "-2.5": -2, "1e3": 1000,
+             "0.49": 0, "inf": None, "4.0": 4, " 7": None, "7d": None}
+    rows = io.type_table(spark.createDataFrame([(k,) for k in texts], "n string"), spec)
+    assert [r.n for r in rows.collect()] == list(texts.values())
+
+
+def test_large_files_take_the_split_scan(spark, tmp_path, monkeypatch):
+    path = tmp_path / "sellers.csv"
+    path.write_text("seller_id,seller_zip_code_prefix,seller_city,seller_state\n" + "".join(f's{i},1001,"sao\npaulo",SP\n' for i in range(500)))
+    want = sorted(map(tuple, io.load_table(spark, SPECS["sellers"], str(tmp_path)).collect()))
+    calls, plain = [], io.read_split_csv
+    monkeypatch.setattr(io, "read_split_csv", lambda *args: calls.append(1) or plain(*args))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+        assert sorted(map(tuple, io.load_table(spark, SPECS["sellers"], str(tmp_path)).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert calls == [1] and len(want) == 500
 
 
 def test_csv_sink_shrinks_midnights_and_reads_back(spark, sound_tables, tmp_path):

@@ -21,7 +21,9 @@ SOME = ["q01_monthly_trend", "q02_top_categories", "q04_repeat_customers", "q07_
         "msr_sales_by_category", "msr_customers", "msr_operations_by_state", "msr_satisfaction", "msr_payments_share",
         "msr_yoy_of_range", "msr_mom_within_month", "msr_periods_by_year", "data_dictionary", "table_overview",
         "win_sequence_per_key", "win_row_number_ntile", "fn_text", "fn_time_gaps", "fn_rounding", "fn_bands", "cl_normalize_text",
-        "io_csv_typed", "io_parse_failures", "io_load_all", "io_refusals", "io_star_views", "rpt_kpi_row", "rpt_top10"]
+        "io_csv_typed", "io_parse_failures", "io_load_all", "io_refusals", "io_star_views", "rpt_kpi_row", "rpt_top10",
+        "io_csv_split", "io_whole_numbers", "io_cleaning_log", "io_refused_star", "agg_distinct_sets", "rpt_category_matrix_totals",
+        "msr_totals_by_region", "msr_totals_by_payment", "msr_totals_by_seller", "q08_seller_risk_50", "rpt_seller_scatter_50", "rpt_seller_risk_50"]
 NAMES = sorted(all_queries()) if os.environ.get("MARTKIT_ALL_QUERIES") else SOME
 
 

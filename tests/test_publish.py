@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from martkit.plans.batch import open_star, write_star
 from martkit.plans.integrity import IntegrityError
 from martkit.plans.operator_queries import io_csv_typed
+from martkit.sources.generations import Generations
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -38,3 +39,16 @@ def test_refused_star_leaves_the_published_one(spark, tables, sound_tables, tmp_
 def test_times_keep_their_fractions(spark):
     whole = {r.event_id: r.ts for r in spark.read.parquet(f"{SMALL}/events.parquet").collect()}
     assert {r.event_id: r.moment for r in io_csv_typed(spark, SMALL).collect()} == whole
+
+
+def test_the_pointer_written_last_counts_whatever_the_clocks_say(spark, tmp_path):
+    states = Generations(spark, str(tmp_path / "published"), "run string")
+    assert states.latest() == []
+    for run in ("b", "a"):
+        states.publish([(run,)])
+    broken = tmp_path / "published" / "000000000009-x"
+    broken.mkdir()
+    (broken / "part-0.json").write_text('{"run": "lost"}')
+    assert [r.run for r in states.latest()] == ["a"]
+    states.publish([("c",)])
+    assert [r.run for r in states.latest()] == ["c"]

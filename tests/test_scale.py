@@ -8,8 +8,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from martkit.operators.keys import copied_rows, orphan_counts, row_copies, smallest_overall, smallest_values
-from martkit.operators.ordered import next_per_key, rank_all, sequence_per_key, tile
+from martkit.operators import quantiles
+from martkit.operators.bitmaps import distinct_counts, distinct_sets
+from martkit.operators.checks import check_status_vs_dates
+from martkit.operators.keys import copied_rows, most_frequent, orphan_counts, row_copies, smallest_overall, smallest_values
+from martkit.operators.ordered import in_order, next_in_key, next_per_key, number_in_key, number_in_order, rank_all, sequence_per_key, tile
 from martkit.operators.quantiles import exact_quantiles, linear_cell, log_cell
 from martkit.plans.registry import all_queries
 
@@ -46,6 +49,25 @@ def test_sequence_and_next_agree_with_brute_force(spark, purchases):
     assert all(seq[r[0]] is None and nxt[r[0]] is None for r in purchases if r[1] is None)
 
 
+@pytest.mark.parametrize("few", [False, True])
+def test_millions_of_values_in_one_cell(spark, few):
+    """Different values within 0.1 % of each other, and one value with a third of all rows."""
+    n = 3_000_000
+    df = spark.range(n, numPartitions=8).selectExpr("'a' AS k", "IF(id % 3 = 0, 1000.25D, 1000 + id * 3e-7D) AS v")
+    rows = []
+    plain = quantiles._narrowed
+    quantiles_seen = lambda inner, *rest: rows.append(inner.count()) or plain(inner, *rest)          # noqa: E731
+    quantiles._narrowed = quantiles_seen
+    try:
+        got = exact_quantiles(df, "v", {"p10": 0.1, "p50": 0.5, "p99": 0.99}, ["k"], few_groups=few).first()
+    finally:
+        quantiles._narrowed = plain
+    i = np.arange(n)
+    want = np.quantile(np.where(i % 3 == 0, 1000.25, 1000 + i * 3e-7), [0.1, 0.5, 0.99])
+    assert np.allclose([got.p10, got.p50, got.p99], want, rtol=0, atol=1e-12) and got.n == n
+    assert rows and rows[0] > quantiles.OPENED
+
+
 @pytest.mark.parametrize("few", [False, True])
 @pytest.mark.parametrize("cell", [log_cell, linear_cell(0.5), linear_cell(1e6)])
 def test_quantiles_agree_with_numpy(spark, cell, few):
@@ -193,3 +215,57 @@ def test_one_hot_order_customer_and_seller(spark):
         upto += v
         half = half or (i if upto * 2 >= total else None)
     assert seller_concentration(star).first().sellers_for_50pct_revenue == half
+
+
+def test_very_many_statuses_give_a_short_list(spark):
+    n = 200_000
+    orders = spark.range(n).selectExpr("IF(id % 4 = 0, 'common', concat('s', id)) AS order_status", "timestamp_ntz '2020-01-01' AS order_delivered_customer_date")
+    late = {r["check"]: r for r in check_status_vs_dates({"orders": orders}).collect()}
+    row = late["Delivery date present but status is not 'delivered'"]
+    assert row.n_affected == n and row.detail.startswith("By status: common=50000, s1=1, ") and len(row.detail) < 500
+    assert row.detail.endswith(f", {n * 3 // 4 - 19} more={n * 3 // 4 - 19}")
+
+
+def test_most_frequent_values(spark):
+    df = spark.createDataFrame([("g", v, n) for v, n in (("b", 3), ("a", 3), (None, 9), ("c", 1))] + [("h", "x", 5)], "g string, v string, n long")
+    got = {r.g: ([(x.value, x.n) for x in r.listed], r.others, r.rest) for r in most_frequent(df, "g", "v", "n", 2).collect()}
+    assert got == {"g": ([(None, 9), ("a", 3)], 2, 4), "h": ([("x", 5)], 0, 0)}
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_places_in_ranges(spark, partitions):
+    """Keys that straddle ranges, a key in all of them, NULL keys and equal rows."""
+    rng = random.Random(5)
+    rows = [(rng.choice(["hot"] * 6 + ["a", "b", None]), rng.randrange(50), i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, v int, id int").repartition(partitions)
+    table = in_order(df, [F.col(c).asc_nulls_first() for c in ("k", "v", "id")])
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1], r[2]))
+    assert [tuple(r)[:3] for r in table.orderBy("_at").collect()] == want
+    assert {r.id: r.place for r in number_in_order(table, "place").collect()} == {r[2]: i for i, r in enumerate(want)}
+    seen, place = {}, {}
+    for k, _, i in want:
+        place[i] = seen[k] = seen.get(k, -1) + 1
+    assert {r.id: r.place for r in number_in_key(table, ["k"], "place").collect()} == place
+    following = {a[2]: b[2] if a[0] == b[0] else None for a, b in zip(want, [*want[1:], ("none", 0, 0)])}
+    assert {r.id: r.following for r in next_in_key(table, ["k"], "id", "following").collect()} == following
+
+
+def test_sequence_takes_two_exchanges_of_rows(spark):
+    """The rows are dealt by range once (and written), then by range and key; only edges, which are broadcast, move besides."""
+    df = spark.range(1000).selectExpr("id", "id % 7 AS k", "timestamp_ntz '2020-01-01' AS ts")
+    plan = sequence_per_key(df, "k", "ts", "id", "n")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "rangepartitioning" not in plan
+    over_rows = [x for x in plan.splitlines() if "Window [row_number()" in x]
+    assert len(over_rows) == 1 and "Exchange hashpartitioning(_task" in plan
+
+
+def test_distinct_sets_roll_up(spark):
+    """Equal to plain distinct counts in every context; a group with half the keys, NULL keys and groups, several bitmaps."""
+    n = 120_000
+    df = spark.range(n).selectExpr("IF(id % 2 = 0, 'hot', concat('g', id % 5)) AS g", "IF(id % 11 = 0, NULL, id % 3) AS h",
+                                   "IF(id % 7 = 0, NULL, concat('k', id % 70001)) AS k")
+    sets = distinct_sets(df, "k", ["g", "h"])
+    assert sets.agg(F.max("bucket") - F.min("bucket")).first()[0] >= 1
+    for by in (["g", "h"], ["g"], ["h"], []):
+        want = {tuple(r) for r in df.groupBy(*by).agg(F.countDistinct("k")).collect()}
+        assert {tuple(r) for r in distinct_counts(sets, by, "n").collect()} == want, by

@@ -4,6 +4,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import Row
 
 from martkit.functions import band_label, band_order, fold_city, installment_band, round_half_even, whole_days_elapsed
 from martkit.operators import cleaning
@@ -161,6 +162,29 @@ def test_earlier_periods_need_no_month_in_the_context(sound_tables):
     assert {r.state: (r.revenue, r.revenue_pm, r.revenue_mom_pct) for r in rows} == {"SP": (50.0, None, None), "RJ": (200.0, None, None)}
 
 
+def test_totals_equal_each_level_on_its_own(sound_tables):
+    """Also for measures that do not add up, and for earlier periods, which are looked up level by level."""
+    star, by = Star(sound_tables), ["dim_customer.state", "dim_product.category"]
+    for measures, keys in ((["revenue", "orders", "customers", "active_sellers", "seller_risk_flag"], by),
+                           (["delivered_orders", "payment_share"], ["fact_orders.main_payment_type", "dim_customer.state"]),
+                           (["revenue", "revenue_pm"], ["dim_date.year_month"]), (["orders"], [])):
+        names = [k.split(".")[1] for k in keys]
+        got = sorted(map(str, evaluate(star, measures, keys, totals=True).collect()))
+        want = []
+        for level in range(len(keys) + 1):
+            for r in evaluate(star, measures, keys[:len(keys) - level]).collect():
+                r = {**dict.fromkeys(names), **r.asDict(), "level": level}
+                want.append(str(Row(**{c: r[c] for c in [*names, "level", *measures]})))
+        assert got == sorted(want), measures
+
+
+def test_totals_read_the_items_once(sound_tables):
+    plan = evaluate(Star(sound_tables), ["revenue", "orders"], ["dim_product.category", "dim_date.year"], totals=True)
+    single = evaluate(Star(sound_tables), ["revenue", "orders"], ["dim_product.category", "dim_date.year"])
+    text, alone = (df._jdf.queryExecution().executedPlan().toString() for df in (plan, single))
+    assert text.count("FileScan") == alone.count("FileScan") and "Generate explode" in text
+
+
 def test_cleaning_log(tables):
     log = {(r.table, r.action): r.rows_affected for r in cleaning.cleaning_log(tables).collect()}
     assert log[("geolocation", "Drop exact duplicate rows")] == 1
