@@ -32,8 +32,8 @@ def write_star(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) -
     A pointer to the run is written last and publishes the star in one step.  A star that fails, or a run that dies, leaves
     the star published before readable and unchanged.
     """
-    name = f"run-{uuid.uuid4().hex}"
-    run = f"{folder.rstrip('/')}/{name}"
+    own = f"run-{uuid.uuid4().hex}"
+    run = f"{folder.rstrip('/')}/{own}"
 
     def put(name: str, df: DataFrame, sort: str | None = None) -> None:
         # Sorting inside files gives row groups narrow date ranges, so date filters skip them.
@@ -47,7 +47,7 @@ def write_star(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) -
             put(name, stored.table(name))
     star = StoredStar(spark, run)
     put("integrity", assert_star(star, raw))
-    _pointer(spark, folder).publish([(name,)])
+    _pointer(spark, folder).publish([(own,)])
     return star
 
 
