@@ -425,7 +425,8 @@ def io_check_results(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{scratch_folder(spark)}/results-{uuid.uuid4().hex}"
     results = with_position(run_checks(raw_tables(spark, folder)))
     write_report(results, path)
-    return read_report(spark, path, results.schema).withColumn("detail", F.coalesce("detail", F.lit("")))
+    # An empty field of a report is an empty text.
+    return read_report(spark, path, results.schema).withColumns({c: F.coalesce(c, F.lit("")) for c in ("detail", "action")})
 
 
 def io_cleaning_log(spark: SparkSession, folder: str) -> DataFrame:
