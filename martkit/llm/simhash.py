@@ -7,10 +7,11 @@ copies are not expanded.  A busy key (more than ``BUSY`` fingerprints) is split
 of small blocks of the remaining bits, all but ``distance`` of which are equal in a close pair; what such a key leaves
 open is a few bits, so no group can exceed ``2 ** (free bits)`` fingerprints, whatever the data.
 
-``without_near_duplicates`` serves the pipeline: shingles of five words, similarity 0.8.  At that similarity a seventh of
-all bits differ, too many for blocks of a fingerprint, so it joins sets on their rarest shingles, of which similar sets
-share at least one, and verifies the shared shingles.  Only pairs that are linked already are passed over.  Equal sets are
-one node, named by 64 bits.
+``without_near_duplicates`` serves the pipeline: shingles of five words, similarity 0.8.  Sets whose fingerprints are close
+are found by the blocks above and linked first, once their shared shingles are verified.  At that similarity a seventh of
+all bits may differ, too many for blocks of a fingerprint, so an exact check follows for the sets not linked yet: they are
+joined on their rarest shingles, of which similar sets share at least one, and verified likewise.  Equal sets are one node,
+named by 64 bits.
 
 Defined results: a null text is an empty text; a text without words has fingerprint zero; a null document id is greater
 than any other and belongs to its component, whose id is null only if all ids in it are.
@@ -159,6 +160,7 @@ def linked_components(docs: DataFrame, words: int = 3, distance: int = 2, text:
 # ---------------------------------------------------------------- five words, similarity 0.8
 COUNT_BITS = 22             #: cells in which shingles are counted (16 MB); they order the shingles and decide nothing
 COUNT_BLOCKS = 64           #: parts of the cells, summed by a task each
+DISTANCE = 2                #: differing bits of fingerprints that are compared first
 SALTS = 16                  #: tasks among which the rows of one group are dealt
 SLACK = 1e-6                #: for the rounding of products; the last check of a pair has none
 
@@ -244,18 +246,19 @@ def _differing(a: bytes, b: bytes) -> int:
 
 
 def _prefixes(rows: DataFrame, words: int, least: float) -> DataFrame:
-    """For each row: the name of its set (node), the set's size n, a score, the set's rarest shingles (prefix) and its parity.
+    """For each row: the name of its set (node), the set's size n, a score, its rarest shingles (prefix), parity and fingerprint.
 
     All sets are in one order: by the count of the shingle's cell, then by hash.  Two sets of similarity ``least`` have
     a shingle in common among the first ``n - ceil(least n) + 1`` of each.  The score is higher the more common the
-    shingles are, so in a group of copies it is highest in the middle.  A set that the task has had before has neither prefix nor parity.
+    shingles are, so in a group of copies it is highest in the middle.  A set that the task has had before has none of prefix, parity and
+    fingerprint.
     """
     counts = rows.sparkSession.sparkContext.broadcast(_cell_counts(rows, words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            node, n, score, prefix, parity = [], [], [], [], []
+            node, n, score, prefix, parity, fp = [], [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 own = shingle_set(text, words)
                 name, size = _set_name(own), len(own)
@@ -265,6 +268,7 @@ def _prefixes(rows: DataFrame, words: int, least: float) -> DataFrame:
                 common = counts.value[own >> np.uint64(64 - COUNT_BITS)] if first else None
                 score.append(float(common.mean()) if first else None)
                 parity.append(_parity(own) if first else None)
+                fp.append(_signed(int(fingerprint(own)[0])) if first else None)
                 if first:
                     seen.add(name)
                     length = size - math.ceil(least * size - SLACK) + 1
@@ -273,8 +277,34 @@ def _prefixes(rows: DataFrame, words: int, least: float) -> DataFrame:
                     prefix.append(None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(score, pa.float32()),
-                 pa.array(prefix, pa.list_(pa.int64())), pa.array(parity, pa.binary())], names=["key", "node", "n", "score", "prefix", "parity"])
-    return rows.mapInArrow(run, "key string, node long, n int, score float, prefix array<long>, parity binary")
+                 pa.array(prefix, pa.list_(pa.int64())), pa.array(parity, pa.binary()), pa.array(fp, pa.int64())],
+                names=["key", "node", "n", "score", "prefix", "parity", "fp"])
+    return rows.mapInArrow(run, "key string, node long, n int, score float, prefix array<long>, parity binary, fp long")
+
+
+def _close_sets(prefixes: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """Pairs of sets with at most ``distance`` differing bits in their fingerprints, as the blocks find them.
+
+    A fingerprint is stood for by the smallest of its sets: the others are paired with that one, and those of close
+    fingerprints with each other, so copies are not expanded.
+    """
+    sets = prefixes.where("fp is not null").select("node", "fp").distinct()
+    values = written(sets.groupBy("fp").agg(F.min("node").alias("first"), F.count("*").alias("n")), "values")
+    # A fingerprint's first set meets the others in several tasks.
+    salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int").alias("salt")
+    several = values.where("n > 1").select("fp", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    same = sets.select("node", "fp", salt).join(several, ["fp", "salt"]).select(F.col("node").alias("x"), F.col("first").alias("y"))
+    a, b = (values.select(F.col("fp").alias(c), F.col("first").alias(f"first_{c}")) for c in "ab")
+    near = close_pairs(values, distance).join(a, "a").join(b, "b").select(F.col("first_a").alias("x"), F.col("first_b").alias("y"))
+    return same.unionByName(near).where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _not_linked(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose sets have different roots."""
+    for c in "ab":
+        pairs = pairs.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left") \
+            .withColumn(f"root_{c}", F.coalesce(f"root_{c}", c))
+    return pairs.where("root_a <> root_b").select("a", "b")
 
 
 def _may_be_alike(least: float, n_a, p_a, n_b, p_b, low=np.minimum, high=np.maximum):
@@ -376,11 +406,16 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8,
     rows = docs.select(key.alias("key"), octets(text).alias("body"))
     prefixes = written(_prefixes(rows, words, least), "prefixes")
     cells = written(_shared_shingles(prefixes), "cells")
-    # First each set with the pivots of its shingles, which links most of a group; then all pairs not yet linked.
+    # First the sets of close fingerprints.
+    close = written(_close_sets(prefixes), "close_sets")
+    edges = _alike(close, rows, prefixes, words, least)
+    roots = written(components(edges), "roots")
+    # Then each set with the pivots of its shingles, which links most of a group; then all pairs not yet linked.
     to_pivot = _may_be_alike(least, *(F.col(c) for c in ("n", "p", "pivot_n", "pivot_p")), F.least, F.greatest)
-    tried = cells.where((F.col("node") != F.col("pivot")) & to_pivot).select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-    tried = written(tried.distinct(), "tried")
-    edges = _alike(tried, rows, prefixes, words, least)
+    pivots = cells.where((F.col("node") != F.col("pivot")) & to_pivot).select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+    pivots = written(_not_linked(pivots.distinct(), roots).join(close, ["a", "b"], "left_anti"), "tried")
+    edges = edges.unionByName(_alike(pivots, rows, prefixes, words, least))
+    tried = close.unionByName(pivots)
     roots = written(components(edges), "roots")
     others = written(_pairs_of_roots(cells, roots, least).join(tried, ["a", "b"], "left_anti"), "others")
     if not others.isEmpty():

@@ -208,3 +208,24 @@ def test_pairs_at_the_threshold_are_all_found(spark):
     alike = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2])]
     assert sum(0.8 <= s < 0.85 for s in alike) >= 100
     assert _plain_kept(rows) == _kept(spark, rows, 8)
+
+
+def test_close_sets_are_those_of_close_fingerprints(spark):
+    rng = random.Random(31)
+    centres = [rng.getrandbits(64) for _ in range(12)]
+    fps = [c ^ sum(1 << b for b in rng.sample(range(64), k)) for c in centres for k in (0, 0, 1, 2, 3)]
+    nodes = [(i, v - (1 << 64) if v >> 63 else v) for i, v in enumerate(fps)] + [(900, None)]
+    got = {(r.a, r.b) for r in simhash._close_sets(spark.createDataFrame(nodes, "node long, fp long")).collect()}
+    first = {v: min(i for i, x in enumerate(fps) if x == v) for v in fps}
+    want = {(first[v], i) for i, v in enumerate(fps) if first[v] != i}
+    want |= {tuple(sorted((first[a], first[b]))) for a in first for b in first if a != b and (a ^ b).bit_count() <= 2}
+    assert got == want and len(want) > 12
+
+
+def test_close_fingerprints_link_before_any_shared_shingle(spark, monkeypatch):
+    # Nothing else than fingerprints can pair these sets here.
+    real = simhash._shared_shingles
+    monkeypatch.setattr(simhash, "_shared_shingles", lambda prefixes: real(prefixes).where("false"))
+    words = [f"v{i}" for i in range(2000)]
+    rows = [(1, " ".join(words)), (2, _edited(words, {700})), (3, " ".join(f"u{i}" for i in range(2000)))]
+    assert _kept(spark, rows, 3) == {1, 3}
