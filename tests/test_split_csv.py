@@ -84,3 +84,19 @@ def test_one_file_is_read_by_many_tasks(spark, tmp_path, small_blocks):
     small_blocks(path.stat().st_size // 16)
     held = [r["count"] for r in split_records(spark, str(path)).groupBy(F.spark_partition_id()).count().collect()]
     assert sum(held) == 20_000 and sum(n > 1000 for n in held) >= 15 and max(held) < 2000
+
+
+def test_first_pass_holds_no_text(spark, tmp_path, small_blocks):
+    # Without any quote, a block that began inside of one would be a piece from end to end.
+    from martkit.sources import split_csv
+    path = tmp_path / "plain.csv"
+    path.write_text("a,b\n" + "".join(f"{i},{'x' * 90}\n" for i in range(2000)), newline="")
+    small_blocks(path.stat().st_size // 4)
+    seen = [b for b in split_csv._block_effects(iter(_blocks(spark, path)))]
+    assert sum(b.nbytes for b in seen) < 5_000 and sum(b.num_rows for b in seen) >= 8
+    assert split_records(spark, str(path)).count() == 2000
+
+
+def _blocks(spark, path):
+    from martkit.sources import split_csv
+    return split_csv._lines(spark, str(path)).toArrow().to_batches()
