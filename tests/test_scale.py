@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from martkit.operators import quantiles
+from martkit.operators import keys, quantiles
 from martkit.operators.bitmaps import distinct_counts, distinct_sets
 from martkit.operators.checks import check_status_vs_dates
 from martkit.operators.keys import copied_rows, most_frequent, orphan_counts, row_copies, smallest_overall, smallest_values
@@ -269,3 +269,22 @@ def test_distinct_sets_roll_up(spark):
     for by in (["g", "h"], ["g"], ["h"], []):
         want = {tuple(r) for r in df.groupBy(*by).agg(F.countDistinct("k")).collect()}
         assert {tuple(r) for r in distinct_counts(sets, by, "n").collect()} == want, by
+
+
+@pytest.mark.parametrize("name", ["q02_top_categories", "rpt_category_matrix", "rpt_category_matrix_totals", "msr_sales_by_category", "msr_totals_by_region"])
+def test_items_are_grouped_behind_the_shuffle(spark, monkeypatch, name):
+    # A task ahead of it has as many rows as its file, so a group per order must not be made there.
+    want = sorted(map(tuple, all_queries()[name](spark, SMALL).collect()), key=str)
+    monkeypatch.setattr(keys, "ROWS_PER_TASK", 700)
+    df = all_queries()[name](spark, SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_part" in plan and ", 9), REPARTITION_BY_NUM" in plan
+    assert sorted(map(tuple, df.collect()), key=str) == want
+
+
+def test_a_task_has_as_many_rows_whatever_the_table(spark, monkeypatch):
+    monkeypatch.setattr(keys, "ROWS_PER_TASK", 100)
+    for n in (1000, 4000):
+        held = keys.in_parts(spark.range(n).withColumnRenamed("id", "k"), n, "k").groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in held) == n and max(r["count"] for r in held) < 400
+    assert keys.in_parts(spark.range(0), 0, "id").count() == 0
