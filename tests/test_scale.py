@@ -288,3 +288,11 @@ def test_a_task_has_as_many_rows_whatever_the_table(spark, monkeypatch):
         held = keys.in_parts(spark.range(n).withColumnRenamed("id", "k"), n, "k").groupBy(F.spark_partition_id()).count().collect()
         assert sum(r["count"] for r in held) == n and max(r["count"] for r in held) < 400
     assert keys.in_parts(spark.range(0), 0, "id").count() == 0
+
+
+def test_distinct_sets_travel_as_rows(spark, monkeypatch):
+    rows = spark.range(3000).selectExpr("id % 7 AS g", "IF(id % 11 = 0, NULL, id % 500) AS k")
+    want = {(r.g, r.n) for r in rows.groupBy("g").agg(F.countDistinct("k").alias("n")).collect()}
+    monkeypatch.setattr(keys, "ROWS_PER_TASK", 200)
+    assert {(r.g, r.n) for r in distinct_counts(distinct_sets(rows, "k", ["g"], 3000), ["g"], "n").collect()} == want
+    assert {(r.g, r.n) for r in distinct_counts(distinct_sets(rows, "k", ["g"]), ["g"], "n").collect()} == want
