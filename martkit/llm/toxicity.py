@@ -20,6 +20,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +69,25 @@ def trigram_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
     return out.reshape(_N, _N, _N)
 
 
+@lru_cache(1 << 14)
+def _symbols(option: str) -> tuple[int, ...]:
+    return tuple(_SYMBOL[ord(c)] if ord(c) < 128 else 27 for c in option)
+
+
+def _runs(s: str) -> set[str]:
+    """The matches of all of ``_SPACED``.
+
+    A run of shorter tokens is part of one of longer tokens, where these are cut in the same places; so only the widest pattern
+    is sought in the whole text, and each of the others inside the matches of the one before.
+    """
+    out, regions = set(), [(0, len(s))]
+    for spaced in reversed(_SPACED):
+        found = [m for start, end in regions for m in spaced.finditer(s, start, end)]
+        out.update(m.group() for m in found)
+        regions = [m.span() for m in found]
+    return out
+
+
 class Decoder:
     """Restores suspicious tokens under the character model."""
 
@@ -76,6 +96,8 @@ class Decoder:
         backed = lower / lower.sum(axis=1, keepdims=True)
         self.log = np.log((counts + 5.0 * backed[None]) / (counts.sum(axis=2, keepdims=True) + 5.0)).tolist()
         self.known: dict[tuple[str, str], str] = {}
+        self.bare: dict[str, tuple[str]] = {}
+        self.spelled: dict[str, list[str]] = {}
 
     def lattice(self, token: str) -> list[list[str]]:
         """For each place the strings that may stand behind it; a run of three or more stands for one or two."""
@@ -104,16 +126,17 @@ class Decoder:
 
     def likeliest(self, lattice: list[list[str]]) -> str:
         # Each path is its last string and the path before, so the work is linear in the places.
-        best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+        log, best = self.log, {(0, 0): (0.0, None)}
         for options in [*lattice, [" "]]:
+            steps = [(option, _symbols(option)) for option in options]
             new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (cost, path) in best.items():
-                for option in options:
+                for option, symbols in steps:
                     p, x, y = cost, a, b
-                    for c in option:
-                        z = _SYMBOL[ord(c)] if ord(c) < 128 else 27
-                        p, x, y = p + self.log[x][y][z], y, z
-                    if (x, y) not in new or p > new[x, y][0]:
+                    for z in symbols:
+                        p, x, y = p + log[x][y][z], y, z
+                    old = new.get((x, y))
+                    if old is None or p > old[0]:
                         new[x, y] = (p, (option, path))
             best = new
         path, out = max(best.values(), key=lambda v: v[0])[1], []
@@ -146,13 +169,25 @@ class Decoder:
     def words(self, text: bytes) -> set[str]:
         """The different restored words of a text."""
         s = text.decode("utf-8", "replace").lower()
-        out = {self.restored(t) for t in set(s.split())}
-        for run in {m.group().rstrip("!") for spaced in _SPACED for m in spaced.finditer(s)}:
-            if re.search(r"[^\W\d_]", run):
-                out.update(self.remembered(_BETWEEN.sub(" ", run), self.spaced_lattice).split())
+        out = set()
+        for known, texts, find in ((self.bare, set(s.split()), lambda t: (self.restored(t),)), (self.spelled, _runs(s), self.spelled_words)):
+            if len(known) > 200_000:
+                known.clear()
+            for t in texts:
+                found = known.get(t)
+                if found is None:
+                    found = find(t)
+                    if len(t) <= 40:                     # long ones are decoded each time
+                        known[t] = found
+                out.update(found)
         out.discard("")
         return out
 
+    def spelled_words(self, run: str) -> list[str]:
+        """The words that a run of short tokens may spell; none if it has no letter."""
+        run = run.rstrip("!")
+        return self.remembered(_BETWEEN.sub(" ", run), self.spaced_lattice).split() if re.search(r"[^\W\d_]", run) else []
+
 
 def features(words: set[str]) -> set[str]:
     return words | {f"{w[:PREFIX]}*" for w in words if len(w) > PREFIX}
@@ -168,7 +203,7 @@ class Model:
 
     def evidence(self, text: bytes) -> list[float]:
         words = self.decoder.words(text)
-        found = sorted((self.odds[f] for f in features(words) if f in self.odds), reverse=True)
+        found = sorted((self.odds[f] for f in self.odds.keys() & features(words)), reverse=True)
         strong = [x for x in found if x >= 3]
         return [1.0, found[0] if found else 0.0, np.log1p(len(strong)), np.log1p(len(found)), sum(found) / (1 + np.log1p(len(words))),
                 len(strong) / (1 + len(words)) ** 0.5]

@@ -138,3 +138,19 @@ def test_isotonic_is_monotone_and_best():
     mean = lambda j, k: (y[j:k + 1] * w[j:k + 1]).sum() / w[j:k + 1].sum()
     best = [max(min(mean(j, k) for k in range(i, 30)) for j in range(i + 1)) for i in range(30)]
     assert set(np.round(best, 9)) == set(np.round(values, 9))
+
+
+def test_runs_of_shorter_tokens_lie_in_those_of_longer_ones():
+    """Sought inside the widest runs, the narrower patterns find what they find in the whole text, and decoding does not
+    depend on what was decoded before."""
+    rng = random.Random(3)
+    letters = "ab i1!$@3 .-_*  ,;:\n\t(|+é€xyz0!!! oo"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    used = toxicity.Decoder(np.random.default_rng(3).integers(0, 9, (30, 30, 30)).astype(float))
+    for i, s in enumerate(texts):
+        assert toxicity._runs(s) == {m.group() for spaced in toxicity._SPACED for m in spaced.finditer(s)}
+        words = used.words(s.encode())
+        if i % 50 == 0:
+            fresh = toxicity.Decoder(np.zeros((30, 30, 30)))
+            fresh.log = used.log
+            assert fresh.words(s.encode()) == words
