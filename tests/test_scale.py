@@ -296,3 +296,45 @@ def test_distinct_sets_travel_as_rows(spark, monkeypatch):
     monkeypatch.setattr(keys, "ROWS_PER_TASK", 200)
     assert {(r.g, r.n) for r in distinct_counts(distinct_sets(rows, "k", ["g"], 3000), ["g"], "n").collect()} == want
     assert {(r.g, r.n) for r in distinct_counts(distinct_sets(rows, "k", ["g"]), ["g"], "n").collect()} == want
+
+
+def test_order_facts_shuffle_each_source_once(spark):
+    """Orders, items, payments and reviews are dealt by order; counting different ones shuffles nothing again."""
+    from martkit.plans.star import Star
+    from martkit.sources.carriers import raw_tables
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        facts = Star(raw_tables(spark, SMALL)).fact_orders(
+            "order_id", "items_price", "products_count", "sellers_count", "payment_total", "payment_methods", "main_payment_type", "review_score", "review_count")
+        plan = facts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 4
+    assert "Expand" not in plan and "SortAggregate" not in plan
+
+
+def test_different_products_sellers_and_methods_per_order(spark):
+    """Missing and repeated keys, equal rows, and one order with most of the rows, against brute force."""
+    from martkit.operators.cleaning import clean_payments
+    from martkit.plans.star import items_per_order
+
+    rng = random.Random(11)
+    rows = [(rng.choice(["hot"] * 5 + ["a", "b", None]), rng.choice([1, 2, None]), rng.choice([*range(9), None]), rng.choice([7, 8, None])) for _ in range(600)]
+    items = spark.createDataFrame(rows, "order_id string, order_item_id int, product_id long, seller_id long") \
+        .selectExpr("*", "CAST(1.25 AS DECIMAL(18,4)) AS price", "CAST(NULL AS DECIMAL(18,4)) AS freight_value")
+    got = {r.order_id: r for r in items_per_order(items, True).collect()}
+    pay = spark.createDataFrame(rows, "order_id string, payment_sequential int, payment_value long, method long") \
+        .selectExpr("order_id", "payment_sequential", "CAST(method AS STRING) AS payment_type", "2 AS payment_installments", "CAST(payment_value AS DECIMAL(18,4)) AS payment_value")
+    paid = {r.order_id: r for r in clean_payments(pay).collect()}
+    assert set(got) == {"hot", "a", "b", None} and set(paid) == {"hot", "a", "b"}
+    for order, r in got.items():
+        mine = [x for x in rows if x[0] == order]
+        assert r.items_count == sum(x[1] is not None for x in mine) and float(r.items_price) == 1.25 * len(mine) and r.freight_total == 0
+        assert (r.products_count, r.sellers_count) == tuple(len({x[i] for x in mine} - {None}) for i in (2, 3))
+        if order:
+            p, values = paid[order], [x[2] for x in mine if x[2] is not None]
+            first = max(mine, key=lambda x: (x[2] is not None, x[2] or 0, x[1] is not None, -(x[1] or 0), x[3] is not None, x[3] or 0))
+            assert (p.payment_methods, int(p.payment_total), p.payment_rows) == (len({x[3] for x in mine} - {None}), sum(values), r.items_count)
+            assert p.main_payment_type == (None if first[3] is None else str(first[3]))
