@@ -151,3 +151,27 @@ def test_csv_sink_shrinks_midnights_and_reads_back(spark, sound_tables, tmp_path
     assert o4.is_delivered is True and o4.delivery_days == 4.0 and o4.order_purchase_timestamp.hour == 10
     assert o4.order_estimated_delivery_date == dt.datetime(2017, 4, 10)
     assert facts.where("order_id = 'o3'").first().is_late is None
+
+
+def test_compressed_export_reads_back_the_same(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id AS product_id", "IF(id % 3 = 0, NULL, concat('a \"', id, '\", b')) AS category")
+    io.write_csv(df.repartition(3), str(tmp_path / "p"), compression="gzip")
+    assert {p.name[-7:] for p in (tmp_path / "p").glob("part-*")} == {".csv.gz"}
+    back = io.read_star_csv(spark, str(tmp_path / "p"), df.schema)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+
+
+def test_items_travel_without_what_follows_from_them(spark):
+    """Only the raw columns of items are shuffled to their orders."""
+    from martkit.plans.star import Star
+    from martkit.sources.carriers import raw_tables
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = Star(raw_tables(spark, "/root/testdata/sf0.001")).fact_order_items()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan.splitlines()
+    first = next(i for i, line in enumerate(lines) if "Exchange" in line)
+    assert any("freight_share" in line for line in lines[:first]) and not any("freight_share" in line for line in lines[first:])
