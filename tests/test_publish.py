@@ -1,12 +1,16 @@
 """Publishing a star: refused and interrupted runs leave the star before them as it was."""
 from __future__ import annotations
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
+from martkit.operators import cleaning
 from martkit.plans.batch import open_star, write_star
-from martkit.plans.integrity import IntegrityError
+from martkit.plans.integrity import IntegrityError, data_dictionary
 from martkit.plans.operator_queries import io_csv_typed
+from martkit.plans.star import Star
 from martkit.sources.generations import Generations
 
 SMALL = "/root/testdata/sf0.001"
@@ -36,6 +40,27 @@ def test_refused_star_leaves_the_published_one(spark, tables, sound_tables, tmp_
     assert 0 < len(after["fact_orders"]) < len(before["fact_orders"])
 
 
+@pytest.mark.parametrize("build", [lambda spark, raw, folder: write_star(spark, raw, folder), lambda spark, raw, folder: data_dictionary(Star(raw)).collect()])
+def test_places_are_found_once_for_customers_and_sellers(spark, sound_tables, tmp_path, monkeypatch, build):
+    calls, plain = [], cleaning.clean_geolocation
+    monkeypatch.setattr(cleaning, "clean_geolocation", lambda geo: calls.append(1) or plain(geo))
+    build(spark, sound_tables, str(tmp_path / "star"))
+    assert len(calls) == 1
+
+
+def test_other_tables_are_written_side_by_side(spark, sound_tables, tmp_path, monkeypatch):
+    """Two tables wait for each other while they are built: one by one, neither would come."""
+    both, plain = threading.Barrier(2, timeout=60), Star.table
+
+    def table(self, name, *columns):
+        if name in ("fact_order_items", "dim_product"):
+            both.wait()
+        return plain(self, name, *columns)
+    monkeypatch.setattr(Star, "table", table)
+    star = write_star(spark, sound_tables, str(tmp_path / "star"))
+    assert star.table("fact_order_items").count() == sound_tables["order_items"].count()
+
+
 def test_times_keep_their_fractions(spark):
     whole = {r.event_id: r.ts for r in spark.read.parquet(f"{SMALL}/events.parquet").collect()}
     assert {r.event_id: r.moment for r in io_csv_typed(spark, SMALL).collect()} == whole
