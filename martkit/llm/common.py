@@ -6,7 +6,6 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -16,6 +15,8 @@ ASCII_SPACE = r"[\x20\x09-\x0D]+"
 #: Everything in ASCII that is no letter and no digit becomes a space.
 _NO_WORD = bytes(32 if i < 128 and not re.match(rb"[0-9A-Za-z]", bytes([i])) else i for i in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: A task turns about so much of an Arrow batch into Python objects and results at a time.
+PIECE_BYTES = 4_000_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,9 +40,17 @@ def octets(name: str = "text") -> Column:
     return whole_text(name).cast("binary")
 
 
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All rows of the batches, in slices of about ``PIECE_BYTES``, of a row at least."""
+    for batch in batches:
+        step = max(1, batch.num_rows * PIECE_BYTES // max(1, batch.nbytes))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: T.StructType | str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             yield work(batch)
     return df.mapInArrow(run, schema)
 
@@ -49,15 +58,13 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch],
 def keep_rows(docs: DataFrame, text: str, decide: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
     """The rows for which ``decide`` says so, with all their columns, whatever these are called.
 
-    Rows are filtered where they are: nothing is shuffled or joined.
+    Only texts go to Python.  Rows are filtered where they are: nothing is shuffled or joined.
     """
-    packed = docs.select(octets(text).alias("text"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
-
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep = decide(batch.column(0).to_pylist())
-        return pa.RecordBatch.from_arrays([batch.column(1).filter(pa.array(keep, pa.bool_()))], names=["row"])
-    schema = T.StructType([packed.schema["row"]])
-    return map_batches(packed, work, schema).select("row.*")
+    @F.arrow_udf("boolean")
+    def keep(texts: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+        return pa.array(np.concatenate([np.zeros(0, bool), *[decide(p.column(0).to_pylist()) for p in pieces([batch])]]), pa.bool_())
+    return docs.where(keep(octets(text)))
 
 
 #: Bits of a filter: 8 MB.  With more than some ten million keys it lets most rows pass, which costs time, not rows.
@@ -78,14 +85,14 @@ def key_filter(keys: DataFrame, name: str, bits: int = FILTER_BITS) -> Callable[
     words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
     shared = keys.sparkSession.sparkContext.broadcast(words)
 
-    @F.pandas_udf("boolean")
-    def may_be(hashes: pd.Series) -> pd.Series:
-        x = hashes.to_numpy(np.int64).view(np.uint64)
+    @F.arrow_udf("boolean")
+    def may_be(hashes: pa.Array) -> pa.Array:
+        x = hashes.to_numpy(zero_copy_only=False).view(np.uint64)
         out = np.ones(len(x), bool)
         for s in shifts:
             at = (x >> np.uint64(s)) & np.uint64(mask)
             out &= (shared.value[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-        return pd.Series(out)
+        return pa.array(out, pa.bool_())
     return may_be
 
 

@@ -54,10 +54,12 @@ class ItemBlock:
                 for h in self.items[i][2][:length].tolist():
                     owners[h].append(i)
             sketch = np.fromiter(sorted(owners), np.uint64, len(owners))
-            seen = np.zeros(1 << _MAP_BITS, bool)
-            seen[sketch >> np.uint64(64 - _MAP_BITS)] = True
+            # The map is as large as the sketch needs, so that about one place in a hundred is marked.
+            shift = np.uint64(64 - min(_MAP_BITS, (len(sketch) * 64).bit_length()))
+            seen = np.zeros(1 << 64 - int(shift), bool)
+            seen[sketch >> shift] = True
             fewest = min(int(np.ceil(least * len(self.items[i][2]) - 1e-9)) for i in members)
-            self.parts[m, bits] = (fewest, seen, sketch, dict(owners))
+            self.parts[m, bits] = (fewest, shift, seen, sketch, dict(owners))
 
     def found(self, text: bytes) -> list[tuple[int, int]]:
         """(item number, shared shingles) of each item the text contains to the threshold."""
@@ -65,13 +67,13 @@ class ItemBlock:
         if not words:
             return []
         hashes, by_size, out = _hashes(words), {}, []
-        for (m, _), (fewest, seen, sketch, owners) in self.parts.items():
+        for (m, _), (fewest, shift, seen, sketch, owners) in self.parts.items():
             if m not in by_size:
                 by_size[m] = rolled(hashes, m)
             h = by_size[m]
             if len(h) < fewest:
                 continue
-            hits = h[seen[h >> np.uint64(64 - _MAP_BITS)]]
+            hits = h[seen[h >> shift]]
             hits = np.unique(hits[np.isin(hits, sketch)])
             for i in sorted({i for x in hits.tolist() for i in owners[x]}):
                 _, shingles, own = self.items[i]

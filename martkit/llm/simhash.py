@@ -29,7 +29,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import key_filter, map_batches, octets, plain_words, rolled, written
+from .common import key_filter, map_batches, octets, pieces, plain_words, rolled, written
 
 BUSY = 64
 SEED = 42
@@ -204,7 +204,7 @@ def _cell_counts(rows: DataFrame, words: int) -> np.ndarray:
         def add(held: list[np.ndarray]) -> None:
             at, n = np.unique(np.concatenate(held), return_counts=True)
             total[at.astype(np.int64)] += n.astype(np.uint32)
-        for batch in batches:
+        for batch in pieces(batches):
             held, n = [np.empty(0, np.uint64)], 0
             for text in batch.column(1).to_pylist():
                 held.append(shingle_set(text, words) >> np.uint64(64 - COUNT_BITS))
@@ -257,7 +257,7 @@ def _prefixes(rows: DataFrame, words: int, least: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in pieces(batches):
             node, n, score, prefix, parity, fp = [], [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 own = shingle_set(text, words)
