@@ -5,7 +5,7 @@
     star = write_star(spark, tables, "out/star")
     evaluate(star, ["revenue", "aov"], by=["dim_customer.state"])
 """
-from .operators.checks import run_checks
+from .operators.checks import ChecksFailed, run_checks
 from .operators.cleaning import clean, cleaning_log
 from .plans.batch import open_star, run_batch, write_star
 from .plans.catalogue import CATALOGUE
@@ -15,7 +15,7 @@ from .plans.star import Star, StoredStar, build_star
 from .sources.csv_tables import load_all, load_table, read_star_csv, write_csv
 
 __all__ = [
-    "run_checks", "clean", "cleaning_log", "open_star", "run_batch", "write_star", "CATALOGUE", "IntegrityError",
-    "assert_star", "check_star", "data_dictionary", "table_overview", "MEASURES", "evaluate", "Star", "StoredStar",
+    "run_checks", "ChecksFailed", "clean", "cleaning_log", "open_star", "run_batch", "write_star", "CATALOGUE",
+    "IntegrityError", "assert_star", "check_star", "data_dictionary", "table_overview", "MEASURES", "evaluate", "Star", "StoredStar",
     "build_star", "load_all", "load_table", "read_star_csv", "write_csv",
 ]
